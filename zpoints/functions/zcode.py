@@ -4,18 +4,15 @@ Bit layout of a code: x in bits 0, 3, 6, ...; y in 1, 4, 7, ...; z in
 2, 5, 8, ...; 21 bits per axis, 63 bits in total. Inputs past 21 bits are
 masked (they wrap), as the layout has no room for them.
 
-Two forms are offered for encode and decode:
-
-* ``with_morton`` / ``with_decoded`` work on a DataFrame and spread the bits
-  in five staged projections. Each stage references the previous one twice,
-  so stages are kept as separate projections (Catalyst does not collapse a
-  projection that would duplicate a non-trivial expression); this is the
-  fast form for whole tables.
-* ``morton_code`` / ``decode_axis`` return a single Column built as a linear
-  OR of 21 bit terms per axis. It composes anywhere (filters, join
-  conditions, SQL) at a modest cost, and its size grows linearly.
-
-No Python UDF is involved in either form.
+Every function here builds an expression whose size is linear in the number
+of bits: each input is referenced a fixed number of times. That matters
+because Catalyst copies a projected expression into any filter it pushes
+below the projection (including the not-null filters it infers for join
+keys); a form whose stages each reference the previous stage twice grows
+exponentially when copied. Encoding spreads each axis byte by byte through a
+256-entry table (a literal array, folded to a constant and indexed in
+generated code); decoding ORs the 21 axis bits together. No Python UDF is
+involved.
 """
 
 from __future__ import annotations
@@ -55,41 +52,41 @@ def _spread_mask(group: int) -> int:
     return sum(1 << ((j % group) + MAX_DIM * group * (j // group)) for j in range(MAX_BITS))
 
 
-# Spread stages, widest group first: (shift, mask after the stage).
-_SPREAD = [(2 * g, _spread_mask(g)) for g in (16, 8, 4, 2, 1)]
-# Compact stages, the reverse walk: (shift, mask after the stage).
-_COMPACT = [(2 * g, _spread_mask(2 * g)) for g in (1, 2, 4, 8, 16)]
-_AXIS0_MASK = _spread_mask(1)
+_AXIS0_MASK = _spread_mask(1)  # bits 0, 3, 6, ..., 60
 
 
 # ---------------------------------------------------------------------------
-# Whole-table forms (staged projections)
+# Whole-table forms
 # ---------------------------------------------------------------------------
 
+def _spread_byte(b: int) -> int:
+    """Bit j of a byte moved to bit 3j."""
+    return sum(((b >> j) & 1) << (MAX_DIM * j) for j in range(8))
+
+
+# Built by rule: the spread of every byte value.
+_BYTE_SPREAD = [_spread_byte(b) for b in range(256)]
+# the same table as one SQL array literal: a single parse instead of 256
+# separate literal constructions per use
+_BYTE_SPREAD_SQL = "array(" + ", ".join(f"{t}L" for t in _BYTE_SPREAD) + ")"
+
+
+def spread_bits(v) -> Column:
+    """A 21-bit value with two zero bits inserted between its bits."""
+    table = F.expr(_BYTE_SPREAD_SQL)
+    v = _col(v).cast("long").bitwiseAND(_lit(MAX_MASK))
+    parts = [table.getItem(_shr(v, 8 * k).bitwiseAND(_lit(255)).cast("int")) for k in range(3)]
+    return parts[0].bitwiseOR(_shl(parts[1], 24)).bitwiseOR(_shl(parts[2], 48))
+
+
 def with_morton(df: DataFrame, x, y, z, out: str = "mortonCode") -> DataFrame:
     """Append ``out`` = Morton code of integer cells (x, y, z)."""
-    names = ["__zx", "__zy", "__zz"]
-    df = df.withColumns({n: _col(c).cast("long").bitwiseAND(_lit(MAX_MASK)) for n, c in zip(names, (x, y, z))})
-    for shift, mask in _SPREAD:
-        df = df.withColumns({
-            n: F.col(n).bitwiseOR(F.shiftleft(F.col(n), shift)).bitwiseAND(_lit(mask)) for n in names
-        })
-    code = (F.col(names[0])
-            .bitwiseOR(F.shiftleft(F.col(names[1]), 1))
-            .bitwiseOR(F.shiftleft(F.col(names[2]), 2)))
-    return df.withColumn(out, code).drop(*names)
+    return df.withColumn(out, morton_code(x, y, z))
 
 
 def with_decoded(df: DataFrame, code, out=("cx", "cy", "cz")) -> DataFrame:
     """Append the three 21-bit axis cells of a Morton code."""
-    names = [f"__d{i}" for i in range(MAX_DIM)]
-    c = _col(code)
-    df = df.withColumns({n: F.shiftright(c, i).bitwiseAND(_lit(_AXIS0_MASK)) for i, n in enumerate(names)})
-    for shift, mask in _COMPACT:
-        df = df.withColumns({
-            n: F.col(n).bitwiseXOR(F.shiftright(F.col(n), shift)).bitwiseAND(_lit(mask)) for n in names
-        })
-    return df.withColumns({o: F.col(n).cast("int") for o, n in zip(out, names)}).drop(*names)
+    return df.withColumns({o: decode_axis(code, d) for d, o in enumerate(out)})
 
 
 # ---------------------------------------------------------------------------
@@ -97,13 +94,10 @@ def with_decoded(df: DataFrame, code, out=("cx", "cy", "cz")) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 def morton_code(x, y, z) -> Column:
-    """Morton code of integer cells as one Column (linear in 63 bit terms)."""
-    axes = [_col(c).cast("long") for c in (x, y, z)]
-    terms = [
-        F.shiftleft(F.shiftright(a, i).bitwiseAND(_lit(1)), MAX_DIM * i + d)
-        for i in range(MAX_BITS) for d, a in enumerate(axes)
-    ]
-    return reduce(lambda acc, t: acc.bitwiseOR(t), terms)
+    """Morton code of integer cells (x, y, z) as one Column."""
+    return (spread_bits(x)
+            .bitwiseOR(_shl(spread_bits(y), 1))
+            .bitwiseOR(_shl(spread_bits(z), 2)))
 
 
 def decode_axis(code, dim: int) -> Column:
@@ -177,6 +171,13 @@ def range_overlaps(lo, hi, other_lo, other_hi) -> Column:
     return (_col(lo) <= _col(other_hi)) & (_col(other_lo) <= _col(hi))
 
 
+def range_overlaps_compat(lo, hi, other_lo, other_hi) -> Column:
+    """The original overlap test: true when either end of the other range
+    lies in this one. It misses another range that strictly encloses this
+    one; kept for compatibility, ``range_overlaps`` is the symmetric form."""
+    return range_contains(lo, hi, other_lo) | range_contains(lo, hi, other_hi)
+
+
 def range_contains_in_user_space(lo, hi, other_lo, other_hi) -> Column:
     """Both corners of the other range lie inside this range's box per axis."""
     return code_in_box(other_lo, lo, hi) & code_in_box(other_hi, lo, hi)

@@ -54,41 +54,57 @@ def extent_normalized(ext: DataFrame, precision: float = PRECISION, compat: bool
     return ext.withColumns(sizes)
 
 
-def _checked_extent(ext: DataFrame, precision: float) -> DataFrame:
-    """Fail the job when the quantised extent does not fit 21 bits per axis
-    (codes would wrap). Empty input leaves null minima and fails too."""
+def one_row(df: DataFrame) -> Column:
+    """A one-row DataFrame as a struct Column (a scalar subquery)."""
+    return df.select(F.struct(*df.columns).alias("v")).scalar()
+
+
+def extent_values(points_or_extent: DataFrame) -> dict:
+    """The extent as six Python floats.
+
+    Accepts points (aggregated here) or an extent row. The result of a
+    global aggregate is one row, so this is a bounded fetch; the values then
+    enter plans as literals, which fold into constants and keep predicates
+    on computed codes small.
+    """
+    df = points_or_extent
+    if not set(EXTENT_COLUMNS) <= set(df.columns):
+        df = extent(df)
+    row = df.select(*EXTENT_COLUMNS).first()
+    if row is None or any(row[c] is None for c in EXTENT_COLUMNS):
+        raise ValueError("cannot quantise an empty point set (the extent is undefined)")
+    return {c: float(row[c]) for c in EXTENT_COLUMNS}
+
+
+def check_fits(ext: Mapping[str, float], precision: float = PRECISION) -> None:
+    """Raise when the quantised extent does not fit 21 bits per axis (codes
+    would wrap silently)."""
     f = precision_factor(precision)
-    too_big = None
     for a in AXES:
-        span = F.round((F.col(f"max{a.upper()}") - F.col(f"min{a.upper()}")) * f)
-        cond = span.isNull() | (span > MAX_MASK)
-        too_big = cond if too_big is None else (too_big | cond)
-    guard = F.when(too_big, F.raise_error(F.lit(
-        "extent does not fit 21 bits per axis at this precision (or the input is empty)")))
-    return ext.select(*[F.col(f"min{a.upper()}") for a in AXES], guard.alias("__guard"))
+        span = round((ext[f"max{a.upper()}"] - ext[f"min{a.upper()}"]) * f)
+        if span > MAX_MASK:
+            raise ValueError(f"extent along {a} spans {span} cells at precision {precision}; "
+                             f"the code holds {MAX_MASK}: coarsen the precision or split the cloud")
 
 
-def normalize_coords(points: DataFrame, ext: DataFrame | None = None, precision: float = PRECISION,
-                     check: bool = True) -> DataFrame:
+def normalize_coords(points: DataFrame, ext: Mapping[str, float] | DataFrame | None = None,
+                     precision: float = PRECISION, check: bool = True) -> DataFrame:
     """Quantise: normX = round((x - minX) * f) as bigint, f = 1 / precision.
 
-    ``ext`` is the one-row extent (computed from ``points`` when omitted). It
-    is cross-joined as a broadcast: one row, so the broadcast is bounded.
+    ``ext`` is the extent (a mapping of the six values, or a one-row extent
+    table); it is computed from ``points`` when omitted.
     """
-    if ext is None:
-        ext = extent(points)
-    f = precision_factor(precision)
-    mins = _checked_extent(ext, precision) if check else ext.select(*[f"min{a.upper()}" for a in AXES])
-    joined = points.crossJoin(F.broadcast(mins))
-    norm = {f"norm{a.upper()}": F.round((F.col(a) - F.col(f"min{a.upper()}")) * f).cast("long") for a in AXES}
+    if ext is None or isinstance(ext, DataFrame):
+        ext = extent_values(points if ext is None else ext)
     if check:
-        # keep the guard alive: a row passes only if the extent passed
-        norm["normX"] = F.coalesce(F.col("__guard").cast("long"), norm["normX"])
-    out = joined.withColumns(norm)
-    return out.drop(*[f"min{a.upper()}" for a in AXES], *(["__guard"] if check else []))
+        check_fits(ext, precision)
+    f = precision_factor(precision)
+    norm = {f"norm{a.upper()}": F.round((F.col(a) - F.lit(ext[f"min{a.upper()}"])) * f).cast("long") for a in AXES}
+    return points.withColumns(norm)
 
 
-def encode_points(points: DataFrame, ext: DataFrame | None = None, precision: float = PRECISION,
+def encode_points(points: DataFrame, ext: Mapping[str, float] | DataFrame | None = None,
+                  precision: float = PRECISION,
                   resolution: int = RESOLUTION, keep_cells: bool = False) -> DataFrame:
     """Flat points -> coded points: quantise, Morton-encode, block code.
 
@@ -127,14 +143,12 @@ def scale_points(points: DataFrame, scale: Mapping[str, float] | float = PRECISI
 def scaled_codes(scaled: DataFrame, resolution: int = RESOLUTION) -> DataFrame:
     """Integer points -> translated to their minimum, coded and blocked.
 
-    The integer minimum is a one-row aggregate broadcast back (bounded).
+    The integer minimum is a one-row aggregate, fetched and used as literals.
     """
-    mins = scaled.agg(*[F.min(a.upper()).alias(f"min{a.upper()}") for a in AXES])
-    t = scaled.crossJoin(F.broadcast(mins)).withColumns(
-        {f"t{a.upper()}": F.col(a.upper()) - F.col(f"min{a.upper()}") for a in AXES})
+    m = scaled.agg(*[F.min(a.upper()).alias(f"min{a.upper()}") for a in AXES]).first()  # one row
+    t = scaled.withColumns({f"t{a.upper()}": F.col(a.upper()) - F.lit(m[f"min{a.upper()}"]) for a in AXES})
     t = with_morton(t, "tX", "tY", "tZ", out="mortonCode")
-    t = t.withColumn("blockMortonCode", block_code("mortonCode", resolution))
-    return t.drop(*[f"min{a.upper()}" for a in AXES])
+    return t.withColumn("blockMortonCode", block_code("mortonCode", resolution))
 
 
 def cell_of(value: Column, minimum: Column, precision: float = PRECISION, compat: bool = False) -> Column:

@@ -38,26 +38,22 @@ def _ones(offset: Column) -> Column:
     return _shru(_lit(LONG_MAX), F.lit(TOTAL_BITS) - offset)
 
 
-def _with_status(df: DataFrame, only=None) -> DataFrame:
-    """Classify octants against their box: EMIT when inside, DESCEND when
+def _status(ox: Column, oy: Column, oz: Column, side: Column, level: Column, offset: Column) -> Column:
+    """Classify an octant against its box: EMIT when inside, DESCEND when
     overlapping above the depth limit, EMIT at the limit, DROP when
-    disjoint. An octant carries its low corner cell (ox, oy, oz) and its side
-    in cells, so no code is decoded per level. ``only`` restricts
-    re-classification to the rows where it is true."""
-    lo = [F.col(c) for c in ("ox", "oy", "oz")]
-    hi = [c + F.col("side") - 1 for c in lo]
+    disjoint. An octant carries its low corner cell and its side in cells,
+    so no code is decoded per level."""
+    lo = [ox, oy, oz]
+    hi = [c + side - 1 for c in lo]
     b0 = [F.col(c) for c in CELL_COLS[:3]]
     b1 = [F.col(c) for c in CELL_COLS[3:]]
     inside = reduce(lambda a, b: a & b, [(lo[d] >= b0[d]) & (hi[d] <= b1[d]) for d in range(MAX_DIM)])
     overlap = reduce(lambda a, b: a & b,
                      [F.greatest(lo[d], b0[d]) <= F.least(hi[d], b1[d]) for d in range(MAX_DIM)])
-    status = (F.when(inside, EMIT)
-               .when(overlap & (F.col("level") < F.col("limit")) & (F.col("offset") > 0), DESCEND)
-               .when(overlap, EMIT)
-               .otherwise(DROP))
-    if only is not None:
-        status = F.when(only, status).otherwise(F.col("status"))
-    return df.withColumn("status", status)
+    return (F.when(inside, EMIT)
+             .when(overlap & (level < F.col("limit")) & (offset > 0), DESCEND)
+             .when(overlap, EMIT)
+             .otherwise(DROP))
 
 
 def validate_cells(boxes: DataFrame) -> DataFrame:
@@ -86,32 +82,35 @@ def cover_octants(boxes: DataFrame) -> DataFrame:
         F.lit(0).alias("level"),
     )
     # the root octant: its low corner is the decoded prefix, its side 2**(offset/3)
-    df = with_decoded(df, "omin", out=("ox", "oy", "oz"))
-    df = df.withColumns({c: F.col(c).cast("long") for c in ("ox", "oy", "oz")})
-    df = df.withColumn("side", _shl(_lit(1), (F.col("offset") / 3).cast("int")))
-    df = _with_status(df)
+    df = df.select(
+        "*", *[decode_axis("omin", d).cast("long").alias(c) for d, c in enumerate(("ox", "oy", "oz"))],
+        _shl(_lit(1), (F.col("offset") / 3).cast("int")).alias("side"))
+    df = df.withColumn("status", _status(F.col("ox"), F.col("oy"), F.col("oz"), F.col("side"),
+                                         F.col("level"), F.col("offset")))
+    keep = ["box_id", *CELL_COLS, "limit"]
     for _ in range(MAX_LEVELS):
-        # dropped octants explode to nothing, finished ones to a single -1
-        # marker; no Filter, so the optimizer has no predicate to push back
-        # through the earlier levels
-        df = df.withColumn("child", F.explode(
+        # one Generate and one projection per level: octants to split become
+        # 8 children, finished ones a single -1 marker, dropped ones nothing
+        df = df.select(*keep, "omin", "offset", "level", "ox", "oy", "oz", "side", "status", F.explode(
             F.when(F.col("status") == DESCEND, F.sequence(F.lit(0), F.lit(7)))
              .when(F.col("status") == EMIT, F.array(F.lit(-1)))
-             .otherwise(F.array().cast("array<int>"))))
-        is_child = F.col("child") >= 0
+             .otherwise(F.array().cast("array<int>"))).alias("child"))
+        c = F.col("child")
+        is_child = c >= 0
         half = F.shiftright(F.col("side"), 1)
         noff = F.col("offset") - MAX_DIM
-        step = {
-            "omin": F.col("omin").bitwiseOR(_shl(F.col("child").cast("long"), noff)),
+        new = {
+            "omin": F.col("omin").bitwiseOR(_shl(c.cast("long"), noff)),
             "offset": noff,
             "level": F.col("level") + 1,
-            "ox": F.col("ox") + F.col("child").bitwiseAND(1) * half,
-            "oy": F.col("oy") + F.shiftright(F.col("child"), 1).bitwiseAND(1) * half,
-            "oz": F.col("oz") + F.shiftright(F.col("child"), 2).bitwiseAND(1) * half,
+            "ox": F.col("ox") + c.bitwiseAND(1) * half,
+            "oy": F.col("oy") + F.shiftright(c, 1).bitwiseAND(1) * half,
+            "oz": F.col("oz") + F.shiftright(c, 2).bitwiseAND(1) * half,
             "side": half,
         }
-        df = df.withColumns({k: F.when(is_child, v).otherwise(F.col(k)) for k, v in step.items()})
-        df = _with_status(df.withColumn("__new", is_child), only=F.col("__new")).drop("child", "__new")
+        status = _status(new["ox"], new["oy"], new["oz"], new["side"], new["level"], new["offset"])
+        df = df.select(*keep, *[F.when(is_child, v).otherwise(F.col(k)).alias(k) for k, v in new.items()],
+                       F.when(is_child, status).otherwise(F.col("status")).alias("status"))
     return (df.filter(F.col("status") == EMIT)
               .select("box_id", F.col("omin").alias("lo"),
                       F.col("omin").bitwiseOR(_ones(F.col("offset"))).alias("hi"), "level"))
