@@ -22,7 +22,9 @@ from zpoints.operators.blocks import unnest_blocks
 from zpoints.plans.cover import box_table, zranges
 from zpoints.schema import MAX_MASK, PRECISION, RESOLUTION, precision_factor
 
-MAX_OR_TERMS = 1024
+MAX_OR_TERMS = 32          # terms of the coarse predicate pushed to parquet
+MAX_COVER_RANGES = 100_000  # largest cover fetched to the driver (about 1.6 MB)
+MAX_IN_CODES = 200_000      # largest exact code set applied as an IN (hash set)
 MAX_SQL_TERMS = 8192
 FINE_BIN_BITS = 12   # 4096 codes per bin for the shortest ranges
 BINS_PER_RANGE = 32  # a range explodes to at most about this many bins
@@ -70,20 +72,85 @@ def block_cells(cells, resolution: int = RESOLUTION):
 # Cover as a literal predicate or as a table
 # ---------------------------------------------------------------------------
 
-def cover_list(spark, cells, max_terms: int = MAX_OR_TERMS):
+_COVER_CACHE: dict = {}
+
+
+def cover_list(spark, cells, max_terms: int = MAX_COVER_RANGES):
     """Merged cover of one box as a sorted list, or None above ``max_terms``.
-    At most max_terms + 1 rows ever reach the driver."""
+    At most max_terms + 1 rows ever reach the driver. Results are memoised
+    per session and box: a cover depends on the box alone."""
+    key = (spark.sparkContext.applicationId, tuple(map(tuple, cells)), max_terms)
+    if key not in _COVER_CACHE:
+        if len(_COVER_CACHE) > 256:
+            _COVER_CACHE.clear()
+        _COVER_CACHE[key] = _cover_list(spark, cells, max_terms)
+    return _COVER_CACHE[key]
+
+
+def _cover_list(spark, cells, max_terms):
     lo, hi = cells
-    rows = (zranges(box_table(spark, [(0, *lo, *hi)]))
+    rows = (zranges(box_table(spark, [(0, *lo, *hi)]), levels=cover_levels(cells))
             .orderBy("lo").limit(max_terms + 1).collect())
     if len(rows) > max_terms:
         return None
     return [(r["lo"], r["hi"]) for r in rows]
 
 
+def cover_levels(cells) -> int:
+    """Octree levels the cover of one box can use below its common prefix."""
+    from zpoints.plans.cover import MAX_LEVELS
+    lo, hi = cells
+    a, b = _enc(*lo), _enc(*hi)
+    shift = 0
+    while (a >> shift) != (b >> shift):
+        shift += 3
+    bits = 63 - shift
+    limit = 7 if bits < 30 else 6 if bits < 40 else 5
+    return min(MAX_LEVELS, limit, shift // 3)
+
+
+def _enc(x: int, y: int, z: int) -> int:
+    return sum((((x >> i) & 1) << (3 * i)) | (((y >> i) & 1) << (3 * i + 1)) | (((z >> i) & 1) << (3 * i + 2))
+               for i in range(21))
+
+
+def coarsen(ranges, max_terms: int = MAX_OR_TERMS):
+    """Merge the ranges separated by the smallest gaps until at most
+    ``max_terms`` remain: a superset, for pushdown to parquet statistics."""
+    ranges = sorted(ranges)
+    if len(ranges) <= max_terms:
+        return ranges
+    gaps = sorted(range(len(ranges) - 1), key=lambda i: ranges[i + 1][0] - ranges[i][1])
+    cut = sorted(gaps[len(ranges) - max_terms:])  # the widest gaps stay open
+    out, start = [], ranges[0][0]
+    for i in cut:
+        out.append((start, ranges[i][1]))
+        start = ranges[i + 1][0]
+    out.append((start, ranges[-1][1]))
+    return out
+
+
+def ranges_predicate(code_col: str, ranges):
+    """Exact predicate for a sorted, disjoint range list: a coarse OR of at
+    most MAX_OR_TERMS BETWEENs (pushed down to the scan) and, when the cover
+    is finer than that, an exact IN over its codes (evaluated as a hash set).
+    Returns None when the cover holds more than MAX_IN_CODES codes."""
+    ranges = list(ranges)
+    if not ranges:
+        return F.lit(False)
+    coarse = coarsen(ranges)
+    pred = F.expr(ranges_sql(code_col, coarse))
+    if len(coarse) == len(ranges):
+        return pred
+    total = sum(h - l + 1 for l, h in ranges)
+    if total > MAX_IN_CODES:
+        return None
+    codes = ", ".join(str(c) for l, h in ranges for c in range(l, h + 1))
+    return pred & F.expr(f"{code_col} IN ({codes})")
+
+
 def any_of(terms):
-    """OR of many predicates as a balanced tree (depth log2 n): a left-deep
-    chain of hundreds of ORs overflows the optimizer's recursion."""
+    """OR of many predicates as a balanced tree (depth log2 n)."""
     terms = list(terms)
     if not terms:
         return F.lit(False)
@@ -92,12 +159,8 @@ def any_of(terms):
     return terms[0]
 
 
-def ranges_predicate(code_col: str, ranges: Iterable[tuple[int, int]]):
-    return any_of(F.col(code_col).between(F.lit(lo).cast("long"), F.lit(hi).cast("long")) for lo, hi in ranges)
-
-
 def ranges_sql(code_col: str, ranges: Iterable[tuple[int, int]]) -> str:
-    """The same predicate as SQL text (codes are integers, so no quoting)."""
+    """The OR of BETWEENs as SQL text (codes are integers, so no quoting)."""
     parts = [f"({code_col} BETWEEN {int(lo)} AND {int(hi)})" for lo, hi in ranges]
     return " OR ".join(parts) if parts else "FALSE"
 
@@ -152,12 +215,16 @@ def clip_blocks_cells(blocks: DataFrame, bcells, code_col: str = "blockMortonCod
     if bcells is None:
         return blocks.filter(F.lit(False))
     spark = blocks.sparkSession
-    if pushdown:
-        ranges = cover_list(spark, bcells, max_terms)
-        if ranges is not None:
-            return blocks.filter(ranges_predicate(code_col, ranges))
-    lo, hi = bcells
-    table = zranges(box_table(spark, [(0, *lo, *hi)])).drop("box_id")
+    ranges = cover_list(spark, bcells)
+    if pushdown and ranges is not None:
+        pred = ranges_predicate(code_col, ranges)
+        if pred is not None:
+            return blocks.filter(pred)
+    if ranges is not None:
+        table = spark.createDataFrame(ranges, "lo long, hi long")
+    else:
+        lo, hi = bcells
+        table = zranges(box_table(spark, [(0, *lo, *hi)]), levels=cover_levels(bcells)).drop("box_id")
     cols = blocks.columns
     return range_join(blocks, table, code_col).select(*cols)
 

@@ -67,7 +67,7 @@ def validate_cells(boxes: DataFrame) -> DataFrame:
     ).filter(F.col("__ok")).drop("__ok")
 
 
-def cover_octants(boxes: DataFrame) -> DataFrame:
+def cover_octants(boxes: DataFrame, levels: int = MAX_LEVELS) -> DataFrame:
     """(box_id, x0, y0, z0, x1, y1, z1) cells -> emitted octants
     (box_id, lo, hi, level), not yet merged."""
     b = validate_cells(boxes.select("box_id", *[F.col(c).cast("long").alias(c) for c in CELL_COLS]))
@@ -88,7 +88,7 @@ def cover_octants(boxes: DataFrame) -> DataFrame:
     df = df.withColumn("status", _status(F.col("ox"), F.col("oy"), F.col("oz"), F.col("side"),
                                          F.col("level"), F.col("offset")))
     keep = ["box_id", *CELL_COLS, "limit"]
-    for _ in range(MAX_LEVELS):
+    for _ in range(levels):
         # one Generate and one projection per level: octants to split become
         # 8 children, finished ones a single -1 marker, dropped ones nothing
         df = df.select(*keep, "omin", "offset", "level", "ox", "oy", "oz", "side", "status", F.explode(
@@ -132,9 +132,10 @@ def coalesce_ranges(ranges: DataFrame, groups=("box_id",), lo: str = "lo", hi: s
                    .drop("__island"))
 
 
-def zranges(boxes: DataFrame) -> DataFrame:
-    """(box_id, x0, y0, z0, x1, y1, z1) -> merged cover (box_id, lo, hi)."""
-    return coalesce_ranges(cover_octants(boxes).drop("level"))
+def zranges(boxes: DataFrame, levels: int = MAX_LEVELS) -> DataFrame:
+    """(box_id, x0, y0, z0, x1, y1, z1) -> merged cover (box_id, lo, hi).
+    ``levels`` may be lowered when every box is known to need fewer."""
+    return coalesce_ranges(cover_octants(boxes, levels).drop("level"))
 
 
 def zranges_codes(boxes: DataFrame) -> DataFrame:
