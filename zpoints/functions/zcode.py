@@ -75,7 +75,7 @@ def spread_bits(v) -> Column:
     """A 21-bit value with two zero bits inserted between its bits."""
     table = F.expr(_BYTE_SPREAD_SQL)
     v = _col(v).cast("long").bitwiseAND(_lit(MAX_MASK))
-    parts = [table.getItem(_shr(v, 8 * k).bitwiseAND(_lit(255)).cast("int")) for k in range(3)]
+    parts = [table[_shr(v, 8 * k).bitwiseAND(_lit(255)).cast("int")] for k in range(3)]
     return parts[0].bitwiseOR(_shl(parts[1], 24)).bitwiseOR(_shl(parts[2], 48))
 
 

@@ -36,7 +36,7 @@ def parse_points_text(lines: DataFrame, lenient: bool = False, intensity_type: s
     def field(i, name):
         raw = F.get(toks, i) if lenient else toks.getItem(i)
         raw = F.trim(raw)
-        return (F.try_cast(raw, types[name]) if lenient else raw.cast(types[name])).alias(name)
+        return (raw.try_cast(types[name]) if lenient else raw.cast(types[name])).alias(name)
 
     f = {name: field(i, name) for i, (name, _) in enumerate(TEXT_FIELDS)}
     zero = F.lit(0)
