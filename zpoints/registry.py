@@ -26,6 +26,7 @@ from zpoints.plans import cover as CV
 from zpoints.session import checkpoint_dir
 from zpoints.sources import clouds as CD
 from zpoints.sources import io as IO
+from zpoints.streaming import ingest as SI
 
 # Fixed values of the test fixtures: box B1 in point cells relative to the
 # extent minimum, the radius for cloud E, the export / cube parameters.
@@ -152,6 +153,20 @@ def q_coarse_partition_roundtrip(spark, sf):
     return back.select(*POINT10, F.col("coarse").cast("long").alias("coarse"))
 
 
+def q_stream_blocks_ingest(spark, sf):
+    """The lineitem cloud as a file stream: encoded against its extent (a
+    one-row aggregate of the static table), gathered into blocks per
+    micro-batch, written, and read back as points."""
+    src = scratch_path(spark, "stream-src")
+    IO.write_points_text(_L(spark, sf), src)
+    ext = EX.extent_values(_L(spark, sf))
+    stream = CD.flatten_loaded(SI.read_points_text_stream(spark, src, max_files_per_trigger=4))
+    out, ckpt = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ckpt")
+    q = SI.start_block_ingest(SI.encode_stream(stream, ext), out, ckpt, available_now=True)
+    q.awaitTermination()
+    return BL.unnest_blocks(SI.read_stream_blocks(spark, out))
+
+
 def q_clip_csv_roundtrip(spark, sf):
     path = scratch_path(spark, "clip-csv")
     IO.write_points_csv(CL.clip_coded_points(_coded(spark, sf), B1), path)
@@ -396,6 +411,7 @@ QUERIES: dict[str, Query] = {
     "blocks_roundtrip": q_blocks_roundtrip,
     "blocks_json_roundtrip": q_blocks_json_roundtrip,
     "coarse_partition_roundtrip": q_coarse_partition_roundtrip,
+    "stream_blocks_ingest": q_stream_blocks_ingest,
     "clip_csv_roundtrip": q_clip_csv_roundtrip,
     "clip_blocks": q_clip_blocks,
     "sql_clip": q_sql_clip,
@@ -629,6 +645,7 @@ ORACLES: dict[str, str] = {
     "blocks_roundtrip": _with(BASE) + f"SELECT {S_POINT10} FROM P",
     "blocks_json_roundtrip": _with(BASE) + f"SELECT {S_POINT10} FROM P",
     "coarse_partition_roundtrip": _with(BASE) + f"SELECT {S_POINT10}, blockMortonCode >> 21 AS coarse FROM P",
+    "stream_blocks_ingest": _with(BASE) + f"SELECT {S_POINT10} FROM P",
     "clip_csv_roundtrip": _with(BASE) + f"SELECT x, y, z, mortonCode FROM P WHERE {_b1_where()}",
     "clip_blocks": _with(BASE) + BLOCK_SUMMARY_SQL.format(src=f"(SELECT * FROM P WHERE {_b1_blocks_where()})"),
     "sql_clip": _with(BASE) + f"""SELECT blockMortonCode, CAST(0 AS INTEGER) AS part,

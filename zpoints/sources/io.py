@@ -98,7 +98,10 @@ def write_points_partitioned(coded: DataFrame, path: str, drop_bits: int = 21, m
     """Coded points partitioned into directories by a coarse code prefix,
     each directory sorted by code. Overwrite mode, as the original did."""
     out = coded.withColumn("coarse", coarse_prefix("blockMortonCode", drop_bits))
-    (out.repartition("coarse").sortWithinPartitions("mortonCode")
+    # range partitioning on (coarse, code) spreads a crowded prefix over many
+    # writer tasks (several files in its folder) instead of one
+    n = int(coded.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (out.repartitionByRange(n, "coarse", "mortonCode").sortWithinPartitions("coarse", "mortonCode")
         .write.mode(mode).partitionBy("coarse").parquet(path))
 
 
