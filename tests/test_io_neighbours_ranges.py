@@ -47,3 +47,16 @@ def test_chunk_prune_exact(spark):
     want = sorted(c for c, lo, hi in [(0, 0, 63), (1, 64, 127), (2, enc(3, 3, 3), enc(3, 3, 3) + 5)]
                   if any(lo <= enc(x, y, z) <= hi for x in (1, 2) for y in (1, 2) for z in (1, 2)))
     assert got == want
+
+
+def test_global_coalesce_matches_per_group_and_handles_skew(spark):
+    import random
+    random.seed(5)
+    rows = [("hot", lo, lo + random.randint(0, 3)) for lo in (random.randint(0, 3000) for _ in range(3000))]
+    rows += [("hot", 10, 12)] * 500 + [("cold", 1, 2), ("cold", 3, 4), ("cold", 9, 9), ("x", 2, 3), ("x", 5, 6),
+                                        ("x", 1, 4)]
+    df = spark.createDataFrame(rows, "g string, lo long, hi long")
+    got = sorted(tuple(r) for r in RG.coalesce_ranges(df, groups=["g"], num_partitions=7).collect())
+    want = sorted(tuple(r) for r in RG.coalesce_ranges_per_group(df, groups=["g"]).collect())
+    assert got == want
+    assert ("cold", 1, 4) in got and ("cold", 9, 9) in got and ("x", 1, 6) in got

@@ -6,7 +6,105 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from zpoints.functions.zcode import bigmin_litmax, code_in_box
-from zpoints.plans.cover import coalesce_ranges  # noqa: F401  (re-exported)
+from zpoints.plans.cover import coalesce_ranges as coalesce_ranges_per_group  # noqa: F401
+from zpoints.schema import LONG_MAX
+
+
+def _partition_totals(it):
+    import pandas as pd
+    from pyspark import TaskContext
+    total = 0
+    for pdf in it:
+        total += int(pdf["delta"].sum())
+    yield pd.DataFrame({"pid": [TaskContext.get().partitionId()], "total": [total]})
+
+
+def _boundary_events(carry: dict, groups: list):
+    """Per partition of the globally sorted events: coverage = carry +
+    running sum; a start is a +1 step from zero coverage, an end a step back
+    to zero. Emits only those boundary events, numbered within the
+    partition (vectorised per Arrow batch, state carried across batches)."""
+    def run(it):
+        import numpy as np
+        import pandas as pd
+        from pyspark import TaskContext
+        pid = TaskContext.get().partitionId()
+        cov, ns, ne = int(carry.get(pid, 0)), 0, 0
+        for pdf in it:
+            if pdf.empty:
+                continue
+            d = pdf["delta"].to_numpy(np.int64)
+            after = cov + np.cumsum(d)
+            before = after - d
+            st = (d > 0) & (before == 0)
+            en = (d < 0) & (after == 0)
+            srank = ns + np.cumsum(st)
+            erank = ne + np.cumsum(en)
+            cov, ns, ne = int(after[-1]), int(srank[-1]), int(erank[-1])
+            keep = st | en
+            out = pdf.loc[keep, groups].copy()
+            pos = pdf["pos"].to_numpy(np.int64)
+            out["pos"] = np.where(st, pos, pos - 1)[keep]
+            out["kind"] = np.where(st, 0, 1)[keep].astype(np.int32)
+            out["local_k"] = np.where(st, srank, erank)[keep].astype(np.int64)
+            out["pid"] = np.int32(pid)
+            yield out
+    return run
+
+
+def coalesce_ranges(ranges: DataFrame, groups=("box_id",), lo: str = "lo", hi: str = "hi",
+                    num_partitions: int | None = None) -> DataFrame:
+    """Merge overlapping or adjacent inclusive ranges per group, with no
+    group ever handled by a single task.
+
+    Each range becomes a +1 event at lo and a -1 event at hi + 1; equal
+    events are pre-aggregated map-side (so copies of one range cost one
+    row). Events are range-partitioned over (group, pos) - a hot group is
+    split across tasks - and pinned with a reliable checkpoint. Coverage is
+    a running sum; as every complete group sums to zero, the carry into a
+    partition is the sum of all earlier partitions (one number per
+    partition, fetched to the driver). Island starts and ends are then
+    numbered globally and paired by number: the k-th start opens the island
+    that the k-th end closes.
+
+    Ranges must satisfy lo <= hi < 2**63 - 1.
+    """
+    from zpoints.session import checkpoint_dir
+    groups = list(groups)
+    spark = ranges.sparkSession
+    checkpoint_dir(spark)
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    checked = ranges.select(*groups, F.col(lo).cast("long").alias("__lo"), F.when(
+        F.col(hi) >= F.lit(LONG_MAX), F.raise_error(F.lit("range end must be below 2**63 - 1")))
+        .otherwise(F.col(hi).cast("long")).alias("__hi"))
+    ev = checked.select(*groups, F.inline(F.array(
+        F.struct(F.col("__lo").alias("pos"), F.lit(0).alias("kind")),
+        F.struct((F.col("__hi") + 1).alias("pos"), F.lit(1).alias("kind")))))
+    ev = (ev.groupBy(*groups, "pos", "kind").agg(F.count(F.lit(1)).alias("w"))
+            .select(*groups, "pos", "kind",
+                    F.when(F.col("kind") == 0, F.col("w")).otherwise(-F.col("w")).alias("delta")))
+    ordered = (ev.repartitionByRange(n, *groups, "pos", "kind")
+                 .sortWithinPartitions(*groups, "pos", "kind")
+                 .checkpoint(eager=True))
+    totals = sorted((r["pid"], r["total"]) for r in
+                    ordered.mapInPandas(_partition_totals, "pid int, total long").collect())
+    carry, acc = {}, 0
+    for pid, total in totals:
+        carry[pid] = acc
+        acc += total
+    gschema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ordered.schema.fields
+                        if f.name in groups)
+    bounds = ordered.mapInPandas(_boundary_events(carry, groups),
+                                 f"{gschema}, pos long, kind int, local_k long, pid int")
+    counts = sorted((r["pid"], r["kind"], r["n"]) for r in
+                    bounds.groupBy("pid", "kind").agg(F.count(F.lit(1)).alias("n")).collect())
+    offsets, seen = [], {0: 0, 1: 0}
+    for pid, kind, cnt in counts:
+        offsets.append((pid, kind, seen[kind]))
+        seen[kind] += cnt
+    off = spark.createDataFrame(offsets or [(0, 0, 0)], "pid int, kind int, off long")
+    numbered = bounds.join(F.broadcast(off), ["pid", "kind"]).withColumn("k", F.col("local_k") + F.col("off"))
+    return numbered.groupBy(*groups, "k").agg(F.min("pos").alias(lo), F.max("pos").alias(hi)).drop("k")
 
 
 def range_length(lo="lo", hi="hi"):
