@@ -38,22 +38,17 @@ def _ones(offset: Column) -> Column:
     return _shru(_lit(LONG_MAX), F.lit(TOTAL_BITS) - offset)
 
 
-def _status(ox: Column, oy: Column, oz: Column, side: Column, level: Column, offset: Column) -> Column:
-    """Classify an octant against its box: EMIT when inside, DESCEND when
-    overlapping above the depth limit, EMIT at the limit, DROP when
+def _status_sql(ox: str, oy: str, oz: str, side: str, level: str, offset: str) -> str:
+    """Classify an octant against its box: EMIT (1) when inside, DESCEND (2)
+    when overlapping above the depth limit, EMIT at the limit, DROP (0) when
     disjoint. An octant carries its low corner cell and its side in cells,
-    so no code is decoded per level."""
+    so no code is decoded per level. SQL text: one parse per level."""
     lo = [ox, oy, oz]
-    hi = [c + side - 1 for c in lo]
-    b0 = [F.col(c) for c in CELL_COLS[:3]]
-    b1 = [F.col(c) for c in CELL_COLS[3:]]
-    inside = reduce(lambda a, b: a & b, [(lo[d] >= b0[d]) & (hi[d] <= b1[d]) for d in range(MAX_DIM)])
-    overlap = reduce(lambda a, b: a & b,
-                     [F.greatest(lo[d], b0[d]) <= F.least(hi[d], b1[d]) for d in range(MAX_DIM)])
-    return (F.when(inside, EMIT)
-             .when(overlap & (level < F.col("limit")) & (offset > 0), DESCEND)
-             .when(overlap, EMIT)
-             .otherwise(DROP))
+    inside = " AND ".join(f"({v}) >= {a}0 AND ({v}) + ({side}) - 1 <= {a}1" for v, a in zip(lo, "xyz"))
+    overlap = " AND ".join(f"greatest({v}, {a}0) <= least(({v}) + ({side}) - 1, {a}1)" for v, a in zip(lo, "xyz"))
+    return (f"CASE WHEN {inside} THEN {EMIT} "
+            f"WHEN {overlap} AND ({level}) < lim AND ({offset}) > 0 THEN {DESCEND} "
+            f"WHEN {overlap} THEN {EMIT} ELSE {DROP} END")
 
 
 def validate_cells(boxes: DataFrame) -> DataFrame:
@@ -76,41 +71,33 @@ def cover_octants(boxes: DataFrame, levels: int = MAX_LEVELS) -> DataFrame:
     b = b.withColumn("__cp", common_prefix(zmin, zmax))
     df = b.select(
         "box_id", *CELL_COLS,
-        depth_limit(F.col("__cp.bits")).alias("limit"),
+        depth_limit(F.col("__cp.bits")).alias("lim"),
         F.col("__cp.prefix").alias("omin"),
         (F.lit(TOTAL_BITS) - F.col("__cp.bits")).alias("offset"),
         F.lit(0).alias("level"),
     )
     # the root octant: its low corner is the decoded prefix, its side 2**(offset/3)
-    df = df.select(
-        "*", *[decode_axis("omin", d).cast("long").alias(c) for d, c in enumerate(("ox", "oy", "oz"))],
-        _shl(_lit(1), (F.col("offset") / 3).cast("int")).alias("side"))
-    df = df.withColumn("status", _status(F.col("ox"), F.col("oy"), F.col("oz"), F.col("side"),
-                                         F.col("level"), F.col("offset")))
-    keep = ["box_id", *CELL_COLS, "limit"]
+    df = with_decoded(df, "omin", out=("ox", "oy", "oz"))
+    df = df.selectExpr("*", "shiftleft(1L, CAST(offset / 3 AS INT)) AS side")
+    df = df.selectExpr("*", _status_sql("ox", "oy", "oz", "side", "level", "offset") + " AS status")
+    keep = ["box_id", *CELL_COLS, "lim"]
+    state = ["omin", "offset", "level", "ox", "oy", "oz", "side", "status"]
+    step = {
+        "omin": "omin | shiftleft(CAST(child AS BIGINT), offset - 3)",
+        "offset": "offset - 3",
+        "level": "level + 1",
+        "ox": "ox + (child & 1) * shiftright(side, 1)",
+        "oy": "oy + (shiftright(child, 1) & 1) * shiftright(side, 1)",
+        "oz": "oz + (shiftright(child, 2) & 1) * shiftright(side, 1)",
+        "side": "shiftright(side, 1)",
+    }
+    step["status"] = _status_sql(step["ox"], step["oy"], step["oz"], step["side"], step["level"], step["offset"])
     for _ in range(levels):
         # one Generate and one projection per level: octants to split become
         # 8 children, finished ones a single -1 marker, dropped ones nothing
-        df = df.select(*keep, "omin", "offset", "level", "ox", "oy", "oz", "side", "status", F.explode(
-            F.when(F.col("status") == DESCEND, F.sequence(F.lit(0), F.lit(7)))
-             .when(F.col("status") == EMIT, F.array(F.lit(-1)))
-             .otherwise(F.array().cast("array<int>"))).alias("child"))
-        c = F.col("child")
-        is_child = c >= 0
-        half = F.shiftright(F.col("side"), 1)
-        noff = F.col("offset") - MAX_DIM
-        new = {
-            "omin": F.col("omin").bitwiseOR(_shl(c.cast("long"), noff)),
-            "offset": noff,
-            "level": F.col("level") + 1,
-            "ox": F.col("ox") + c.bitwiseAND(1) * half,
-            "oy": F.col("oy") + F.shiftright(c, 1).bitwiseAND(1) * half,
-            "oz": F.col("oz") + F.shiftright(c, 2).bitwiseAND(1) * half,
-            "side": half,
-        }
-        status = _status(new["ox"], new["oy"], new["oz"], new["side"], new["level"], new["offset"])
-        df = df.select(*keep, *[F.when(is_child, v).otherwise(F.col(k)).alias(k) for k, v in new.items()],
-                       F.when(is_child, status).otherwise(F.col("status")).alias("status"))
+        df = df.selectExpr(*keep, *state, f"explode(CASE WHEN status = {DESCEND} THEN sequence(0, 7) "
+                           f"WHEN status = {EMIT} THEN array(-1) ELSE CAST(array() AS array<int>) END) AS child")
+        df = df.selectExpr(*keep, *[f"CASE WHEN child >= 0 THEN {step[k]} ELSE {k} END AS {k}" for k in state])
     return (df.filter(F.col("status") == EMIT)
               .select("box_id", F.col("omin").alias("lo"),
                       F.col("omin").bitwiseOR(_ones(F.col("offset"))).alias("hi"), "level"))
