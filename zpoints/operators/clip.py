@@ -187,7 +187,10 @@ def range_join(left: DataFrame, ranges: DataFrame, code_col: str,
         bits = fine_bits + step * t
         r = (tiered.filter(F.col("__tier") == t).drop("__tier")
                    .withColumn("__bin", F.explode(F.sequence(_shr(F.col("lo"), bits), _shr(F.col("hi"), bits)))))
-        lt = left.withColumn("__bin", _shr(F.col(code_col), bits))
+        # a non-nullable bin (null codes go to bin -1, which no range uses):
+        # otherwise the optimizer infers isnotnull(bin) and pushes it below
+        # the projection that computes the code, copying that expression
+        lt = left.withColumn("__bin", F.coalesce(_shr(F.col(code_col), bits), F.lit(-1).cast("long")))
         j = lt.join(r, on="__bin").filter(F.col(code_col).between(F.col("lo"), F.col("hi"))).drop("__bin")
         parts.append(j)
     if not parts:
@@ -237,8 +240,16 @@ def clip(blocks: DataFrame, extent_min, box_min, box_max, precision: float = PRE
 
 
 def exact_cells_filter(points: DataFrame, cells, code_col: str = "mortonCode") -> DataFrame:
-    """Keep points whose decoded cells lie in the box (exact refinement)."""
+    """Keep points whose cells lie in the box (exact refinement).
+
+    Uses the quantised cells (normX/Y/Z) when the rows still carry them, and
+    decodes the code otherwise (stored tables, where the code is a plain
+    column). Decoding a code computed in the same plan would make the
+    optimizer copy the whole code expression into every decoded bit."""
     (x0, y0, z0), (x1, y1, z1) = cells
+    if {"normX", "normY", "normZ"} <= set(points.columns):
+        return points.filter(F.col("normX").between(x0, x1) & F.col("normY").between(y0, y1)
+                             & F.col("normZ").between(z0, z1))
     d = with_decoded(points, code_col, out=("__cx", "__cy", "__cz"))
     d = d.filter(F.col("__cx").between(x0, x1) & F.col("__cy").between(y0, y1) & F.col("__cz").between(z0, z1))
     return d.drop("__cx", "__cy", "__cz")

@@ -169,7 +169,7 @@ def q_stream_blocks_ingest(spark, sf):
 
 def q_clip_csv_roundtrip(spark, sf):
     path = scratch_path(spark, "clip-csv")
-    IO.write_points_csv(CL.clip_coded_points(_coded(spark, sf), B1), path)
+    IO.write_points_csv(CL.clip_coded_points(_coded(spark, sf, keep_cells=True), B1), path)
     return IO.read_points_csv(spark, path)
 
 
@@ -220,7 +220,7 @@ def q_cube_around_point(spark, sf):
     e = EX.extent_normalized(EX.extent(_L(spark, sf))).first()
     center = tuple(int(e[f"size{a}"]) // 2 for a in "XYZ")
     cells = CL.cube_cells(center, CUBE_HALF_WIDTH)
-    return CL.clip_coded_points(_coded(spark, sf), cells).select(*POINT10)
+    return CL.clip_coded_points(_coded(spark, sf, keep_cells=True), cells).select(*POINT10)
 
 
 def _coarse_boxes(spark, sf):
