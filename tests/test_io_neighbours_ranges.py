@@ -60,3 +60,15 @@ def test_global_coalesce_matches_per_group_and_handles_skew(spark):
     want = sorted(tuple(r) for r in RG.coalesce_ranges_per_group(df, groups=["g"]).collect())
     assert got == want
     assert ("cold", 1, 4) in got and ("cold", 9, 9) in got and ("x", 1, 6) in got
+
+
+def test_st_ranges_cover_the_events(spark):
+    from zpoints.functions import spacetime as ST
+    ev = ST.st_index(CD.events_cloud(spark, SF_SMALL))
+    box = ((-100.0, 60.0), (-30.0, 45.0), (86400, 4 * 86400))
+    ranges = [(r.lo, r.hi) for r in ST.st_ranges(spark, *box).collect()]
+    inside = ev.filter(F.col("lon").between(*box[0]) & F.col("lat").between(*box[1])
+                       & F.col("t").between(*box[2])).collect()
+    assert inside
+    for r in inside:
+        assert any(lo <= r.stCode <= hi for lo, hi in ranges)

@@ -75,6 +75,13 @@ def st_box_cells(lon_range, lat_range, t_range):
     return lo, hi
 
 
+def st_ranges(spark, lon_range, lat_range, t_range):
+    """Z ranges (lo, hi) covering a space-time box, as a DataFrame."""
+    from zpoints.plans.cover import box_table, zranges
+    lo, hi = st_box_cells(lon_range, lat_range, t_range)
+    return zranges(box_table(spark, [(0, *lo, *hi)])).drop("box_id")
+
+
 def st_box_filter(events: DataFrame, lon_range, lat_range, t_range, lon="lon", lat="lat", t="t") -> DataFrame:
     """Events inside a space-time box: the cover of the box's cells on the
     space-time code (a superset, prunable on stored codes), then the exact

@@ -177,10 +177,15 @@ def range_join(left: DataFrame, ranges: DataFrame, code_col: str,
     sort-merge join whose skewed bins AQE splits) plus the exact BETWEEN.
     The distinct tiers are a handful of integers.
     """
+    from zpoints.session import checkpoint_dir
     step = max(1, (bins_per_range - 1).bit_length())
     width = F.length(F.bin(F.col("hi") - F.col("lo")))
     tier = F.greatest(F.lit(0), F.ceil((width - F.lit(fine_bits + step)) / step)).cast("int")
-    tiered = ranges.withColumn("__tier", tier)
+    # the range table (covers, chunk lists: small next to the points) is
+    # pinned with a reliable checkpoint, so finding its tiers and joining it
+    # compute its lineage once
+    checkpoint_dir(ranges.sparkSession)
+    tiered = ranges.withColumn("__tier", tier).checkpoint(eager=True)
     tiers = sorted(r[0] for r in tiered.select("__tier").distinct().collect())
     parts = []
     for t in tiers:
