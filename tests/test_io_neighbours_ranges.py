@@ -72,3 +72,48 @@ def test_st_ranges_cover_the_events(spark):
     assert inside
     for r in inside:
         assert any(lo <= r.stCode <= hi for lo, hi in ranges)
+
+
+def test_coarse_partition_pruning_and_export(spark):
+    from zpoints.operators import clip as CL
+    from zpoints.operators import extent as EX
+    from zpoints.operators import blocks as BL
+    coded = EX.encode_points(CD.lineitem_cloud(spark, SF_SMALL))
+    path = R.scratch_path(spark, "test-coarse")
+    IO.write_points_partitioned(coded, path)
+    back = IO.read_points_partitioned(spark, path)
+    bcells = CL.block_cells(R.B1)
+    ranges = CL.cover_list(spark, bcells)
+    sel = back.filter(IO.coarse_filter_for(ranges)).filter(CL.ranges_predicate("blockMortonCode", ranges))
+    plan = sel._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(coarse" in plan or "PartitionFilters: [" in plan
+    want = CL.clip_blocks_cells(coded, bcells, pushdown=False)
+    assert sorted(r.mortonCode for r in sel.collect()) == sorted(r.mortonCode for r in want.collect())
+    out = R.scratch_path(spark, "test-export")
+    stored = BL.collect_blocks(coded)
+    IO.write_export(CL.clip_blocks_cells(stored, bcells, pushdown=False), out)
+    lines = [r.value for r in spark.read.text(out).collect()]
+    assert len(lines) == sel.count() and all(len(l.split(" ")) == 3 for l in lines)
+
+
+def test_zranges_codes_and_validity(spark):
+    from zpoints.plans import cover as CV
+    boxes = spark.createDataFrame([(1, enc(11, 8, 0), enc(17, 12, 4))], "box_id int, zmin long, zmax long")
+    rs = CV.zranges_codes(boxes).collect()
+    assert len(rs) == 50 and sum(r.hi - r.lo + 1 for r in rs) == 175
+    bad = spark.createDataFrame([(1, 10, 5)], "box_id int, zmin long, zmax long")
+    with pytest.raises(Exception):
+        CV.zranges_codes(bad).collect()
+
+
+def test_nested_shapes(spark):
+    from zpoints.operators import extent as EX
+    from zpoints.operators import stats as SS
+    pts = CD.lineitem_cloud(spark, SF_SMALL)
+    loaded = CD.nest_loaded(pts)
+    assert loaded.schema["coordinates"].dataType.fieldNames() == ["x", "y", "z"]
+    assert CD.flatten_loaded(loaded).count() == pts.count()
+    cat = SS.nest_catalog(SS.cloud_catalog(EX.encode_points(pts), "intensity", "lineitem"))
+    assert cat.schema.fieldNames() == ["id", "name", "resolution", "extent", "offsets", "scaleFactors"]
+    ext = EX.extent_literal(EX.extent_values(pts), spark)
+    assert ext.count() == 1

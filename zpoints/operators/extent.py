@@ -149,10 +149,3 @@ def scaled_codes(scaled: DataFrame, resolution: int = RESOLUTION) -> DataFrame:
     t = scaled.withColumns({f"t{a.upper()}": F.col(a.upper()) - F.lit(m[f"min{a.upper()}"]) for a in AXES})
     t = with_morton(t, "tX", "tY", "tZ", out="mortonCode")
     return t.withColumn("blockMortonCode", block_code("mortonCode", resolution))
-
-
-def cell_of(value: Column, minimum: Column, precision: float = PRECISION, compat: bool = False) -> Column:
-    """Cell index of a coordinate: rounded like the points (default), or
-    truncated (``compat``) as the original box quantisation did."""
-    scaled = (value - minimum) * precision_factor(precision)
-    return scaled.cast("long") if compat else F.round(scaled).cast("long")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from zpoints.operators.blocks import unnest_blocks
-from zpoints.schema import BLOCKS, LOADED_POINT
+from zpoints.schema import BLOCKS
 
 # The token layout of a text point line.
 TEXT_FIELDS = [("x", "double"), ("y", "double"), ("z", "double"),
@@ -141,7 +141,3 @@ def export_lines(blocks: DataFrame) -> DataFrame:
 
 def write_export(blocks: DataFrame, path: str, mode: str = "errorifexists") -> None:
     export_lines(blocks).write.mode(mode).text(path)
-
-
-def loaded_schema() -> T.StructType:
-    return LOADED_POINT
