@@ -67,11 +67,14 @@ def write_points_text(points: DataFrame, path: str, mode: str = "errorifexists")
 
 def write_blocks(blocks: DataFrame, path: str, mode: str = "errorifexists",
                  num_partitions: int | None = None) -> None:
-    """Blocks -> parquet, range-partitioned and sorted by (code, part)."""
-    n = num_partitions or int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (blocks.repartitionByRange(n, "blockMortonCode", "part")
-           .sortWithinPartitions("blockMortonCode", "part")
-           .write.mode(mode).parquet(path))
+    """Blocks -> parquet, range-partitioned and sorted by (code, part).
+
+    Without ``num_partitions`` the range shuffle is sized by AQE (partitions
+    coalesced towards the advisory size), so file count follows data volume."""
+    cols = ("blockMortonCode", "part")
+    parted = (blocks.repartitionByRange(num_partitions, *cols) if num_partitions
+              else blocks.repartitionByRange(*cols))
+    parted.sortWithinPartitions(*cols).write.mode(mode).parquet(path)
 
 
 def read_blocks(spark: SparkSession, path: str) -> DataFrame:
@@ -100,8 +103,7 @@ def write_points_partitioned(coded: DataFrame, path: str, drop_bits: int = 21, m
     out = coded.withColumn("coarse", coarse_prefix("blockMortonCode", drop_bits))
     # range partitioning on (coarse, code) spreads a crowded prefix over many
     # writer tasks (several files in its folder) instead of one
-    n = int(coded.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (out.repartitionByRange(n, "coarse", "mortonCode").sortWithinPartitions("coarse", "mortonCode")
+    (out.repartitionByRange("coarse", "mortonCode").sortWithinPartitions("coarse", "mortonCode")
         .write.mode(mode).partitionBy("coarse").parquet(path))
 
 

@@ -43,8 +43,7 @@ def encode_stream(points: DataFrame, ext: Mapping[str, float], precision: float
 def _write_batch_blocks(out_path: str, max_points_per_row: int):
     def write(batch: DataFrame, batch_id: int) -> None:
         blocks = collect_blocks(batch, max_points_per_row=max_points_per_row)
-        n = int(batch.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        (blocks.repartitionByRange(n, "blockMortonCode", "part")
+        (blocks.repartitionByRange("blockMortonCode", "part")
                .sortWithinPartitions("blockMortonCode", "part")
                .write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/batch_id={batch_id}"))
     return write
