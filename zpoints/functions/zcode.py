@@ -22,7 +22,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from zpoints.schema import LONG_MAX, MAX_BITS, MAX_DIM, MAX_MASK, TOTAL_BITS
+from zpoints.schema import DEPTH_LIMIT_DEFAULT, DEPTH_LIMITS, LONG_MAX, MAX_BITS, MAX_DIM, MAX_MASK, TOTAL_BITS
 
 
 def _col(c) -> Column:
@@ -139,7 +139,10 @@ def common_prefix(lo, hi) -> Column:
 def depth_limit(common_bits) -> Column:
     """Octree search depth below the common prefix: 7, 6 or 5 levels."""
     b = _col(common_bits)
-    return F.when(b < 30, 7).when(b < 40, 6).otherwise(5)
+    out = None
+    for below, levels in DEPTH_LIMITS:
+        out = F.when(b < below, levels) if out is None else out.when(b < below, levels)
+    return out.otherwise(DEPTH_LIMIT_DEFAULT)
 
 
 def code_in_box(code, box_min, box_max) -> Column:

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from zpoints.functions.zcode import _shl, _shr, with_decoded
 from zpoints.operators.blocks import unnest_blocks
 from zpoints.plans.cover import box_table, zranges
-from zpoints.schema import MAX_MASK, PRECISION, RESOLUTION, precision_factor
+from zpoints.schema import DEPTH_LIMIT_DEFAULT, DEPTH_LIMITS, MAX_MASK, PRECISION, RESOLUTION, precision_factor
 
 MAX_OR_TERMS = 32          # terms of the coarse predicate pushed to parquet
 MAX_COVER_RANGES = 100_000  # largest cover fetched to the driver (about 1.6 MB)
@@ -105,7 +105,7 @@ def cover_levels(cells) -> int:
     while (a >> shift) != (b >> shift):
         shift += 3
     bits = 63 - shift
-    limit = 7 if bits < 30 else 6 if bits < 40 else 5
+    limit = next((levels for below, levels in DEPTH_LIMITS if bits < below), DEPTH_LIMIT_DEFAULT)
     return min(MAX_LEVELS, limit, shift // 3)
 
 

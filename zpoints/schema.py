@@ -9,6 +9,12 @@ from pyspark.sql import types as T
 PRECISION = 0.001
 RESOLUTION = 8
 
+# Fixed values of the octree cover: search depth below the common prefix,
+# by the number of shared prefix bits: fewer than 30 -> 7 levels, fewer than
+# 40 -> 6 levels, otherwise 5 levels.
+DEPTH_LIMITS = [(30, 7), (40, 6)]
+DEPTH_LIMIT_DEFAULT = 5
+
 # Fixed values of the 3-D Morton code: 21 bits per axis, 63 in total.
 MAX_DIM = 3
 MAX_BITS = 21
