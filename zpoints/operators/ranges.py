@@ -10,20 +10,25 @@ from zpoints.plans.cover import coalesce_ranges as coalesce_ranges_per_group  #
 from zpoints.schema import LONG_MAX
 
 
-def _partition_totals(it):
-    import pandas as pd
-    from pyspark import TaskContext
-    total = 0
-    for pdf in it:
-        total += int(pdf["delta"].sum())
-    yield pd.DataFrame({"pid": [TaskContext.get().partitionId()], "total": [total]})
+def _partition_totals():
+    """Sum of deltas per partition. Built as a closure so that it is
+    shipped to the workers by value (they need only pandas, not zpoints)."""
+    def run(it):
+        import pandas as pd
+        from pyspark import TaskContext
+        total = 0
+        for pdf in it:
+            total += int(pdf["delta"].sum())
+        yield pd.DataFrame({"pid": [TaskContext.get().partitionId()], "total": [total]})
+    return run
 
 
 def _boundary_events(carry: dict, groups: list):
     """Per partition of the globally sorted events: coverage = carry +
     running sum; a start is a +1 step from zero coverage, an end a step back
     to zero. Emits only those boundary events, numbered within the
-    partition (vectorised per Arrow batch, state carried across batches)."""
+    partition (vectorised per Arrow batch, state carried across batches).
+    A closure, shipped by value like ``_partition_totals``."""
     def run(it):
         import numpy as np
         import pandas as pd
@@ -87,7 +92,7 @@ def coalesce_ranges(ranges: DataFrame, groups=("box_id",), lo: str = "lo", hi: s
                  .sortWithinPartitions(*groups, "pos", "kind")
                  .checkpoint(eager=True))
     totals = sorted((r["pid"], r["total"]) for r in
-                    ordered.mapInPandas(_partition_totals, "pid int, total long").collect())
+                    ordered.mapInPandas(_partition_totals(), "pid int, total long").collect())
     carry, acc = {}, 0
     for pid, total in totals:
         carry[pid] = acc
