@@ -24,7 +24,7 @@ from zpoints.schema import DEPTH_LIMIT_DEFAULT, DEPTH_LIMITS, MAX_MASK, PRECISIO
 
 MAX_OR_TERMS = 32          # terms of the coarse predicate pushed to parquet
 MAX_COVER_RANGES = 100_000  # largest cover fetched to the driver (about 1.6 MB)
-MAX_IN_CODES = 200_000      # largest exact code set applied as an IN (hash set)
+MAX_IN_CODES = 50_000       # largest exact code set applied as an IN (shipped with each task)
 MAX_SQL_TERMS = 8192
 FINE_BIN_BITS = 12   # 4096 codes per bin for the shortest ranges
 BINS_PER_RANGE = 32  # a range explodes to at most about this many bins

@@ -24,6 +24,7 @@ def get_spark(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "z
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", os.environ.get("ZPOINTS_DRIVER_MEMORY", "16g"))
     )
     spark = builder.getOrCreate()
