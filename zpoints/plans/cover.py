@@ -98,9 +98,14 @@ def cover_octants(boxes: DataFrame, levels: int = MAX_LEVELS) -> DataFrame:
         df = df.selectExpr(*keep, *state, f"explode(CASE WHEN status = {DESCEND} THEN sequence(0, 7) "
                            f"WHEN status = {EMIT} THEN array(-1) ELSE CAST(array() AS array<int>) END) AS child")
         df = df.selectExpr(*keep, *[f"CASE WHEN child >= 0 THEN {step[k]} ELSE {k} END AS {k}" for k in state])
-    return (df.filter(F.col("status") == EMIT)
-              .select("box_id", F.col("omin").alias("lo"),
-                      F.col("omin").bitwiseOR(_ones(F.col("offset"))).alias("hi"), "level"))
+    # keep the emitted octants with one more Generate rather than a Filter: a
+    # filter on ``status`` would be pushed down and have the status, corner
+    # and prefix expressions inlined into it (with no level in between, as
+    # for a single-cell box, that blows up the optimizer)
+    df = df.selectExpr(*keep, *state, f"explode(CASE WHEN status = {EMIT} THEN array(1) "
+                                      f"ELSE CAST(array() AS array<int>) END) AS __keep")
+    return df.select("box_id", F.col("omin").alias("lo"),
+                     F.col("omin").bitwiseOR(_ones(F.col("offset"))).alias("hi"), "level")
 
 
 def coalesce_ranges(ranges: DataFrame, groups=("box_id",), lo: str = "lo", hi: str = "hi") -> DataFrame:
