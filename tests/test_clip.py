@@ -73,3 +73,9 @@ def test_many_boxes_equals_brute_force(spark, coded):
     for bid, x0, y0, z0, x1, y1, z1 in [(1, 0, 0, 0, 30000, 20000, 5000), (2, 10000, 5000, 1000, 60000, 40000, 9000)]:
         want += [(bid, r.mortonCode) for r in _exact(coded, ((x0, y0, z0), (x1, y1, z1))).collect()]
     assert got == sorted(want)
+
+
+def test_range_join_with_no_ranges(spark, coded):
+    empty = spark.createDataFrame([], "lo long, hi long, box_id int")
+    out = CL.range_join(coded, empty, "blockMortonCode")
+    assert out.count() == 0 and {"lo", "hi", "box_id"} <= set(out.columns)

@@ -198,8 +198,9 @@ def range_join(left: DataFrame, ranges: DataFrame, code_col: str,
         lt = left.withColumn("__bin", F.coalesce(_shr(F.col(code_col), bits), F.lit(-1).cast("long")))
         j = lt.join(r, on="__bin").filter(F.col(code_col).between(F.col("lo"), F.col("hi"))).drop("__bin")
         parts.append(j)
-    if not parts:
-        return left.join(ranges, on=F.lit(False), how="inner")
+    if not parts:  # no ranges: an empty result with the joined columns
+        extra = [F.lit(None).cast(t).alias(n) for n, t in ranges.dtypes if n not in left.columns]
+        return left.filter(F.lit(False)).select(*left.columns, *extra)
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
