@@ -99,8 +99,10 @@ def coalesce_ranges(ranges: DataFrame, groups=("box_id",), lo: str = "lo", hi: s
         acc += total
     gschema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ordered.schema.fields
                         if f.name in groups)
+    # island boundaries are few next to the events; pin them so the count
+    # and the numbering below do not run the partition pass twice
     bounds = ordered.mapInPandas(_boundary_events(carry, groups),
-                                 f"{gschema}, pos long, kind int, local_k long, pid int")
+                                 f"{gschema}, pos long, kind int, local_k long, pid int").checkpoint(eager=True)
     counts = sorted((r["pid"], r["kind"], r["n"]) for r in
                     bounds.groupBy("pid", "kind").agg(F.count(F.lit(1)).alias("n")).collect())
     offsets, seen = [], {0: 0, 1: 0}
