@@ -48,6 +48,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder: checkpoints and intermediate "
+                           "tables must survive the loss of any one machine")
     local = tempfile.mkdtemp(prefix="zpoints-ckpt-", dir="/tmp")
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
