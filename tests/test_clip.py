@@ -79,3 +79,12 @@ def test_range_join_with_no_ranges(spark, coded):
     empty = spark.createDataFrame([], "lo long, hi long, box_id int")
     out = CL.range_join(coded, empty, "blockMortonCode")
     assert out.count() == 0 and {"lo", "hi", "box_id"} <= set(out.columns)
+
+
+def test_high_edge_on_block_boundary_rounding_vs_truncation():
+    # a point at offset 4.6077 rounds to cell 4608; a box edge at 4.6079
+    # rounds to 4608 too (kept), while truncation would give 4607 (missed)
+    rounded = CL.box_to_cells((0.0, 0.0, 0.0), (4.0, 0.0, 0.0), (4.6079, 1.0, 1.0))
+    truncated = CL.box_to_cells((0.0, 0.0, 0.0), (4.0, 0.0, 0.0), (4.6079, 1.0, 1.0), compat=True)
+    point_cell = round(4.6077 * 1000)
+    assert rounded[1][0] >= point_cell > truncated[1][0]
