@@ -25,7 +25,6 @@ from zpoints.schema import DEPTH_LIMIT_DEFAULT, DEPTH_LIMITS, MAX_MASK, PRECISIO
 MAX_OR_TERMS = 32          # terms of the coarse predicate pushed to parquet
 MAX_COVER_RANGES = 100_000  # largest cover fetched to the driver (about 1.6 MB)
 MAX_IN_CODES = 50_000       # largest exact code set applied as an IN (shipped with each task)
-MAX_SQL_TERMS = 8192
 FINE_BIN_BITS = 12   # 4096 codes per bin for the shortest ranges
 BINS_PER_RANGE = 32  # a range explodes to at most about this many bins
 
@@ -130,23 +129,29 @@ def coarsen(ranges, max_terms: int = MAX_OR_TERMS):
     return out
 
 
-def ranges_predicate(code_col: str, ranges):
-    """Exact predicate for a sorted, disjoint range list: a coarse OR of at
-    most MAX_OR_TERMS BETWEENs (pushed down to the scan) and, when the cover
-    is finer than that, an exact IN over its codes (evaluated as a hash set).
-    Returns None when the cover holds more than MAX_IN_CODES codes."""
+def ranges_predicate_sql(code_col: str, ranges):
+    """SQL text of the exact predicate for a sorted, disjoint range list: a
+    coarse OR of at most MAX_OR_TERMS BETWEENs (pushed down to the scan)
+    and, when the cover is finer than that, an exact IN over its codes
+    (evaluated as a hash set). None when the cover holds more than
+    MAX_IN_CODES codes."""
     ranges = list(ranges)
     if not ranges:
-        return F.lit(False)
+        return "FALSE"
     coarse = coarsen(ranges)
-    pred = F.expr(ranges_sql(code_col, coarse))
+    pred = f"({ranges_sql(code_col, coarse)})"
     if len(coarse) == len(ranges):
         return pred
-    total = sum(h - l + 1 for l, h in ranges)
-    if total > MAX_IN_CODES:
+    if sum(h - l + 1 for l, h in ranges) > MAX_IN_CODES:
         return None
     codes = ", ".join(str(c) for l, h in ranges for c in range(l, h + 1))
-    return pred & F.expr(f"{code_col} IN ({codes})")
+    return f"{pred} AND {code_col} IN ({codes})"
+
+
+def ranges_predicate(code_col: str, ranges):
+    """The same predicate as a Column (None above MAX_IN_CODES codes)."""
+    text = ranges_predicate_sql(code_col, ranges)
+    return None if text is None else F.expr(text)
 
 
 def any_of(terms):

@@ -181,12 +181,10 @@ def q_sql_clip(spark, sf):
     blocks = _stored_blocks(spark, sf)
     view = f"blocks_{uuid.uuid4().hex[:12]}"
     blocks.createOrReplaceTempView(view)
-    ranges = CL.cover_list(spark, CL.block_cells(B1), max_terms=CL.MAX_SQL_TERMS)
-    ranges = CL.coarsen(ranges, CL.MAX_SQL_TERMS)
-    if ranges is None:
+    where = CL.ranges_predicate_sql("blockMortonCode", CL.cover_list(spark, CL.block_cells(B1)))
+    if where is None:
         raise ValueError("box cover too large for a literal SQL predicate; use clip_blocks_cells")
-    return spark.sql(f"SELECT blockMortonCode, part, size(points) AS n_points FROM {view} "
-                     f"WHERE {CL.ranges_sql('blockMortonCode', ranges)}")
+    return spark.sql(f"SELECT blockMortonCode, part, size(points) AS n_points FROM {view} WHERE {where}")
 
 
 def q_clip_points(spark, sf):
