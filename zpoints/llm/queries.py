@@ -7,10 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mixing, sharding
+from . import bpe, mixing, quality, sharding, toxicity
 from .common import table
 
 
+def op2_gam_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's quality score by the additive model."""
+    return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.3)
+
+
+def op5_grammar_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity score by the pattern grammar."""
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.5)
+
+
 def op4_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its source's target and the words the curriculum mix takes of it."""
     mixed = mixing.mix_sources(table(spark, sf_dir, "documents"))
@@ -33,7 +43,9 @@ def op9_bpe_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_gam_quality": op2_gam_quality,
     "op4_curriculum_mix": op4_curriculum_mix,
+    "op5_grammar_toxicity": op5_grammar_toxicity,
     "op6_kd_shards": op6_kd_shards,
     "op9_bpe_replay": op9_bpe_replay,
 }
