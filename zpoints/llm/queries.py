@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mixing, quality, sharding, toxicity
+from . import bpe, mixing, probminhash, quality, sharding, toxicity
 from .common import table
 
 
@@ -42,12 +42,18 @@ def op9_bpe_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
                               public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op10_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the class of near duplicates it belongs to: five words, similarity 0.8 or more."""
+    return probminhash.near_duplicates(table(spark, sf_dir, "documents"), threshold=0.8, k=5)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_gam_quality": op2_gam_quality,
     "op4_curriculum_mix": op4_curriculum_mix,
     "op5_grammar_toxicity": op5_grammar_toxicity,
     "op6_kd_shards": op6_kd_shards,
     "op9_bpe_replay": op9_bpe_replay,
+    "op10_probminhash": op10_probminhash,
 }
 
 OP4_SQL = r"""
