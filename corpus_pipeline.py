@@ -11,10 +11,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from zpoints.llm import bpe, mixing
+from zpoints.llm import bpe, mixing, probminhash, substring, toxicity
 from zpoints.llm.common import save, table
 
 
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the toxicity grammar does not reject (score below 0.5)."""
+    return toxicity.drop_toxic(docs, table(spark, sf_dir, "labels"), threshold=0.5)
+
+
+def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near duplicates (five words, similarity 0.8 or more): the one with the least doc_id."""
+    return probminhash.drop_near_duplicates(docs, threshold=0.8, k=5)
+
+
+def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the words under windows of 20 words that start earlier."""
+    return substring.remove_repeats(docs, size=20)
+
+
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents in training order, each as often as the mix takes it."""
     return mixing.training_order(docs, mixing.mix_sources(docs))
@@ -28,6 +43,9 @@ def tokenize_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", toxicity_stage),
+    ("near dedup", near_dedup_stage),
+    ("substring dedup", substring_stage),
     ("mixing", mix_stage),
     ("bpe", tokenize_stage),
 ]

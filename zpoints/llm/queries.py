@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mixing, probminhash, quality, sharding, toxicity
+from . import bpe, mixing, probminhash, quality, sharding, substring, toxicity
 from .common import table
 
 
@@ -34,6 +34,11 @@ def op6_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op7_automata_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's words left after windows of 20 words that start earlier are removed."""
+    return substring.removal_digests(table(spark, sf_dir, "documents"), size=20)
+
+
 def op9_bpe_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's token ids under the public rank file, and the bytes they decode to, as digests."""
     import public_tokenizers
@@ -52,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_curriculum_mix": op4_curriculum_mix,
     "op5_grammar_toxicity": op5_grammar_toxicity,
     "op6_kd_shards": op6_kd_shards,
+    "op7_automata_dedup": op7_automata_dedup,
     "op9_bpe_replay": op9_bpe_replay,
     "op10_probminhash": op10_probminhash,
 }
