@@ -272,7 +272,7 @@ def repeated_spans(candidates: DataFrame, *, size: int = 20, gram: int = 6, shar
 
 def _kept(text: str, spans) -> tuple[list[str], int]:
     words = WORDS.findall(text)
-    if not spans:
+    if spans is None or not len(spans):
         return words, 0
     gone = np.zeros(len(words), bool)
     for s in spans:
