@@ -7,10 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mixing, probminhash, quality, sharding, substring, toxicity
+from . import bpe, mixing, probminhash, quality, sharding, substring, toxicity, vptree
 from .common import table
 
 
+def op1_vptree_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 vectors of largest inner product for every vector whose id is divisible by 20."""
+    return vptree.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, factor=1.5)
+
+
 def op2_gam_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's quality score by the additive model."""
     return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.3)
@@ -53,6 +58,7 @@ def op10_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_vptree_neighbours": op1_vptree_neighbours,
     "op2_gam_quality": op2_gam_quality,
     "op4_curriculum_mix": op4_curriculum_mix,
     "op5_grammar_toxicity": op5_grammar_toxicity,
