@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mixing, probminhash, quality, sharding, substring, toxicity, vptree
+from . import bpe, egojoin, mixing, probminhash, quality, sharding, substring, toxicity, vptree
 from .common import table
 
 
@@ -26,6 +26,11 @@ def op5_grammar_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.5)
 
 
+def op3_ego_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector with the number of vectors at cosine 0.9 or more and the component these links give."""
+    return egojoin.cosine_links(table(spark, sf_dir, "embeddings"), least=0.9)
+
+
 def op4_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its source's target and the words the curriculum mix takes of it."""
     mixed = mixing.mix_sources(table(spark, sf_dir, "documents"))
@@ -60,6 +65,7 @@ def op10_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_vptree_neighbours": op1_vptree_neighbours,
     "op2_gam_quality": op2_gam_quality,
+    "op3_ego_join": op3_ego_join,
     "op4_curriculum_mix": op4_curriculum_mix,
     "op5_grammar_toxicity": op5_grammar_toxicity,
     "op6_kd_shards": op6_kd_shards,

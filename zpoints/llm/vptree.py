@@ -32,13 +32,18 @@ from pyspark.sql import functions as F
 from .common import DOUBLE, LONG, schema
 
 
+def takes_part(column: str = "embedding") -> Column:
+    """Whether a row has an id and a non-zero vector of finite components."""
+    v = F.col(column).cast("array<double>")
+    fine = (F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+            & F.exists(v, lambda x: x != 0))
+    return F.col("vec_id").isNotNull() & F.coalesce(fine, F.lit(False))
+
+
 def usable(vectors: DataFrame, column: str = "embedding") -> DataFrame:
     """(vec_id, v: array of double, dim) of the rows that take part."""
-    v = F.col(column).cast("array<double>").alias("v")
-    return (vectors.select("vec_id", v).where("vec_id IS NOT NULL AND v IS NOT NULL")
-            .where(F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-                   & F.exists("v", lambda x: x != 0))
-            .withColumn("dim", F.size("v")))
+    v = F.col(column).cast("array<double>")
+    return vectors.where(takes_part(column)).select("vec_id", v.alias("v"), F.size(v).alias("dim"))
 
 
 class VantageTree:
