@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, egojoin, mixing, probminhash, quality, sharding, substring, toxicity, vptree
+from . import bpe, egojoin, htmlcrf, mixing, probminhash, quality, sharding, substring, toxicity, vptree
 from .common import table
 
 
@@ -49,6 +49,11 @@ def op7_automata_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.removal_digests(table(spark, sf_dir, "documents"), size=20)
 
 
+def op8_crf_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's main text by the conditional random field."""
+    return htmlcrf.extract_main_text(table(spark, sf_dir, "pages"))
+
+
 def op9_bpe_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's token ids under the public rank file, and the bytes they decode to, as digests."""
     import public_tokenizers
@@ -70,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_grammar_toxicity": op5_grammar_toxicity,
     "op6_kd_shards": op6_kd_shards,
     "op7_automata_dedup": op7_automata_dedup,
+    "op8_crf_extract": op8_crf_extract,
     "op9_bpe_replay": op9_bpe_replay,
     "op10_probminhash": op10_probminhash,
 }
