@@ -41,6 +41,14 @@ def discard(df: DataFrame) -> None:
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have, whatever its extra columns are called."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def held_out(doc_id: str | Column = "doc_id") -> Column:
     """True for the rows whose labels are never learned: crc32 of the id as text, modulo 5, is 0."""
     c = F.col(doc_id) if isinstance(doc_id, str) else doc_id

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import BINARY, DOUBLE, LONG, components, mix64, rolling, save, schema, word_hashes, word_spans
+from .common import BINARY, DOUBLE, LONG, components, fresh, mix64, rolling, save, schema, word_hashes, word_spans
 
 _STEP = np.uint64(0xD1342543DE82EF95)
 _STRIDE = 0xD1342543DE82EF95
@@ -235,5 +235,6 @@ def near_duplicates(docs: DataFrame, *, threshold: float = 0.8, k: int = 5, regi
 
 def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that stay: one document of each class (rows without an id all stay), all columns kept."""
-    gone = near_duplicates(docs, **options).where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == F.col("_gone"), "left_anti")
+    name = fresh(docs, "gone")
+    gone = near_duplicates(docs, **options).where("NOT kept").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(gone, F.col("doc_id") == F.col(name), "left_anti")

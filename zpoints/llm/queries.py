@@ -13,7 +13,7 @@ from .common import table
 
 def op1_vptree_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 vectors of largest inner product for every vector whose id is divisible by 20."""
-    return vptree.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, factor=1.5)
+    return vptree.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, factor=1.2)
 
 
 def op2_gam_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,7 +109,7 @@ c AS (
   SELECT *, ((o + size / 2 <= target)::INT + (source_size + (o + size / 2) <= target)::INT) AS copies,
          CASE WHEN target > 0 THEN least(o / target, 1.0::DOUBLE) ELSE 0.0::DOUBLE END AS c FROM d)
 SELECT doc_id, size, source_size, target, (copies * size)::BIGINT AS taken, copies,
-       CASE WHEN copies > 0 THEN CASE WHEN abs(slope) < 1e-12 THEN c
+       CASE WHEN copies > 0 THEN CASE WHEN abs(slope) < 1e-12 OR c = 0 THEN c
             ELSE 2 * c / ((1 - slope) + sqrt(greatest((1 - slope) * (1 - slope) + 4 * slope * c, 0.0::DOUBLE))) END
        END AS position
 FROM c

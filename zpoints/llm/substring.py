@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import INT, LONG, STRING, WORD, rolling, save, schema, word_hashes, word_spans
+from .common import INT, LONG, STRING, WORD, fresh, rolling, save, schema, word_hashes, word_spans
 
 WORDS = re.compile(WORD)
 #: Windows that start in [c * CELL, (c + 1) * CELL) belong to cell c of their document.
@@ -326,18 +326,19 @@ def remove_repeats(docs: DataFrame, *, size: int = 20, gram: int = 6) -> DataFra
     Texts without a repeat stay as they are. ``n_chars``, if it is a column, follows the new text.
     """
     candidates = save(candidate_texts(docs, size=size, gram=gram), "sub-candidates")
-    spans = _spans_by_document(repeated_spans(candidates, size=size, gram=gram)).withColumnRenamed("doc_id", "_id")
+    key, found = fresh(docs, "id"), fresh(docs, "spans")
+    spans = (_spans_by_document(repeated_spans(candidates, size=size, gram=gram))
+             .select(F.col("doc_id").alias(key), F.col("spans").alias(found)))
 
     @F.pandas_udf(STRING)
     def kept(texts: pd.Series, spans: pd.Series) -> pd.Series:
         return pd.Series([t if s is None or t is None else " ".join(_kept(t, s)[0]) for t, s in zip(texts, spans)], dtype=object)
 
     # at most one row of spans per document: matching rows are neither lost nor repeated
-    out = docs.join(spans, docs["doc_id"] == F.col("_id"), "left")
-    text = F.when(F.col("spans").isNull(), F.col("text")).otherwise(kept(F.col("text"), F.col("spans")))
-    out = out.withColumn("text", text)
+    out = docs.join(spans, F.col("doc_id") == F.col(key), "left")
+    out = out.withColumn("text", F.when(F.col(found).isNull(), F.col("text")).otherwise(kept(F.col("text"), F.col(found))))
     if "n_chars" in docs.columns:
         kind = dict(docs.dtypes)["n_chars"]
-        out = out.withColumn("n_chars", F.when(F.col("spans").isNull(), F.col("n_chars"))
+        out = out.withColumn("n_chars", F.when(F.col(found).isNull(), F.col("n_chars"))
                              .otherwise(F.char_length("text")).cast(kind))
     return out.select(*docs.columns)

@@ -130,7 +130,7 @@ def search_shard(x: np.ndarray, ids: np.ndarray, q: np.ndarray, q_ids: np.ndarra
     return qi[rank < k], xi[rank < k], score[rank < k]
 
 
-def search(vectors: DataFrame, is_query: Column, *, k: int = 20, factor: float = 1.5, shard_rows: int = 8192,
+def search(vectors: DataFrame, is_query: Column, *, k: int = 20, factor: float = 1.2, shard_rows: int = 8192,
            query_rows: int = 4096, leaf: int = 64) -> DataFrame:
     """(query_id, rank from 1, vec_id, score) of the k nearest found for each query row of ``vectors``."""
     rows = usable(vectors)
