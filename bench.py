@@ -17,7 +17,6 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from zpoints import registry as R  # noqa: E402
-from zpoints.operators import blocks as BL  # noqa: E402
 from zpoints.operators import clip as CL  # noqa: E402
 from zpoints.session import get_spark  # noqa: E402
 from zpoints.sources import io as IO  # noqa: E402
@@ -27,7 +26,7 @@ CPUS = os.environ.get("BENCH_CPUS", "8")
 
 HEADLINE = [
     "extent", "block_code", "blocks_collect", "block_occupancy", "zranges_cover", "range_coalesce",
-    "clip_many_boxes", "radius_join", "neighbour_lists", "st_box_filter", "chunk_prune",
+    "clip_many_boxes", "radius_join", "radius_join_codes", "neighbour_lists", "st_box_filter", "chunk_prune",
 ]
 
 
@@ -50,7 +49,7 @@ def main() -> None:
     # ingest: encode + gather into blocks + range-partitioned parquet write
     t0 = time.time()
     path = R.scratch_path(spark, "bench-blocks")
-    IO.write_blocks(BL.collect_blocks(R._coded(spark, SF_DIR)), path)
+    IO.write_points_as_blocks(R._coded(spark, SF_DIR), path)
     times["ingest_write"] = round(time.time() - t0, 3)
 
     stored = IO.read_blocks(spark, path)

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from zpoints.functions.zcode import _col, with_decoded, with_morton
+from zpoints.schema import MAX_MASK
 
 # Cells per axis and the time span of the curve.
 LON_PREC = (1 << 21) - 1
@@ -44,8 +45,12 @@ def denorm_t(t) -> Column:
 
 
 def st_index(events: DataFrame, lon="lon", lat="lat", t="t", out="stCode") -> DataFrame:
-    """Append the space-time code (and the three normalised cells)."""
+    """Append the space-time code (and the three normalised cells). An event
+    outside the curve's domain (cells outside 21 bits) fails the job: its code would wrap."""
     df = events.withColumns({"nLon": norm_lon(lon), "nLat": norm_lat(lat), "nT": norm_t(t)})
+    bad = ~(F.col("nLon").between(0, LON_PREC) & F.col("nLat").between(0, LAT_PREC) & F.col("nT").between(0, MAX_MASK))
+    df = df.withColumn("nLon", F.when(bad, F.raise_error(F.lit("event outside the space-time domain")))
+                       .otherwise(F.col("nLon")))
     return with_morton(df, "nLon", "nLat", "nT", out=out)
 
 
@@ -58,18 +63,19 @@ def st_invert(coded: DataFrame, code="stCode") -> DataFrame:
 
 
 def st_box_cells(lon_range, lat_range, t_range):
-    """Cells of a space-time box (driver side: six numbers). Normalisation is
-    monotone, so every event inside the box has cells inside these."""
+    """Cells of a space-time box (driver side: six numbers), clamped to the
+    domain. Normalisation is monotone, so every event inside the box has cells
+    inside these."""
     import math
 
     def nl(v):
-        return int(math.ceil((180.0 + v) / 360.0 * LON_PREC))
+        return min(max(0, int(math.ceil((180.0 + v) / 360.0 * LON_PREC))), LON_PREC)
 
     def nb(v):
-        return int(math.ceil((90.0 + v) / 180.0 * LAT_PREC))
+        return min(max(0, int(math.ceil((90.0 + v) / 180.0 * LAT_PREC))), LAT_PREC)
 
     def nt(v):
-        return max(0, int(math.ceil(v / T_MAX * T_PREC)))
+        return min(max(0, int(math.ceil(v / T_MAX * T_PREC))), MAX_MASK)
     lo = (nl(lon_range[0]), nb(lat_range[0]), nt(t_range[0]))
     hi = (nl(lon_range[1]), nb(lat_range[1]), nt(t_range[1]))
     return lo, hi
@@ -82,13 +88,19 @@ def st_ranges(spark, lon_range, lat_range, t_range):
     return zranges(box_table(spark, [(0, *lo, *hi)])).drop("box_id")
 
 
-def st_box_filter(events: DataFrame, lon_range, lat_range, t_range, lon="lon", lat="lat", t="t") -> DataFrame:
-    """Events inside a space-time box: the cover of the box's cells on the
-    space-time code (a superset, prunable on stored codes), then the exact
-    test on the raw values."""
-    from zpoints.operators.clip import clip_blocks_cells
-    coded = st_index(events, lon, lat, t)
-    cand = clip_blocks_cells(coded, st_box_cells(lon_range, lat_range, t_range), code_col="stCode",
-                             pushdown=False)
-    return cand.filter(F.col(lon).between(*lon_range) & F.col(lat).between(*lat_range)
-                       & F.col(t).between(*t_range))
+def st_box_filter(events: DataFrame, lon_range, lat_range, t_range, lon="lon", lat="lat", t="t",
+                  code_col: str = "stCode") -> DataFrame:
+    """Events inside a space-time box: the exact test on the raw values. On a
+    stored table with the code column, the box's code ranges are pushed to
+    the scan first (files and row groups outside them are skipped)."""
+    from zpoints.operators.clip import any_of, frontier_ranges
+    if code_col in events.columns:
+        ranges = frontier_ranges(st_box_cells(lon_range, lat_range, t_range))
+        events = events.filter(any_of(F.col(code_col).between(lo, hi) for lo, hi in ranges))
+    return events.filter(F.col(lon).between(*lon_range) & F.col(lat).between(*lat_range)
+                         & F.col(t).between(*t_range))
+
+
+def write_events(events: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """Events with their code, range-partitioned and sorted by it, so that box filters skip files and row groups."""
+    st_index(events).repartitionByRange("stCode").sortWithinPartitions("stCode").write.mode(mode).parquet(path)

@@ -1,12 +1,12 @@
 """Box queries over blocks and point tables.
 
-A box becomes its Z-range cover (``plans.cover``). For one box, the cover is
-small (bounded by the octree depth cap) and is applied as a disjunction of
-``BETWEEN`` terms on the code column, which Spark pushes into the parquet
-scan (row groups and files whose code range misses every term are skipped).
-Above ``max_terms`` ranges, or for a table of boxes, the cover stays a
-DataFrame and is applied with ``range_join``: an equi-join on code bins plus
-an exact ``BETWEEN``. Either way no nested-loop join is planned.
+One box, of any size, becomes one predicate: a disjunction of at most 32
+``BETWEEN`` terms on the code column, which Spark pushes into the parquet scan
+(row groups and files whose code range misses every term are skipped), and an
+exact ``BETWEEN`` per axis on the decoded code. Nothing switches on the size of
+the box, and no job or fetch precedes the scan. A table of boxes becomes a
+table of Z-ranges (``plans.cover``), applied with ``range_join``: an equi-join
+on code bins plus an exact ``BETWEEN``. No nested-loop join is planned.
 """
 
 from __future__ import annotations
@@ -17,14 +17,12 @@ from typing import Iterable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zpoints.functions.zcode import _shl, _shr, with_decoded
+from zpoints.functions.zcode import _shr, decode_axis, with_decoded
 from zpoints.operators.blocks import unnest_blocks
-from zpoints.plans.cover import box_table, zranges
-from zpoints.schema import DEPTH_LIMIT_DEFAULT, DEPTH_LIMITS, MAX_MASK, PRECISION, RESOLUTION, precision_factor
+from zpoints.plans.cover import zranges
+from zpoints.schema import MAX_MASK, PRECISION, RESOLUTION, precision_factor
 
-MAX_OR_TERMS = 32          # terms of the coarse predicate pushed to parquet
-MAX_COVER_RANGES = 100_000  # largest cover fetched to the driver (about 1.6 MB)
-MAX_IN_CODES = 50_000       # largest exact code set applied as an IN (shipped with each task)
+MAX_OR_TERMS = 32    # terms of the coarse predicate pushed to parquet
 FINE_BIN_BITS = 12   # 4096 codes per bin for the shortest ranges
 BINS_PER_RANGE = 32  # a range explodes to at most about this many bins
 
@@ -58,8 +56,9 @@ def box_to_cells(extent_min: Sequence[float], box_min: Sequence[float], box_max:
 
 
 def _round_half_up(v: float) -> int:
-    import math
-    return int(math.floor(v + 0.5)) if v >= 0 else -int(math.floor(-v + 0.5))
+    """Like Spark's round on a double: half up on its shortest decimal form."""
+    from decimal import ROUND_HALF_UP, Decimal
+    return int(Decimal(repr(float(v))).quantize(Decimal(1), rounding=ROUND_HALF_UP))
 
 
 def block_cells(cells, resolution: int = RESOLUTION):
@@ -68,49 +67,66 @@ def block_cells(cells, resolution: int = RESOLUTION):
 
 
 # ---------------------------------------------------------------------------
-# Cover as a literal predicate or as a table
+# One box as a literal predicate
 # ---------------------------------------------------------------------------
 
-_COVER_CACHE: dict = {}
-
-
-def cover_list(spark, cells, max_terms: int = MAX_COVER_RANGES):
-    """Merged cover of one box as a sorted list, or None above ``max_terms``.
-    At most max_terms + 1 rows ever reach the driver. Results are memoised
-    per session and box: a cover depends on the box alone."""
-    key = (spark.sparkContext.applicationId, tuple(map(tuple, cells)), max_terms)
-    if key not in _COVER_CACHE:
-        if len(_COVER_CACHE) > 256:
-            _COVER_CACHE.clear()
-        _COVER_CACHE[key] = _cover_list(spark, cells, max_terms)
-    return _COVER_CACHE[key]
+def _enc(x: int, y: int, z: int) -> int:
+    return sum((((x >> i) & 1) << (3 * i)) | (((y >> i) & 1) << (3 * i + 1)) | (((z >> i) & 1) << (3 * i + 2))
+               for i in range(21))
 
 
-def _cover_list(spark, cells, max_terms):
-    lo, hi = cells
-    rows = (zranges(box_table(spark, [(0, *lo, *hi)]), levels=cover_levels(cells))
-            .orderBy("lo").limit(max_terms + 1).collect())
-    if len(rows) > max_terms:
-        return None
-    return [(r["lo"], r["hi"]) for r in rows]
+def merged(ranges: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Sorted, with overlapping or adjacent ranges joined."""
+    out: list[tuple[int, int]] = []
+    for lo, hi in sorted(ranges):
+        if out and lo <= out[-1][1] + 1:
+            out[-1] = (out[-1][0], max(out[-1][1], hi))
+        else:
+            out.append((lo, hi))
+    return out
 
 
-def cover_levels(cells) -> int:
-    """Octree levels the cover of one box can use below its common prefix."""
-    from zpoints.plans.cover import MAX_LEVELS
-    lo, hi = cells
-    a, b = _enc(*lo), _enc(*hi)
-    shift = 0
-    while (a >> shift) != (b >> shift):
-        shift += 3
-    bits = 63 - shift
-    limit = next((levels for below, levels in DEPTH_LIMITS if bits < below), DEPTH_LIMIT_DEFAULT)
-    return min(MAX_LEVELS, limit, shift // 3)
+def frontier_ranges(cells, max_terms: int = MAX_OR_TERMS) -> list[tuple[int, int]]:
+    """At most ``max_terms`` code ranges that hold every code of a box, however large the box is.
 
-
-def _enc(x: int, y: int, z: int) -> int:
-    return sum((((x >> i) & 1) << (3 * i)) | (((y >> i) & 1) << (3 * i + 1)) | (((z >> i) & 1) << (3 * i + 2))
-               for i in range(21))
+    The octree is refined from the octant of the common prefix, largest
+    partly covered octant first, until one more split would need too many
+    ranges. Six numbers and a few dozen octants on the driver; no job.
+    """
+    import heapq
+    (lo, hi) = cells
+    bits = max((l ^ h).bit_length() for l, h in zip(lo, hi))
+
+    def code_range(corner, level):
+        base = _enc(*corner)
+        return base, base + (1 << (3 * level)) - 1
+
+    def inside(corner, level):
+        return all(l <= c and c + (1 << level) - 1 <= h for c, l, h in zip(corner, lo, hi))
+
+    def meets(corner, level):
+        return all(c <= h and l <= c + (1 << level) - 1 for c, l, h in zip(corner, lo, hi))
+
+    root = tuple((c >> bits) << bits for c in lo)
+    if inside(root, bits):
+        return [code_range(root, bits)]
+    whole: list[tuple[int, int]] = []
+    heap = [(-bits, root)]  # partly covered octants, largest first
+    while heap:
+        level, corner = -heap[0][0] - 1, heap[0][1]
+        half = 1 << level
+        children = [tuple(c + half * ((k >> d) & 1) for d, c in enumerate(corner)) for k in range(8)]
+        children = [c for c in children if meets(c, level)]
+        full = [c for c in children if inside(c, level)]
+        part = [c for c in children if not inside(c, level)]
+        ranges = [*whole, *(code_range(c, level) for c in children), *(code_range(c, -k) for k, c in heap[1:])]
+        if len(merged(ranges)) > max_terms:
+            break
+        heapq.heappop(heap)
+        whole += [code_range(c, level) for c in full]
+        for c in part:
+            heapq.heappush(heap, (-level, c))
+    return merged([*whole, *(code_range(c, -k) for k, c in heap)])
 
 
 def coarsen(ranges, max_terms: int = MAX_OR_TERMS):
@@ -129,29 +145,23 @@ def coarsen(ranges, max_terms: int = MAX_OR_TERMS):
     return out
 
 
-def ranges_predicate_sql(code_col: str, ranges):
-    """SQL text of the exact predicate for a sorted, disjoint range list: a
-    coarse OR of at most MAX_OR_TERMS BETWEENs (pushed down to the scan)
-    and, when the cover is finer than that, an exact IN over its codes
-    (evaluated as a hash set). None when the cover holds more than
-    MAX_IN_CODES codes."""
-    ranges = list(ranges)
-    if not ranges:
-        return "FALSE"
-    coarse = coarsen(ranges)
-    pred = f"({ranges_sql(code_col, coarse)})"
-    if len(coarse) == len(ranges):
-        return pred
-    if sum(h - l + 1 for l, h in ranges) > MAX_IN_CODES:
-        return None
-    codes = ", ".join(str(c) for l, h in ranges for c in range(l, h + 1))
-    return f"{pred} AND {code_col} IN ({codes})"
+def axis_sql(code_col: str, dim: int) -> str:
+    """SQL text of the cell of axis ``dim`` of a code column."""
+    return "(" + " | ".join(f"shiftleft(shiftright({code_col}, {3 * i + dim}) & 1L, {i})" for i in range(21)) + ")"
+
 
+def box_predicate_sql(code_col: str, cells) -> str:
+    """SQL text that is true for exactly the codes of a box: a coarse OR of at
+    most MAX_OR_TERMS BETWEENs, which reaches the parquet scan, and an exact
+    BETWEEN per axis on the decoded code. The same shape for every box."""
+    coarse = ranges_sql(code_col, frontier_ranges(cells))
+    exact = " AND ".join(f"{axis_sql(code_col, d)} BETWEEN {l} AND {h}" for d, (l, h) in enumerate(zip(*cells)))
+    return f"({coarse}) AND {exact}"
 
-def ranges_predicate(code_col: str, ranges):
-    """The same predicate as a Column (None above MAX_IN_CODES codes)."""
-    text = ranges_predicate_sql(code_col, ranges)
-    return None if text is None else F.expr(text)
+
+def box_predicate(code_col: str, cells):
+    """The same predicate as a Column."""
+    return F.expr(box_predicate_sql(code_col, cells))
 
 
 def any_of(terms):
@@ -176,11 +186,12 @@ def range_join(left: DataFrame, ranges: DataFrame, code_col: str,
     contains ``left[code_col]``.
 
     Ranges are sorted into tiers by length; tier t uses bins of
-    ``2**(fine_bits + 5t)`` codes, so every range spans at most about
-    ``bins_per_range`` bins of its tier. Each tier is an equi-join on the
-    bin (broadcast when AQE measures the exploded side small, otherwise a
-    sort-merge join whose skewed bins AQE splits) plus the exact BETWEEN.
-    The distinct tiers are a handful of integers.
+    ``2**(fine_bits + step * t)`` codes, so every range spans at most about
+    ``bins_per_range`` bins of its tier. ``left`` is read once: each row gets
+    one (tier, bin) pair per tier that occurs, and a single equi-join on the
+    pair (broadcast when AQE measures the exploded ranges small, otherwise a
+    sort-merge join whose skewed bins AQE splits) is followed by the exact
+    BETWEEN. The distinct tiers are a handful of integers.
     """
     from zpoints.session import checkpoint_dir
     step = max(1, (bins_per_range - 1).bit_length())
@@ -192,21 +203,20 @@ def range_join(left: DataFrame, ranges: DataFrame, code_col: str,
     checkpoint_dir(ranges.sparkSession)
     tiered = ranges.withColumn("__tier", tier).checkpoint(eager=True)
     tiers = sorted(r[0] for r in tiered.select("__tier").distinct().collect())
-    parts = []
-    for t in tiers:
-        bits = fine_bits + step * t
-        r = (tiered.filter(F.col("__tier") == t).drop("__tier")
-                   .withColumn("__bin", F.explode(F.sequence(_shr(F.col("lo"), bits), _shr(F.col("hi"), bits)))))
-        # a non-nullable bin (null codes go to bin -1, which no range uses):
-        # otherwise the optimizer infers isnotnull(bin) and pushes it below
-        # the projection that computes the code, copying that expression
-        lt = left.withColumn("__bin", F.coalesce(_shr(F.col(code_col), bits), F.lit(-1).cast("long")))
-        j = lt.join(r, on="__bin").filter(F.col(code_col).between(F.col("lo"), F.col("hi"))).drop("__bin")
-        parts.append(j)
-    if not parts:  # no ranges: an empty result with the joined columns
+    if not tiers:  # no ranges: an empty result with the joined columns
         extra = [F.lit(None).cast(t).alias(n) for n, t in ranges.dtypes if n not in left.columns]
         return left.filter(F.lit(False)).select(*left.columns, *extra)
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    shift = f"{fine_bits} + {step} * __tier"
+    binned = tiered.withColumn("__bin", F.explode(F.sequence(F.expr(f"shiftright(lo, {shift})"),
+                                                             F.expr(f"shiftright(hi, {shift})"))))
+    # the pairs come out of a Generate, so the join key is no expression of
+    # the code that the optimizer could copy; a null code has no pair
+    pairs = F.filter(F.transform(F.array(*[F.lit(t) for t in tiers]), lambda t: F.struct(
+        t.alias("__tier"), F.call_function("shiftright", F.col(code_col), F.lit(fine_bits) + F.lit(step) * t).alias("__bin"))),
+        lambda p: p["__bin"].isNotNull())
+    keyed = left.select("*", F.inline(pairs))
+    return (keyed.join(binned, on=["__tier", "__bin"]).filter(F.col(code_col).between(F.col("lo"), F.col("hi")))
+                 .drop("__tier", "__bin"))
 
 
 # ---------------------------------------------------------------------------
@@ -214,33 +224,27 @@ def range_join(left: DataFrame, ranges: DataFrame, code_col: str,
 # ---------------------------------------------------------------------------
 
 def clip_blocks_cells(blocks: DataFrame, bcells, code_col: str = "blockMortonCode",
-                      max_terms: int = MAX_OR_TERMS, pushdown: bool = True) -> DataFrame:
+                      pushdown: bool = True) -> DataFrame:
     """Whole blocks (or any rows with a code column) whose code lies in the
-    cover of the box ``bcells`` = ((x0, y0, z0), (x1, y1, z1)), in the same
-    cell space as the codes. A superset of the exact box when the cover
-    bottoms out at the depth limit.
-
-    ``pushdown=True`` is for stored tables: a cover of at most ``max_terms``
-    ranges becomes a literal OR of BETWEENs that reaches the parquet scan.
-    When the code column is computed in the same plan, pass
-    ``pushdown=False``: the optimizer would otherwise copy the whole code
-    expression into every term; the binned range join is used instead.
+    box ``bcells`` = ((x0, y0, z0), (x1, y1, z1)), in the same cell space as the codes.
+
+    ``pushdown=True`` is for stored tables: the coarse ranges reach the
+    parquet scan. When the code column is computed in the same plan, pass
+    ``pushdown=False``: the code is then bound once, in a lambda, instead of
+    being copied into every term.
     """
     if bcells is None:
         return blocks.filter(F.lit(False))
-    spark = blocks.sparkSession
-    ranges = cover_list(spark, bcells)
-    if pushdown and ranges is not None:
-        pred = ranges_predicate(code_col, ranges)
-        if pred is not None:
-            return blocks.filter(pred)
-    if ranges is not None:
-        table = spark.createDataFrame(ranges, "lo long, hi long")
-    else:
-        lo, hi = bcells
-        table = zranges(box_table(spark, [(0, *lo, *hi)]), levels=cover_levels(bcells)).drop("box_id")
-    cols = blocks.columns
-    return range_join(blocks, table, code_col).select(*cols)
+    if pushdown:
+        return blocks.filter(box_predicate(code_col, bcells))
+    return blocks.filter(code_bound_once(code_col, bcells))
+
+
+def code_bound_once(code_col: str, cells):
+    """Exact per-axis test that evaluates the code expression a single time."""
+    lo, hi = cells
+    return F.exists(F.array(F.col(code_col)), lambda c: reduce(
+        lambda a, b: a & b, [decode_axis(c, d).between(lo[d], hi[d]) for d in range(3)]))
 
 
 def clip(blocks: DataFrame, extent_min, box_min, box_max, precision: float = PRECISION,
@@ -250,17 +254,17 @@ def clip(blocks: DataFrame, extent_min, box_min, box_max, precision: float = PRE
     return clip_blocks_cells(blocks, None if cells is None else block_cells(cells, resolution))
 
 
-def exact_cells_filter(points: DataFrame, cells, code_col: str = "mortonCode") -> DataFrame:
+def exact_cells_filter(points: DataFrame, cells, code_col: str = "mortonCode", pushdown: bool = True) -> DataFrame:
     """Keep points whose cells lie in the box (exact refinement).
 
     Uses the quantised cells (normX/Y/Z) when the rows still carry them, and
-    decodes the code otherwise (stored tables, where the code is a plain
-    column). Decoding a code computed in the same plan would make the
-    optimizer copy the whole code expression into every decoded bit."""
+    decodes the code otherwise (``pushdown`` as in ``clip_blocks_cells``)."""
     (x0, y0, z0), (x1, y1, z1) = cells
     if {"normX", "normY", "normZ"} <= set(points.columns):
         return points.filter(F.col("normX").between(x0, x1) & F.col("normY").between(y0, y1)
                              & F.col("normZ").between(z0, z1))
+    if not pushdown:
+        return points.filter(code_bound_once(code_col, cells))
     d = with_decoded(points, code_col, out=("__cx", "__cy", "__cz"))
     d = d.filter(F.col("__cx").between(x0, x1) & F.col("__cy").between(y0, y1) & F.col("__cz").between(z0, z1))
     return d.drop("__cx", "__cy", "__cz")
@@ -268,7 +272,7 @@ def exact_cells_filter(points: DataFrame, cells, code_col: str = "mortonCode") -
 
 def clip_points(blocks: DataFrame, cells, resolution: int = RESOLUTION, pushdown: bool = True) -> DataFrame:
     """Exact points of a box (cells at point precision) from a blocks table:
-    block cover (pushed to the scan), unnest, exact per-point filter."""
+    block ranges (pushed to the scan), unnest, exact per-point filter."""
     if cells is None:
         return unnest_blocks(blocks).filter(F.lit(False))
     chosen = clip_blocks_cells(blocks, block_cells(cells, resolution), pushdown=pushdown)
@@ -276,13 +280,12 @@ def clip_points(blocks: DataFrame, cells, resolution: int = RESOLUTION, pushdown
 
 
 def clip_coded_points(coded: DataFrame, cells, resolution: int = RESOLUTION, pushdown: bool = False) -> DataFrame:
-    """Exact points of a box from a flat coded-point table: the block-level
-    cover on blockMortonCode (coarser, so fewer terms), then the exact filter."""
+    """Exact points of a box from a flat coded-point table: one filter, no join.
+    For a stored table (``pushdown``), block ranges reach the scan first."""
     if cells is None:
         return coded.filter(F.lit(False))
-    chosen = clip_blocks_cells(coded, block_cells(cells, resolution), code_col="blockMortonCode",
-                               pushdown=pushdown)
-    return exact_cells_filter(chosen, cells)
+    chosen = clip_blocks_cells(coded, block_cells(cells, resolution)) if pushdown else coded
+    return exact_cells_filter(chosen, cells, pushdown=pushdown)
 
 
 def cube_cells(center, half_width: int):

@@ -7,6 +7,7 @@ constants; nothing else reaches the driver.
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -36,8 +37,9 @@ def extent_literal(values: Mapping[str, float] | Sequence[float], spark) -> Data
                                  ", ".join(f"{c} double" for c in EXTENT_COLUMNS))
 
 
-def extent_normalized(ext: DataFrame, precision: float = PRECISION, compat: bool = False) -> DataFrame:
-    """Add the integer size of the extent per axis (sizeX, sizeY, sizeZ).
+def extent_normalized(ext: DataFrame, precision: float = PRECISION, compat: bool = False,
+                      suffix: str = "") -> DataFrame:
+    """Add the integer size of the extent per axis (sizeX, sizeY, sizeZ, with ``suffix``).
 
     ``compat=True`` truncates the size to whole units before scaling, losing
     the fraction (e.g. 2.9 units -> 2000 cells); the default rounds the scaled
@@ -48,9 +50,9 @@ def extent_normalized(ext: DataFrame, precision: float = PRECISION, compat: bool
     for a in AXES:
         span = F.col(f"max{a.upper()}") - F.col(f"min{a.upper()}")
         if compat:
-            sizes[f"size{a.upper()}"] = span.cast("long") * f
+            sizes[f"size{a.upper()}{suffix}"] = span.cast("long") * f
         else:
-            sizes[f"size{a.upper()}"] = F.round(span * f).cast("long")
+            sizes[f"size{a.upper()}{suffix}"] = F.round(span * f).cast("long")
     return ext.withColumns(sizes)
 
 
@@ -88,19 +90,45 @@ def check_fits(ext: Mapping[str, float], precision: float = PRECISION) -> None:
 
 
 def normalize_coords(points: DataFrame, ext: Mapping[str, float] | DataFrame | None = None,
-                     precision: float = PRECISION, check: bool = True) -> DataFrame:
+                     precision: float = PRECISION, check: bool = True, outside: str = "raise") -> DataFrame:
     """Quantise: normX = round((x - minX) * f) as bigint, f = 1 / precision.
 
     ``ext`` is the extent (a mapping of the six values, or a one-row extent
-    table); it is computed from ``points`` when omitted.
+    table); it is computed from ``points`` when omitted. Against a given
+    extent, cells outside the code space (below 0 or above 21 bits) would wrap
+    when encoded. ``outside`` says what becomes of such points: "raise" fails
+    the job; "flag" adds a boolean column ``outside`` and nulls their cells,
+    so they can be routed to a quarantine; "wrap" keeps the original
+    behaviour.
     """
+    given = ext is not None and not isinstance(ext, DataFrame)
     if ext is None or isinstance(ext, DataFrame):
         ext = extent_values(points if ext is None else ext)
     if check:
         check_fits(ext, precision)
     f = precision_factor(precision)
-    norm = {f"norm{a.upper()}": F.round((F.col(a) - F.lit(ext[f"min{a.upper()}"])) * f).cast("long") for a in AXES}
-    return points.withColumns(norm)
+    names = [f"norm{a.upper()}" for a in AXES]
+    out = points.withColumns({n: F.round((F.col(a) - F.lit(ext[f"min{a.upper()}"])) * f).cast("long")
+                              for n, a in zip(names, AXES)})
+    if outside == "wrap" or (outside == "raise" and not given):
+        return out  # an extent of these very points holds them all
+    bad = reduce(lambda a, b: a | b, [~F.col(n).between(0, MAX_MASK) for n in names])
+    if outside == "flag":
+        out = out.withColumn("outside", F.coalesce(bad, F.lit(False)))
+        return out.withColumns({n: F.when(~F.col("outside"), F.col(n)) for n in names})
+    if outside != "raise":
+        raise ValueError(f"outside must be raise, flag or wrap, not {outside!r}")
+    return out.withColumn(names[0], F.when(bad, F.raise_error(
+        F.lit("point outside the extent's 21-bit cell space"))).otherwise(F.col(names[0])))
+
+
+def split_outside(points: DataFrame, ext: Mapping[str, float], precision: float = PRECISION,
+                  resolution: int = RESOLUTION) -> tuple[DataFrame, DataFrame]:
+    """(coded points inside the extent's cell space, quarantined points with their original columns)."""
+    flagged = normalize_coords(points, ext, precision, outside="flag")
+    inside = flagged.filter(~F.col("outside")).drop("outside")
+    return (_coded(inside, resolution, keep_cells=False),
+            flagged.filter(F.col("outside")).select(*points.columns))
 
 
 def encode_points(points: DataFrame, ext: Mapping[str, float] | DataFrame | None = None,
@@ -112,7 +140,10 @@ def encode_points(points: DataFrame, ext: Mapping[str, float] | DataFrame | None
     classification, red, green, blue (plus normX/Y/Z with ``keep_cells``).
     Any other input columns are carried along.
     """
-    cells = normalize_coords(points, ext, precision)
+    return _coded(normalize_coords(points, ext, precision), resolution, keep_cells)
+
+
+def _coded(cells: DataFrame, resolution: int, keep_cells: bool) -> DataFrame:
     coded = with_morton(cells, "normX", "normY", "normZ", out="mortonCode")
     coded = coded.withColumn("blockMortonCode", block_code("mortonCode", resolution))
     if not keep_cells:
@@ -143,9 +174,25 @@ def scale_points(points: DataFrame, scale: Mapping[str, float] | float = PRECISI
 def scaled_codes(scaled: DataFrame, resolution: int = RESOLUTION) -> DataFrame:
     """Integer points -> translated to their minimum, coded and blocked.
 
-    The integer minimum is a one-row aggregate, fetched and used as literals.
+    The integer minimum and maximum are a one-row aggregate, fetched; a span
+    past 21 bits raises (its codes would wrap).
     """
-    m = scaled.agg(*[F.min(a.upper()).alias(f"min{a.upper()}") for a in AXES]).first()  # one row
+    m = scaled.agg(*[F.min(a.upper()).alias(f"min{a.upper()}") for a in AXES],
+                   *[F.max(a.upper()).alias(f"max{a.upper()}") for a in AXES]).first()  # one row
+    for a in (a.upper() for a in AXES):
+        if m[f"min{a}"] is not None and m[f"max{a}"] - m[f"min{a}"] > MAX_MASK:
+            raise ValueError(f"scaled {a} spans {m[f'max{a}'] - m[f'min{a}']} cells; the code holds {MAX_MASK}")
     t = scaled.withColumns({f"t{a.upper()}": F.col(a.upper()) - F.lit(m[f"min{a.upper()}"]) for a in AXES})
     t = with_morton(t, "tX", "tY", "tZ", out="mortonCode")
     return t.withColumn("blockMortonCode", block_code("mortonCode", resolution))
+
+
+def scale_points_by_catalog(points: DataFrame, catalog: DataFrame, cloud_id: str, classification: int = 1) -> DataFrame:
+    """Fixed-point scaling with each cloud's own factors: ``catalog`` has
+    (id, scaleX, scaleY, scaleZ), and ``points[cloud_id]`` names the cloud.
+    The catalog has one row per cloud; AQE broadcasts it when it is small."""
+    scales = catalog.select(F.col("id").alias("__id"), "scaleX", "scaleY", "scaleZ")
+    j = points.join(scales, F.col(cloud_id) == F.col("__id"))
+    others = [c for c in points.columns if c not in AXES and c != "classification"]
+    return j.select(*[(F.col(a) * (1 / F.col(f"scale{a.upper()}"))).cast("int").alias(a.upper()) for a in AXES],
+                    F.lit(classification).cast("byte").alias("classification"), *others)

@@ -7,53 +7,44 @@ from pyspark.sql import functions as F
 
 from zpoints.functions.zcode import bigmin_litmax, code_in_box
 from zpoints.plans.cover import coalesce_ranges as coalesce_ranges_per_group  # noqa: F401
-from zpoints.schema import LONG_MAX
 
 
-def _partition_totals():
-    """Sum of deltas per partition. Built as a closure so that it is
-    shipped to the workers by value (they need only pandas, not zpoints)."""
-    def run(it):
-        import pandas as pd
-        from pyspark import TaskContext
-        total = 0
-        for pdf in it:
-            total += int(pdf["delta"].sum())
-        yield pd.DataFrame({"pid": [TaskContext.get().partitionId()], "total": [total]})
-    return run
-
-
-def _boundary_events(carry: dict, groups: list):
-    """Per partition of the globally sorted events: coverage = carry +
-    running sum; a start is a +1 step from zero coverage, an end a step back
-    to zero. Emits only those boundary events, numbered within the
-    partition (vectorised per Arrow batch, state carried across batches).
-    A closure, shipped by value like ``_partition_totals``."""
+def _local_islands(groups: list):
+    """Per partition of ranges sorted by (groups, lo): merged islands, in order. The
+    island still open at the end of an Arrow batch is carried into the next.
+    A closure, shipped by value: workers need only pandas, not zpoints."""
     def run(it):
         import numpy as np
         import pandas as pd
         from pyspark import TaskContext
-        pid = TaskContext.get().partitionId()
-        cov, ns, ne = int(carry.get(pid, 0)), 0, 0
+        pid, nth, rest = TaskContext.get().partitionId(), 0, None
+
+        def islands(pdf):
+            seg = np.ones(len(pdf), bool)
+            if len(pdf) > 1 and groups:
+                g = pdf[groups]
+                same = (g.eq(g.shift()) | (g.isna() & g.shift().isna())).all(axis=1).to_numpy()
+                seg[1:] = ~same[1:]
+            elif len(pdf) > 1:
+                seg[1:] = False
+            reach = pdf["hi"].groupby(np.cumsum(seg)).cummax().to_numpy()
+            lo = pdf["lo"].to_numpy()
+            new = seg.copy()
+            new[1:] |= (lo[1:] > reach[:-1]) & (lo[1:] - 1 > reach[:-1])  # lo > reach first: no underflow
+            out = pdf.loc[new].copy()
+            last = np.concatenate([np.flatnonzero(new)[1:] - 1, [len(pdf) - 1]])
+            out["hi"] = reach[last]
+            return out
+
         for pdf in it:
-            if pdf.empty:
-                continue
-            d = pdf["delta"].to_numpy(np.int64)
-            after = cov + np.cumsum(d)
-            before = after - d
-            st = (d > 0) & (before == 0)
-            en = (d < 0) & (after == 0)
-            srank = ns + np.cumsum(st)
-            erank = ne + np.cumsum(en)
-            cov, ns, ne = int(after[-1]), int(srank[-1]), int(erank[-1])
-            keep = st | en
-            out = pdf.loc[keep, groups].copy()
-            pos = pdf["pos"].to_numpy(np.int64)
-            out["pos"] = np.where(st, pos, pos - 1)[keep]
-            out["kind"] = np.where(st, 0, 1)[keep].astype(np.int32)
-            out["local_k"] = np.where(st, srank, erank)[keep].astype(np.int64)
-            out["pid"] = np.int32(pid)
-            yield out
+            if len(pdf):
+                found = islands(pdf.reset_index(drop=True) if rest is None else pd.concat([rest, pdf], ignore_index=True))
+                done, rest = found.iloc[:-1], found.iloc[-1:]
+                if len(done):
+                    yield done.assign(pid=np.int32(pid), nth=np.arange(nth, nth + len(done)))
+                    nth += len(done)
+        if rest is not None:
+            yield rest.assign(pid=np.int32(pid), nth=np.int64(nth))
     return run
 
 
@@ -62,56 +53,51 @@ def coalesce_ranges(ranges: DataFrame, groups=("box_id",), lo: str = "lo", hi: s
     """Merge overlapping or adjacent inclusive ranges per group, with no
     group ever handled by a single task.
 
-    Each range becomes a +1 event at lo and a -1 event at hi + 1; equal
-    events are pre-aggregated map-side (so copies of one range cost one
-    row). Events are range-partitioned over (group, pos) - a hot group is
-    split across tasks - and pinned with a reliable checkpoint. Coverage is
-    a running sum; as every complete group sums to zero, the carry into a
-    partition is the sum of all earlier partitions (one number per
-    partition, fetched to the driver). Island starts and ends are then
-    numbered globally and paired by number: the k-th start opens the island
-    that the k-th end closes.
-
-    Ranges must satisfy lo <= hi < 2**63 - 1.
+    Ranges are range-partitioned over (group, lo), so a hot group is split
+    across tasks, and merged into islands inside each sorted partition (one
+    shuffle). Only an island that reaches past its partition's end can touch a
+    later one. The last island of every partition - one row per partition -
+    is fetched; walking over them in order gives the island open at the start
+    of each partition, and the islands that it reaches are joined to it.
+
+    Any lo <= hi of bigint is accepted, the top code included; an inverted range or a
+    null end raises. Null group values are a group.
     """
     from zpoints.session import checkpoint_dir
     groups = list(groups)
     spark = ranges.sparkSession
     checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    checked = ranges.select(*groups, F.col(lo).cast("long").alias("__lo"), F.when(
-        F.col(hi) >= F.lit(LONG_MAX), F.raise_error(F.lit("range end must be below 2**63 - 1")))
-        .otherwise(F.col(hi).cast("long")).alias("__hi"))
-    ev = checked.select(*groups, F.inline(F.array(
-        F.struct(F.col("__lo").alias("pos"), F.lit(0).alias("kind")),
-        F.struct((F.col("__hi") + 1).alias("pos"), F.lit(1).alias("kind")))))
-    ev = (ev.groupBy(*groups, "pos", "kind").agg(F.count(F.lit(1)).alias("w"))
-            .select(*groups, "pos", "kind",
-                    F.when(F.col("kind") == 0, F.col("w")).otherwise(-F.col("w")).alias("delta")))
-    ordered = (ev.repartitionByRange(n, *groups, "pos", "kind")
-                 .sortWithinPartitions(*groups, "pos", "kind")
-                 .checkpoint(eager=True))
-    totals = sorted((r["pid"], r["total"]) for r in
-                    ordered.mapInPandas(_partition_totals(), "pid int, total long").collect())
-    carry, acc = {}, 0
-    for pid, total in totals:
-        carry[pid] = acc
-        acc += total
-    gschema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ordered.schema.fields
-                        if f.name in groups)
-    # island boundaries are few next to the events; pin them so the count
-    # and the numbering below do not run the partition pass twice
-    bounds = ordered.mapInPandas(_boundary_events(carry, groups),
-                                 f"{gschema}, pos long, kind int, local_k long, pid int").checkpoint(eager=True)
-    counts = sorted((r["pid"], r["kind"], r["n"]) for r in
-                    bounds.groupBy("pid", "kind").agg(F.count(F.lit(1)).alias("n")).collect())
-    offsets, seen = [], {0: 0, 1: 0}
-    for pid, kind, cnt in counts:
-        offsets.append((pid, kind, seen[kind]))
-        seen[kind] += cnt
-    off = spark.createDataFrame(offsets or [(0, 0, 0)], "pid int, kind int, off long")
-    numbered = bounds.join(F.broadcast(off), ["pid", "kind"]).withColumn("k", F.col("local_k") + F.col("off"))
-    return numbered.groupBy(*groups, "k").agg(F.min("pos").alias(lo), F.max("pos").alias(hi)).drop("k")
+    bad = F.col(lo).isNull() | F.col(hi).isNull() | (F.col(lo) > F.col(hi))
+    checked = ranges.select(*groups, F.when(bad, F.raise_error(F.lit("range ends must not be null, nor min exceed max")))
+                            .otherwise(F.col(lo).cast("long")).alias("lo"), F.col(hi).cast("long").alias("hi"))
+    checked = checked.distinct()  # map-side: copies of one range cost one row
+    ordered = checked.repartitionByRange(n, *groups, "lo", "hi").sortWithinPartitions(*groups, "lo", "hi")
+    gschema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in ordered.schema.fields if f.name in groups)
+    islands = ordered.mapInPandas(_local_islands(groups),
+                                  f"{gschema}lo long, hi long, pid int, nth long").checkpoint(eager=True)
+    lasts = (islands.groupBy("pid").agg(F.max_by(F.struct(*groups, "lo", "hi"), "nth").alias("x"))
+             .select("pid", "x.*").collect())  # one row per partition
+    carried, open_island = [], None  # (pid, group values, lo and hi of the island open at its start)
+    for r in sorted(lasts, key=lambda r: r["pid"]):
+        group = tuple(r[g] for g in groups)
+        if open_island is not None:
+            carried.append((r["pid"], *open_island))
+        if open_island is not None and open_island[:-2] == group and r["lo"] - 1 <= open_island[-1]:
+            open_island = (*group, open_island[-2], max(open_island[-1], r["hi"]))
+        else:
+            open_island = (*group, r["lo"], r["hi"])
+    names = [f"__g{i}" for i in range(len(groups))]
+    kinds = {f.name: f.dataType.simpleString() for f in islands.schema.fields}
+    table = spark.createDataFrame(carried, ", ".join(
+        ["__pid int", *[f"{c} {kinds[g]}" for c, g in zip(names, groups)], "__lo long", "__hi long"]))
+    joined = islands.join(F.broadcast(table), F.col("pid") == F.col("__pid"), "left")  # a row per partition
+    reached = F.col("__hi").isNotNull() & ((F.col("lo") <= F.col("__hi")) | (F.col("lo") - 1 == F.col("__hi")))
+    for g, c in zip(groups, names):
+        reached = reached & F.col(g).eqNullSafe(F.col(c))
+    start = F.when(reached, F.col("__lo")).otherwise(F.col("lo"))
+    return (joined.withColumn("__start", start).groupBy(*groups, "__start").agg(F.max("hi").alias(hi))
+                  .withColumnRenamed("__start", lo).select(*groups, lo, hi))
 
 
 def range_length(lo="lo", hi="hi"):

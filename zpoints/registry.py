@@ -8,6 +8,7 @@ octree walk), not from the Spark plans.
 
 from __future__ import annotations
 
+import atexit
 import uuid
 from typing import Callable
 
@@ -35,14 +36,37 @@ RADIUS = 0.05
 CUBE_HALF_WIDTH = 3000
 COARSE_RES = 13
 ST_BOX = ((-100.0, 60.0), (-30.0, 45.0), (86400, 4 * 86400))
+ST_WIDE = ((-200.0, 60.0), (-90.0, -10.0), (0, 604800))
+# A box of hundreds of blocks a side; a box in coordinates; a fixed extent
+# that leaves points outside; a low cap on rows per array.
+B_LARGE = ((300, 300, 300), (100000, 45000, 9500))
+COORD_BOX = ((20.0, 5.0, 1.0), (60.5, 30.2, 6.0))
+FIXED_EXTENT = {"minX": 5.0, "minY": 3.0, "minZ": 1.0, "maxX": 105.0, "maxY": 50.0, "maxZ": 10.0}
+HOT_CAP = 50
+CODE_RADIUS = 0.05
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+_scratch: dict[str, SparkSession] = {}
+
+
+def _remove_scratch() -> None:
+    for path, spark in _scratch.items():
+        try:
+            p = spark._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark._jvm.org.apache.hadoop.conf.Configuration()).delete(p, True)
+        except Exception:  # the JVM is gone: nothing is left to delete with
+            return
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint directory."""
-    base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/scratch/{name}-{uuid.uuid4().hex}"
+    """A fresh folder under the shared checkpoint directory, removed when the driver exits."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/scratch/{name}-{uuid.uuid4().hex}"
+    if not _scratch:
+        atexit.register(_remove_scratch)
+    _scratch[path] = spark
+    return path
 
 
 def _L(spark, sf):
@@ -62,7 +86,7 @@ def _stored_blocks(spark, sf):
     read back; box queries run against the stored table, where the cover
     predicate reaches the parquet scan."""
     path = scratch_path(spark, "blocks")
-    IO.write_blocks(_blocks(spark, sf), path)
+    IO.write_points_as_blocks(_coded(spark, sf), path)
     return IO.read_blocks(spark, path)
 
 
@@ -98,10 +122,7 @@ def q_extent(spark, sf):
 
 def q_extent_normalized(spark, sf):
     e = EX.extent(_L(spark, sf))
-    a = EX.extent_normalized(e)
-    b = EX.extent_normalized(e, compat=True)
-    return a.join(b.select(*EX.EXTENT_COLUMNS, *[F.col(f"size{a_}").alias(f"size{a_}_compat") for a_ in "XYZ"]),
-                  on=EX.EXTENT_COLUMNS)
+    return EX.extent_normalized(EX.extent_normalized(e), compat=True, suffix="_compat")
 
 
 def q_normalize_coords(spark, sf):
@@ -179,14 +200,103 @@ def q_clip_blocks(spark, sf):
 
 def q_sql_clip(spark, sf):
     blocks = _stored_blocks(spark, sf)
+    return _sql_clip(spark, blocks, CL.block_cells(B1))
+
+
+def _sql_clip(spark, blocks, bcells):
     view = f"blocks_{uuid.uuid4().hex[:12]}"
     blocks.createOrReplaceTempView(view)
-    where = CL.ranges_predicate_sql("blockMortonCode", CL.cover_list(spark, CL.block_cells(B1)))
-    if where is None:
-        raise ValueError("box cover too large for a literal SQL predicate; use clip_blocks_cells")
+    where = CL.box_predicate_sql("blockMortonCode", bcells)
     return spark.sql(f"SELECT blockMortonCode, part, size(points) AS n_points FROM {view} WHERE {where}")
 
 
+def q_clip_large_box(spark, sf):
+    return _block_summary(CL.clip_blocks_cells(_stored_blocks(spark, sf), CL.block_cells(B_LARGE)))
+
+
+def q_sql_clip_large_box(spark, sf):
+    return _sql_clip(spark, _stored_blocks(spark, sf), CL.block_cells(B_LARGE))
+
+
+def q_clip_box_coords(spark, sf):
+    """Blocks of a box in coordinates, with rounded and with truncated corners."""
+    blocks = _stored_blocks(spark, sf)
+    e = EX.extent_values(_L(spark, sf))
+    low = (e["minX"], e["minY"], e["minZ"])
+    both = [_block_summary(CL.clip(blocks, low, *COORD_BOX, compat=c)).withColumn("compat", F.lit(c)) for c in (False, True)]
+    return both[0].unionByName(both[1])
+
+
+def q_coarse_partition_clip(spark, sf):
+    path = scratch_path(spark, "coarse")
+    IO.write_points_partitioned(_coded(spark, sf).select(*POINT10), path)
+    return IO.clip_partitioned(IO.read_points_partitioned(spark, path), B1, 8).select(*POINT10)
+
+
+def q_quarantine_points(spark, sf):
+    """Points coded against a fixed extent; those outside its cells are set apart."""
+    inside, outside = EX.split_outside(_L(spark, sf), FIXED_EXTENT)
+    return inside.select("x", "y", "z", "mortonCode", F.lit(False).alias("quarantined")).unionByName(
+        outside.select("x", "y", "z", F.lit(None).cast("long").alias("mortonCode"), F.lit(True).alias("quarantined")))
+
+
+def _hot_summary(parts, size, total):
+    return parts.groupBy("blockMortonCode").agg(
+        F.sum(size).alias("n_points"), F.sum(total).alias("code_sum"),
+        (F.max(size) <= HOT_CAP).alias("within_cap"), (F.count_distinct("part") == F.count("*")).alias("parts_differ"),
+        F.min(size >= 1).alias("none_empty"))
+
+
+def q_blocks_hot_parts(spark, sf):
+    p = F.col("points")
+    blocks = BL.collect_blocks(_coded(spark, sf, resolution=COARSE_RES), max_points_per_row=HOT_CAP)
+    return _hot_summary(blocks, F.size(p), F.aggregate(p, F.lit(0).cast("long"), lambda a, e: a + e["mortonCode"]))
+
+
+def q_codes_hot_parts(spark, sf):
+    m = F.col("mortonCodes")
+    codes = BL.codes_per_block(_coded(spark, sf, resolution=COARSE_RES), max_per_row=HOT_CAP)
+    return _hot_summary(codes, F.size(m), F.aggregate(m, F.lit(0).cast("long"), lambda a, e: a + e))
+
+
+def q_pts_parse_byte(spark, sf):
+    path = scratch_path(spark, "pts")
+    IO.write_points_text(_L(spark, sf), path)
+    return CD.flatten_loaded(IO.read_points_text(spark, path, intensity_type="byte"))
+
+
+def q_scale_points_catalog(spark, sf):
+    """Fixed-point scaling with factors of each point's own cloud, from a catalog of clouds."""
+    c = _coded(spark, sf)
+    catalog = SS.cloud_catalog(c, "intensity", "lineitem").select(
+        "id", *[(F.col(f"scale{a}") * F.col("id")).alias(f"scale{a}") for a in "XYZ"])
+    return EX.scale_points_by_catalog(_L(spark, sf), catalog, "intensity")
+
+
+def q_radius_join_codes(spark, sf):
+    """Pairs of point codes of the lineitem cloud within a radius."""
+    return NB.radius_join(_coded(spark, sf), CODE_RADIUS, id_col="mortonCode")
+
+
+def q_range_coalesce_top(spark, sf):
+    """Ranges that end at or near the top code."""
+    top = F.lit((1 << 63) - 1)
+    r = CD.table(spark, sf, "lineitem").select(
+        "l_returnflag", (top - 4 * F.col("l_orderkey")).alias("lo"),
+        (top - F.greatest(4 * F.col("l_orderkey") - 4 * F.col("l_linenumber"), F.lit(0))).alias("hi"))
+    return RG.coalesce_ranges(r, groups=["l_returnflag"])
+
+
+def _stored_events(spark, sf):
+    path = scratch_path(spark, "events")
+    ST.write_events(CD.events_cloud(spark, sf), path)
+    return spark.read.parquet(path)
+
+
+def q_st_box_wide(spark, sf):
+    return ST.st_box_filter(_stored_events(spark, sf), *ST_WIDE).select("id", "event_type", "lon", "lat", "t")
+
+
 def q_clip_points(spark, sf):
     return CL.clip_points(_stored_blocks(spark, sf), B1).select(*POINT10)
 
@@ -392,8 +502,7 @@ def q_st_invert(spark, sf):
 
 
 def q_st_box_filter(spark, sf):
-    ev = CD.events_cloud(spark, sf)
-    return ST.st_box_filter(ev, *ST_BOX).select("id", "event_type", "lon", "lat", "t")
+    return ST.st_box_filter(_stored_events(spark, sf), *ST_BOX).select("id", "event_type", "lon", "lat", "t")
 
 
 QUERIES: dict[str, Query] = {
@@ -441,6 +550,18 @@ QUERIES: dict[str, Query] = {
     "st_index": q_st_index,
     "st_invert": q_st_invert,
     "st_box_filter": q_st_box_filter,
+    "st_box_wide": q_st_box_wide,
+    "clip_large_box": q_clip_large_box,
+    "sql_clip_large_box": q_sql_clip_large_box,
+    "clip_box_coords": q_clip_box_coords,
+    "coarse_partition_clip": q_coarse_partition_clip,
+    "quarantine_points": q_quarantine_points,
+    "blocks_hot_parts": q_blocks_hot_parts,
+    "codes_hot_parts": q_codes_hot_parts,
+    "pts_parse_byte": q_pts_parse_byte,
+    "scale_points_catalog": q_scale_points_catalog,
+    "radius_join_codes": q_radius_join_codes,
+    "range_coalesce_top": q_range_coalesce_top,
 }
 
 
@@ -475,7 +596,7 @@ S_POINT10 = "x, y, z, mortonCode, blockMortonCode, intensity, classification, re
 E_CTE = """E AS (SELECT vec_id AS id, CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[2] AS DOUBLE) AS y,
   CAST(embedding[3] AS DOUBLE) AS z FROM embeddings)"""
 V_CTE = """V AS (SELECT event_id AS id, event_type, CAST((user_id * 37) % 360 - 180 AS DOUBLE) AS lon,
-  least(value, 500.0) * 180 / 500 - 90 AS lat, CAST(floor(epoch(ts)) AS BIGINT) % 604800 AS t FROM events)"""
+  CASE WHEN value <= 400 THEN value * 180 / 500 - 90 ELSE 90 - 14400 / value END AS lat, CAST(floor(epoch(ts)) AS BIGINT) % 604800 AS t FROM events)"""
 RADIUS_SQL = f"CAST({RADIUS} AS DOUBLE) * CAST({RADIUS} AS DOUBLE)"
 
 
@@ -489,8 +610,8 @@ def _b1_where(prefix: str = "") -> str:
             f"AND {prefix}normZ BETWEEN {z0} AND {z1}")
 
 
-def _b1_blocks_where() -> str:
-    (x0, y0, z0), (x1, y1, z1) = CL.block_cells(B1)
+def _b1_blocks_where(box=B1) -> str:
+    (x0, y0, z0), (x1, y1, z1) = CL.block_cells(box)
     return (f"(normX >> 8) BETWEEN {x0} AND {x1} AND (normY >> 8) BETWEEN {y0} AND {y1} "
             f"AND (normZ >> 8) BETWEEN {z0} AND {z1}")
 
@@ -725,4 +846,39 @@ T AS (SELECT S.*, X - mX AS tX, Y - mY AS tY, Z - mZ AS tZ FROM S, SM)""") +
     "st_box_filter": _with(V_CTE) + f"""SELECT id, event_type, lon, lat, t FROM V
   WHERE lon BETWEEN {ST_BOX[0][0]} AND {ST_BOX[0][1]} AND lat BETWEEN {ST_BOX[1][0]} AND {ST_BOX[1][1]}
   AND t BETWEEN {ST_BOX[2][0]} AND {ST_BOX[2][1]}""",
+    "st_box_wide": _with(V_CTE) + f"""SELECT id, event_type, lon, lat, t FROM V
+  WHERE lon BETWEEN {ST_WIDE[0][0]} AND {ST_WIDE[0][1]} AND lat BETWEEN {ST_WIDE[1][0]} AND {ST_WIDE[1][1]}
+  AND t BETWEEN {ST_WIDE[2][0]} AND {ST_WIDE[2][1]}""",
+    "clip_large_box": _with(BASE) + BLOCK_SUMMARY_SQL.format(src=f"(SELECT * FROM P WHERE {_b1_blocks_where(B_LARGE)})"),
+    "sql_clip_large_box": _with(BASE) + f"""SELECT blockMortonCode, CAST(0 AS INTEGER) AS part,
+  CAST(count(*) AS INTEGER) AS n_points FROM P WHERE {_b1_blocks_where(B_LARGE)} GROUP BY blockMortonCode""",
+    "clip_box_coords": _with(BASE) + " UNION ALL ".join(
+        f"SELECT *, {str(c).upper()} AS compat FROM (" + BLOCK_SUMMARY_SQL.format(src="(SELECT P.* FROM P, EXT WHERE " + " AND ".join(
+            f"(norm{a} >> 8) BETWEEN (CAST({f}(({lo} - min{a}) * 1000) AS BIGINT) >> 8) "
+            f"AND (CAST({f}(({hi} - min{a}) * 1000) AS BIGINT) >> 8)"
+            for a, lo, hi in zip("XYZ", *COORD_BOX)) + ")") + ")" for c, f in ((False, "round"), (True, "trunc"))),
+    "coarse_partition_clip": _with(BASE) + f"SELECT {S_POINT10} FROM P WHERE {_b1_where()}",
+    "quarantine_points": _with(L_CTE, "Q AS (SELECT x, y, z, " + ", ".join(
+        f"CAST(round(({a} - {FIXED_EXTENT[f'min{a.upper()}']}) * 1000) AS BIGINT) AS n{a}" for a in "xyz") + " FROM L)",
+        "R AS (SELECT *, NOT (nx BETWEEN 0 AND 2097151 AND ny BETWEEN 0 AND 2097151 AND nz BETWEEN 0 AND 2097151) AS quarantined FROM Q)")
+    + f"SELECT x, y, z, CASE WHEN NOT quarantined THEN {s_enc('nx', 'ny', 'nz')} END AS mortonCode, quarantined FROM R",
+    **{q: _with(BASE) + f"""SELECT mortonCode >> {3 * COARSE_RES} AS blockMortonCode, count(*) AS n_points,
+  CAST(sum(mortonCode) AS BIGINT) AS code_sum, TRUE AS within_cap, TRUE AS parts_differ, TRUE AS none_empty FROM P GROUP BY 1"""
+       for q in ("blocks_hot_parts", "codes_hot_parts")},
+    "pts_parse_byte": _with(L_CTE) + """SELECT x, y, z, CAST(intensity AS TINYINT) AS intensity, classification,
+  red, green, blue FROM L""",
+    "scale_points_catalog": _with(L_CTE) + "SELECT " + ", ".join(
+        f"CAST(trunc({a} * (1 / (CAST(0.001 AS DOUBLE) * intensity))) AS INTEGER) AS {a.upper()}" for a in "xyz")
+    + ", CAST(1 AS TINYINT) AS classification, intensity, red, green, blue FROM L",
+    "radius_join_codes": _with(BASE) + f"""SELECT a.mortonCode AS current, b.mortonCode AS nearPoint FROM P a JOIN P b
+  ON b.x BETWEEN a.x - 0.06 AND a.x + 0.06
+  WHERE (b.x - a.x) * (b.x - a.x) + (b.y - a.y) * (b.y - a.y) + (b.z - a.z) * (b.z - a.z)
+  <= CAST({CODE_RADIUS} AS DOUBLE) * CAST({CODE_RADIUS} AS DOUBLE)""",
+    "range_coalesce_top": """WITH R AS (SELECT l_returnflag, 9223372036854775807 - 4 * l_orderkey AS lo,
+  9223372036854775807 - greatest(4 * l_orderkey - 4 * l_linenumber, 0) AS hi FROM lineitem),
+M1 AS (SELECT *, max(hi) OVER (PARTITION BY l_returnflag ORDER BY lo, hi
+  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pm FROM R),
+M2 AS (SELECT *, sum(CASE WHEN pm IS NULL OR lo - 1 > pm THEN 1 ELSE 0 END) OVER (PARTITION BY l_returnflag
+  ORDER BY lo, hi ROWS UNBOUNDED PRECEDING) AS isl FROM M1)
+SELECT l_returnflag, min(lo) AS lo, max(hi) AS hi FROM M2 GROUP BY l_returnflag, isl""",
 }

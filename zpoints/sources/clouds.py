@@ -48,13 +48,15 @@ def embeddings_cloud(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def events_cloud(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cloud V: events as (lon, lat, seconds in week)."""
+    """Cloud V: events as (lon, lat, seconds in week). Latitude is linear in
+    the value up to 400 and then approaches 90, so any value has a place of its own."""
     ev = table(spark, sf_dir, "events")
     return ev.select(
         F.col("event_id").alias("id"),
         F.col("event_type"),
         (F.pmod(F.col("user_id") * 37, F.lit(360)) - 180).cast("double").alias("lon"),
-        (F.least(F.col("value"), F.lit(500.0)) * 180 / 500 - 90).alias("lat"),
+        F.when(F.col("value") <= 400, F.col("value") * 180 / 500 - 90)
+        .otherwise(90 - 14400 / F.col("value")).alias("lat"),
         F.pmod(F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 1_000_000), F.lit(SECONDS_IN_WEEK))
         .cast("long").alias("t"),
     )

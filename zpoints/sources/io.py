@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from zpoints.operators.blocks import unnest_blocks
+from zpoints.operators.blocks import point_struct, unnest_blocks
+from zpoints.operators.bounded import DEFAULT_MAX_PER_ROW, with_parts
 from zpoints.schema import BLOCKS
 
 # The token layout of a text point line.
@@ -24,8 +25,8 @@ def parse_points_text(lines: DataFrame, lenient: bool = False, intensity_type: s
     """Text lines (column ``value``) -> loaded points.
 
     Tokens are split on a single space and trimmed, then cast. Extra tokens
-    are ignored. By default a missing token or a bad number fails the job
-    (ANSI casts and array indexing raise). ``lenient=True`` yields nulls for
+    are ignored. By default a missing token or a bad number fails the job,
+    whatever the session's ANSI setting. ``lenient=True`` yields nulls for
     such fields instead and keeps the row. ``intensity_type`` lets a caller
     read intensity as a byte instead of an int.
     """
@@ -34,9 +35,12 @@ def parse_points_text(lines: DataFrame, lenient: bool = False, intensity_type: s
     types["intensity"] = intensity_type
 
     def field(i, name):
-        raw = F.get(toks, i) if lenient else toks.getItem(i)
-        raw = F.trim(raw)
-        return (raw.try_cast(types[name]) if lenient else raw.cast(types[name])).alias(name)
+        raw = F.trim(F.get(toks, i))
+        value = raw.try_cast(types[name])
+        if not lenient:  # raised here, so it does not depend on the session's ANSI mode
+            value = F.when(value.isNull(), F.raise_error(F.concat(
+                F.lit(f"no valid {name} in point line: "), F.col("value")))).otherwise(value)
+        return value.alias(name)
 
     f = {name: field(i, name) for i, (name, _) in enumerate(TEXT_FIELDS)}
     zero = F.lit(0)
@@ -51,9 +55,9 @@ def parse_points_text(lines: DataFrame, lenient: bool = False, intensity_type: s
     )
 
 
-def read_points_text(spark: SparkSession, path: str, lenient: bool = False) -> DataFrame:
+def read_points_text(spark: SparkSession, path: str, lenient: bool = False, intensity_type: str = "int") -> DataFrame:
     """Text scan of points, one per line: ``x y z intensity red green blue``."""
-    return parse_points_text(spark.read.text(path), lenient=lenient)
+    return parse_points_text(spark.read.text(path), lenient=lenient, intensity_type=intensity_type)
 
 
 def points_to_text(points: DataFrame) -> DataFrame:
@@ -77,6 +81,19 @@ def write_blocks(blocks: DataFrame, path: str, mode: str = "errorifexists",
     parted.sortWithinPartitions(*cols).write.mode(mode).parquet(path)
 
 
+def write_points_as_blocks(coded: DataFrame, path: str, mode: str = "errorifexists",
+                           max_points_per_row: int = DEFAULT_MAX_PER_ROW) -> None:
+    """Coded points -> stored blocks with one shuffle of the points.
+
+    Points are range-partitioned by (block, part); that distribution already
+    holds every (block, part) in one partition, so they are gathered in place,
+    sorted and written. Files cover disjoint code intervals."""
+    cols = ["blockMortonCode", "part"]
+    parted = with_parts(coded, ["blockMortonCode"], max_points_per_row).repartitionByRange(*cols)
+    blocks = parted.groupBy(*cols).agg(F.array_sort(F.collect_list(point_struct())).alias("points"))
+    blocks.sortWithinPartitions(*cols).write.mode(mode).parquet(path)
+
+
 def read_blocks(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(BLOCKS).parquet(path)
 
@@ -113,9 +130,19 @@ def read_points_partitioned(spark: SparkSession, path: str) -> DataFrame:
 
 def coarse_filter_for(ranges, drop_bits: int = 21):
     """A predicate on the partition column implied by code ranges, so that
-    directory pruning happens before any file is opened."""
-    from zpoints.operators.clip import any_of
-    return any_of(F.col("coarse").between(lo >> drop_bits, hi >> drop_bits) for lo, hi in ranges)
+    directory pruning happens before any file is opened. Ranges that fall
+    together on the coarse prefix are one term."""
+    from zpoints.operators.clip import any_of, merged
+    return any_of(F.col("coarse").between(lo, hi)
+                  for lo, hi in merged({(lo >> drop_bits, hi >> drop_bits) for lo, hi in ranges}))
+
+
+def clip_partitioned(points: DataFrame, cells, resolution: int, drop_bits: int = 21) -> DataFrame:
+    """Exact points of a box from the partitioned point store: directories are
+    pruned by the coarse prefix, row groups by code ranges, points by their cells."""
+    from zpoints.operators.clip import block_cells, clip_coded_points, frontier_ranges
+    pruned = points.filter(coarse_filter_for(frontier_ranges(block_cells(cells, resolution)), drop_bits))
+    return clip_coded_points(pruned, cells, resolution, pushdown=True)
 
 
 POINT_CSV_SCHEMA = T.StructType([

@@ -15,13 +15,13 @@ from __future__ import annotations
 
 from typing import Mapping
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from zpoints.operators.blocks import collect_blocks
 from zpoints.operators.extent import check_fits, encode_points
-from zpoints.schema import PRECISION, RESOLUTION
-from zpoints.sources.io import parse_points_text
+from zpoints.schema import BLOCKS, PRECISION, RESOLUTION
+from zpoints.sources.io import parse_points_text, write_points_as_blocks
 
 
 def read_points_text_stream(spark: SparkSession, path: str, lenient: bool = False,
@@ -42,10 +42,12 @@ def encode_stream(points: DataFrame, ext: Mapping[str, float], precision: float
 
 def _write_batch_blocks(out_path: str, max_points_per_row: int):
     def write(batch: DataFrame, batch_id: int) -> None:
-        blocks = collect_blocks(batch, max_points_per_row=max_points_per_row)
-        (blocks.repartitionByRange("blockMortonCode", "part")
-               .sortWithinPartitions("blockMortonCode", "part")
-               .write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/batch_id={batch_id}"))
+        batch.persist(StorageLevel.DISK_ONLY)  # read once: counted, sampled and shuffled from here
+        try:
+            write_points_as_blocks(batch, f"{out_path.rstrip('/')}/batch_id={batch_id}", mode="overwrite",
+                                   max_points_per_row=max_points_per_row)
+        finally:
+            batch.unpersist()
     return write
 
 
@@ -65,4 +67,5 @@ def start_block_ingest(coded: DataFrame, out_path: str, checkpoint_location: str
 def read_stream_blocks(spark: SparkSession, out_path: str) -> DataFrame:
     """Blocks written by the streaming ingest (``batch_id`` is a partition
     column, so a reader can prune by batch)."""
-    return spark.read.parquet(out_path).withColumn("batch_id", F.col("batch_id").cast("long"))
+    schema = T.StructType([*BLOCKS.fields, T.StructField("batch_id", T.LongType())])
+    return spark.read.schema(schema).parquet(out_path)
