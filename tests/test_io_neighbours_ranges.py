@@ -83,10 +83,9 @@ def test_coarse_partition_pruning_and_export(spark):
     IO.write_points_partitioned(coded, path)
     back = IO.read_points_partitioned(spark, path)
     bcells = CL.block_cells(R.B1)
-    ranges = CL.cover_list(spark, bcells)
-    sel = back.filter(IO.coarse_filter_for(ranges)).filter(CL.ranges_predicate("blockMortonCode", ranges))
-    plan = sel._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(coarse" in plan or "PartitionFilters: [" in plan
+    ranges = CL.frontier_ranges(bcells)
+    sel = back.filter(IO.coarse_filter_for(ranges)).filter(CL.box_predicate("blockMortonCode", bcells))
+    assert len(sel.inputFiles()) < len(back.inputFiles())  # directories were pruned
     want = CL.clip_blocks_cells(coded, bcells, pushdown=False)
     assert sorted(r.mortonCode for r in sel.collect()) == sorted(r.mortonCode for r in want.collect())
     out = R.scratch_path(spark, "test-export")
@@ -117,3 +116,52 @@ def test_nested_shapes(spark):
     assert cat.schema.fieldNames() == ["id", "name", "resolution", "extent", "offsets", "scaleFactors"]
     ext = EX.extent_literal(EX.extent_values(pts), spark)
     assert ext.count() == 1
+
+
+def test_range_merge_rejects_bad_ranges_and_takes_the_top_code(spark):
+    top = (1 << 63) - 1
+    df = spark.createDataFrame([(1, 5, 20), (1, top - 3, top), (1, top - 9, top - 4), (2, -top - 1, -top), (2, -top + 1, 0)],
+                               "box_id int, lo long, hi long")
+    got = sorted(tuple(r) for r in RG.coalesce_ranges(df, num_partitions=4).collect())
+    assert got == [(1, 5, 20), (1, top - 9, top), (2, -top - 1, 0)]
+    for bad in [(1, 9, 3), (1, None, 3), (1, 3, None)]:
+        df = spark.createDataFrame([(1, 1, 5), bad, (1, 20, 30)], "box_id int, lo long, hi long")
+        with pytest.raises(Exception, match="range ends"):
+            RG.coalesce_ranges(df).collect()
+
+
+def test_one_range_over_all_partitions(spark):
+    rows = [("a", i * 10, i * 10 + 3) for i in range(400)] + [("a", 55, 3500), ("b", 0, 1)]
+    df = spark.createDataFrame(rows, "g string, lo long, hi long")
+    got = sorted(tuple(r) for r in RG.coalesce_ranges(df, groups=["g"], num_partitions=9).collect())
+    want = sorted(tuple(r) for r in RG.coalesce_ranges_per_group(df, groups=["g"]).collect())
+    assert got == want
+
+
+def test_strict_parse_does_not_need_ansi_mode(spark):
+    bad = spark.createDataFrame([("a 2 3 4 5 6 7",)], "value string")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(Exception, match="no valid x"):
+            IO.parse_points_text(bad).collect()
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
+def test_hot_cells_keep_tasks_bounded(spark):
+    pts = spark.range(600).select(F.col("id"), (F.col("id") % 7 * 1e-4).alias("x"), F.lit(0.0).alias("y"), F.lit(0.0).alias("z"))
+    joined = NB.radius_join(pts, 0.05, hot_cell_rows=40)
+    assert joined.count() == 600 * 600
+
+
+def test_wide_space_time_box_loses_nothing(spark):
+    from zpoints.functions import spacetime as ST
+    rows = [(i, -180.0 + i * 3.6, -90.0 + (i * 7 % 100) * 1.8, i * 6000) for i in range(101)]
+    ev = spark.createDataFrame(rows, "id long, lon double, lat double, t long")
+    path = R.scratch_path(spark, "test-events")
+    ST.write_events(ev, path)
+    for box in (((-200.0, 60.0), (-90.0, -10.0), (0, 10**6)), ((-170.0, 200.0), (-95.0, 95.0), (-5, 300000))):
+        got = ST.st_box_filter(spark.read.parquet(path), *box)
+        assert got.count() == sum(all(a <= v <= b for v, (a, b) in zip(r[1:], box)) for r in rows)
+    with pytest.raises(Exception, match="domain"):
+        ST.st_index(spark.createDataFrame([(1, 190.0, 0.0, 0)], "id long, lon double, lat double, t long")).collect()

@@ -37,7 +37,7 @@ small = st.integers(min_value=0, max_value=40)
 @given(st.tuples(small, small, small), st.tuples(st.integers(0, 6), st.integers(0, 6), st.integers(0, 6)))
 def test_cover_contains_box(spark, lo, size):
     hi = tuple(a + b for a, b in zip(lo, size))
-    rs = CL.cover_list(spark, (lo, hi))
+    rs = sorted((r.lo, r.hi) for r in CV.zranges(CV.box_table(spark, [(0, *lo, *hi)])).collect())
     for (l1, h1), (l2, h2) in zip(rs, rs[1:]):
         assert h1 + 1 < l2
     for x in range(lo[0], hi[0] + 1):
@@ -47,6 +47,22 @@ def test_cover_contains_box(spark, lo, size):
                 assert any(a <= c <= b for a, b in rs)
 
 
+axis_range = st.tuples(st.integers(0, (1 << 21) - 1), st.integers(0, (1 << 21) - 1)).map(sorted)
+
+
+@settings(max_examples=60, deadline=None)
+@given(axis_range, axis_range, axis_range, st.lists(st.tuples(st.floats(0, 1), st.floats(0, 1), st.floats(0, 1)), max_size=20))
+def test_frontier_is_short_and_holds_the_box(x, y, z, inside):
+    cells = tuple(zip(x, y, z))
+    rs = CL.frontier_ranges(cells)
+    assert 1 <= len(rs) <= CL.MAX_OR_TERMS
+    for (l1, h1), (l2, h2) in zip(rs, rs[1:]):
+        assert h1 + 1 < l2
+    corners = [(a, b, c) for a in x for b in y for c in z]
+    for p in corners + [tuple(lo + int(f * (hi - lo)) for f, (lo, hi) in zip(fs, (x, y, z))) for fs in inside]:
+        assert any(a <= enc(*p) <= b for a, b in rs)
+
+
 @settings(max_examples=4, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 200), st.integers(0, 6)), min_size=1, max_size=80))
 def test_merge_same_union(spark, spans):
