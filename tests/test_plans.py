@@ -41,11 +41,8 @@ def test_stored_clip_is_pushed_down_without_shuffle(spark):
 
 def test_ingest_has_one_exchange_and_files_do_not_overlap(spark):
     from pyspark.sql import functions as F
-    from zpoints.operators.bounded import with_parts
-    cols = ["blockMortonCode", "part"]
-    parted = with_parts(R._coded(spark, SF_SMALL), ["blockMortonCode"]).repartitionByRange(6, *cols)
-    plan = _executed(parted.groupBy(*cols).agg(F.collect_list("mortonCode")))
-    assert plan.split("Initial Plan")[0].count("Exchange ") == 1
+    coded = R._coded(spark, SF_SMALL)
+    assert _executed(IO.gather_in_place(coded)).split("Initial Plan")[0].count("Exchange ") == 1
     path = R.scratch_path(spark, "test-files")
     IO.write_points_as_blocks(R._coded(spark, SF_SMALL), path)
     spans = sorted((r.lo, r.hi) for r in IO.read_blocks(spark, path).groupBy(F.input_file_name()).agg(

@@ -45,10 +45,17 @@ def with_parts(df: DataFrame, keys: Sequence[str], max_per_row: int = DEFAULT_MA
                part_col: str = "part") -> DataFrame:
     """Add ``part_col``: 0 for keys with at most ``max_per_row`` rows; for the
     others a number such that no (key, part) holds more than ``max_per_row`` rows."""
+    parted = hot_parts(df, keys, max_per_row, part_col)
+    return df.withColumn(part_col, F.lit(0)) if parted is None else parted
+
+
+def hot_parts(df: DataFrame, keys: Sequence[str], max_per_row: int = DEFAULT_MAX_PER_ROW,
+              part_col: str = "part") -> DataFrame | None:
+    """``with_parts``, or None if no key is hot (then no part column is needed to group by)."""
     keys = list(keys)
     hot = hot_keys(df, keys, max_per_row)
     if hot.isEmpty():  # one job over the key columns
-        return df.withColumn(part_col, F.lit(0))
+        return None
     names = [f"__k{i}" for i in range(len(keys))]
     hot = hot.withColumnsRenamed(dict(zip(keys, names)))
     marked = df.join(hot, same_keys(df, hot, keys, names), "left").drop(*names)

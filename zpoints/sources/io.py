@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from zpoints.operators.blocks import point_struct, unnest_blocks
-from zpoints.operators.bounded import DEFAULT_MAX_PER_ROW, with_parts
+from zpoints.operators.bounded import DEFAULT_MAX_PER_ROW, hot_parts
 from zpoints.schema import BLOCKS
 
 # The token layout of a text point line.
@@ -88,10 +88,19 @@ def write_points_as_blocks(coded: DataFrame, path: str, mode: str = "errorifexis
     Points are range-partitioned by (block, part); that distribution already
     holds every (block, part) in one partition, so they are gathered in place,
     sorted and written. Files cover disjoint code intervals."""
-    cols = ["blockMortonCode", "part"]
-    parted = with_parts(coded, ["blockMortonCode"], max_points_per_row).repartitionByRange(*cols)
-    blocks = parted.groupBy(*cols).agg(F.array_sort(F.collect_list(point_struct())).alias("points"))
-    blocks.sortWithinPartitions(*cols).write.mode(mode).parquet(path)
+    blocks = gather_in_place(coded, max_points_per_row)
+    blocks.sortWithinPartitions("blockMortonCode", "part").write.mode(mode).parquet(path)
+
+
+def gather_in_place(coded: DataFrame, max_points_per_row: int = DEFAULT_MAX_PER_ROW) -> DataFrame:
+    """Blocks gathered where a range partitioning by (block, part) has put their points: one exchange."""
+    parted = hot_parts(coded, ["blockMortonCode"], max_points_per_row)
+    cols = ["blockMortonCode"] if parted is None else ["blockMortonCode", "part"]
+    rows = (coded if parted is None else parted).repartitionByRange(*cols)
+    blocks = rows.groupBy(*cols).agg(F.array_sort(F.collect_list(point_struct())).alias("points"))
+    if parted is None:  # a constant part would be folded out of the grouping, and its range partitioning with it
+        blocks = blocks.withColumn("part", F.lit(0))
+    return blocks.select("blockMortonCode", "part", "points")
 
 
 def read_blocks(spark: SparkSession, path: str) -> DataFrame:
