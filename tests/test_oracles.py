@@ -1,4 +1,4 @@
-"""Every registered query against its DuckDB oracle on sf0.001."""
+"""Every query of the library's registry against its DuckDB oracle on sf0.001 (tests/llm has the training-data queries)."""
 import hashlib
 import math
 
@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from zpoints import registry as R
 
 TABLES = ["nation", "lineitem", "events", "embeddings"]
 
@@ -32,12 +33,17 @@ def con():
     return c
 
 
+def test_entry_registers_the_whole_registry():
+    assert R.QUERIES.keys() == R.ORACLES.keys()
+    assert R.QUERIES.items() <= E.queries().items() and R.ORACLES.items() <= E.oracle_sql().items()
+
+
 def test_entry_runs(spark):
     df = E.entry(spark)
     assert df.count() == 28
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(R.QUERIES))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF_SMALL)
     srows = [tuple(r) for r in df.collect()]

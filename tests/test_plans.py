@@ -16,7 +16,7 @@ def _executed(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(R.QUERIES))
 def test_no_nested_loop_or_cartesian(spark, name):
     plan = _executed(E.queries()[name](spark, SF_SMALL))
     assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
