@@ -1,3 +1,5 @@
+"""Small tables for the tests of zpoints.llm; test modules import the fixtures that they use."""
+
 import random
 
 import pytest
@@ -35,7 +37,7 @@ def edge_rows():
     passage = sentence(rng, 55)
     long_text = sentence(rng, 60_000)
     rows = [doc(1, "just four words here"), doc(2, None), doc(3, ""), doc(4, "  \n\t "), doc(5, base), doc(6, base),
-            doc(6, base), doc(7, " ".join(near), source=None), doc(8, "a" * 20), doc(None, base), doc(None, None),
+            doc(6, base), doc(7, " ".join(near), source=None), doc(8, "a" * 20), doc(None, base, source="z"), doc(None, None, source="z"),
             doc(9, long_text, source="t", lang=None), doc(10, "x y  z 日本語 😀 \x85 \x1c end."),
             doc(11, " ".join(["spam"] * 300)), doc(12, sentence(rng, 30) + " " + passage + "\n" + sentence(rng, 25)),
             doc(13, sentence(rng, 40) + "  " + passage + " " + sentence(rng, 10)), doc(14, passage, source="t"),

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import brute
+from llm_fixtures import edge_docs, edge_labels, no_docs, no_labels  # noqa: F401
 from zpoints.llm import bpe, egojoin, htmlcrf, mixing, probminhash, quality, sharding, substring, toxicity, vptree
 
 tokenizers = pytest.importorskip("public_tokenizers")
@@ -105,7 +106,7 @@ def test_substring_dedup(edge_docs, no_docs):
 
 
 def test_substring_dedup_in_small_shards(edge_docs):
-    candidates = substring.candidate_texts(edge_docs, size=20, gram=6)
+    candidates = substring.candidate_texts(edge_docs, size=20, gram=10)
     spans = substring.repeated_spans(candidates.cache(), shard_words=200, task_words=300).collect()
     gone = {}
     for r in spans:
