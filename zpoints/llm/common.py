@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import uuid
 
 import numpy as np
@@ -19,17 +20,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_saved: dict[str, SparkSession] = {}
+
+
+def _remove_saved() -> None:
+    for path, spark in _saved.items():
+        try:
+            p = spark._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark._jvm.org.apache.hadoop.conf.Configuration()).delete(p, True)
+        except Exception:  # the JVM is gone: nothing is left to delete with
+            return
+
+
 def save(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as parquet into the shared checkpoint folder and read it back.
 
     Cuts the lineage like ``checkpoint()`` but keeps columns and statistics,
     survives the loss of executors, and later jobs read only the columns they need.
+    The table is removed when the driver exits.
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/llm-{label}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._saved_path = path
+    if not _saved:
+        atexit.register(_remove_saved)
+    _saved[path] = spark
     return out
 
 
@@ -39,6 +56,7 @@ def discard(df: DataFrame) -> None:
     if path:
         p = spark._jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+        _saved.pop(path, None)
 
 
 def fresh(df: DataFrame, name: str) -> str:
