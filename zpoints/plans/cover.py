@@ -66,6 +66,9 @@ def cover_octants(boxes: DataFrame, levels: int = MAX_LEVELS) -> DataFrame:
     """(box_id, x0, y0, z0, x1, y1, z1) cells -> emitted octants
     (box_id, lo, hi, level), not yet merged."""
     b = validate_cells(boxes.select("box_id", *[F.col(c).cast("long").alias(c) for c in CELL_COLS]))
+    # a box is one short row but may become 10^5 octants: spread the boxes before they grow
+    # (a given number of partitions is not coalesced by their size)
+    b = b.repartition(int(boxes.sparkSession.conf.get("spark.sql.shuffle.partitions")), "box_id")
     zmin = morton_code("x0", "y0", "z0")
     zmax = morton_code("x1", "y1", "z1")
     b = b.withColumn("__cp", common_prefix(zmin, zmax))
