@@ -14,7 +14,8 @@ Registers are banded. Links are found without listing the pairs of a bucket:
    verified pairs give components.
 3. Only buckets that still hold several components are looked at again, in
    blocks of bounded size; pairs across components whose sketches agree well
-   enough are verified as well.
+   enough are verified inside the block, and only links that join two
+   components leave it.
 
 Verification takes the whole texts: Jaccard similarity of the two sets of
 shingles, at or above the threshold. Components are the classes of near
@@ -161,31 +162,65 @@ def verify(pairs: DataFrame, texts: DataFrame, *, threshold: float, k: int) -> D
             .where(F.col("similarity") >= threshold))
 
 
-def _cross_pairs(block: int, least: float):
-    """Within a block pair of a bucket: pairs of different components whose sketches agree in ``least`` of the registers."""
+def _cross_links(k: int, threshold: float, least: float):
+    """Within a pair of chunks of a bucket: verified links between different components, a forest of them at most.
+
+    Pairs whose sketches agree in ``least`` of the registers are verified on
+    the whole texts, best agreement first; a pair that is connected by then
+    is not needed. A pair is left to the first band that it shares.
+    """
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["chunk", "doc_id"])
+        pdf = pdf.sort_values(["chunk", "doc_id"]).reset_index(drop=True)
         regs = np.stack([np.frombuffer(r, "<u2") for r in pdf["registers"]])
+        bands = np.stack(pdf["bands"].to_numpy())
+        nth = int(np.argmax(bands[0] == pdf["band"].iloc[0]))
         ids, comp, chunk = pdf["doc_id"].to_numpy(), pdf["component"].to_numpy(), pdf["chunk"].to_numpy()
         lo, hi = int(pdf["ci"].iloc[0]), int(pdf["cj"].iloc[0])
         left, right = np.flatnonzero(chunk == lo), np.flatnonzero(chunk == hi)
-        out = []
+        found = []
         for i in left:
             js = right[right > i] if lo == hi else right
             js = js[comp[js] != comp[i]]
+            if nth:
+                js = js[~(bands[js, :nth] == bands[i, :nth]).any(axis=1)]
             if len(js):
-                js = js[(regs[js] == regs[i]).mean(axis=1) >= least]
-                out += [(min(ids[i], ids[j]), max(ids[i], ids[j])) for j in js]
+                agree = (regs[js] == regs[i]).mean(axis=1)
+                found += [(x, i, j) for x, j in zip(agree[agree >= least], js[agree >= least])]
+        found.sort(key=lambda x: -x[0])
+        parent = {c: c for c in comp.tolist()}
+
+        def root(c):
+            while parent[c] != c:
+                parent[c] = parent[parent[c]]
+                c = parent[c]
+            return c
+
+        sets: dict[int, np.ndarray] = {}
+        out = []
+        for _, i, j in found:
+            a, b = root(int(comp[i])), root(int(comp[j]))
+            if a == b:
+                continue
+            for m in (i, j):
+                if m not in sets:
+                    sets[m] = np.unique(shingles([pdf["text"].iloc[m] or ""], k)[1])
+            x, y = sets[i], sets[j]
+            if min(len(x), len(y)) < threshold * max(len(x), len(y)):
+                continue
+            both = len(np.intersect1d(x, y, assume_unique=True))
+            if both >= threshold * (len(x) + len(y) - both):
+                parent[max(a, b)] = min(a, b)
+                out.append((int(ids[i]), int(ids[j])))
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
     return run
 
 
 def near_duplicates(docs: DataFrame, *, threshold: float = 0.8, k: int = 5, registers: int = 128, band_rows: int = 4,
-                    block: int = 512, slack: float = 0.25) -> DataFrame:
+                    block: int = 512, slack: float = 0.2) -> DataFrame:
     """(doc_id, class_id, kept) of every row of ``docs``; kept marks the rows with the least doc_id of their class.
 
     ``slack``: in step 3, pairs are verified if their sketches agree in at least ``threshold - slack`` of the
-    registers; with 128 registers that is seven standard deviations below the threshold.
+    registers; with 128 registers that is more than five standard deviations below the threshold.
     """
     sk = save(sketch(docs, k=k, registers=registers, band_rows=band_rows), "pmh-sketch")
     texts_of = sk.where("bands IS NOT NULL").groupBy("text_key").agg(
@@ -211,12 +246,11 @@ def near_duplicates(docs: DataFrame, *, threshold: float = 0.8, k: int = 5, regi
     sized = sized.withColumn("chunks", F.ceil(F.col("n") / block).cast("int"))
     sized = sized.withColumn("chunk", F.pmod(F.xxhash64("doc_id"), F.col("chunks").cast("long")).cast("int"))
     sized = sized.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    sized = sized.join(reps.select("doc_id", "registers"), "doc_id").select(
-        "band", "doc_id", "component", "registers", "chunk", F.least("chunk", "other").alias("ci"),
+    sized = sized.join(reps, "doc_id").join(texts, "doc_id").select(
+        "band", "doc_id", "component", "registers", "bands", "text", "chunk", F.least("chunk", "other").alias("ci"),
         F.greatest("chunk", "other").alias("cj"))
-    more = (sized.groupBy("band", "ci", "cj").applyInPandas(_cross_pairs(block, threshold - slack), schema(a=LONG, b=LONG))
-            .distinct())
-    late = save(verify(more, texts, threshold=threshold, k=k).select("a", "b"), "pmh-late")
+    late = save(sized.groupBy("band", "ci", "cj").applyInPandas(_cross_links(k, threshold, threshold - slack),
+                                                                schema(a=LONG, b=LONG)).distinct(), "pmh-late")
     name = lambda c: first.select(F.col("node").alias(c), F.col("component").alias(f"c{c}"))
     bridges = (late.join(name("a"), "a", "left").join(name("b"), "b", "left")
                .select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")))
