@@ -8,7 +8,7 @@ is first narrowed without losing a window:
 1. Anchors. Among the runs of ``gram`` words inside a window the one with the
    least hash is its anchor. Equal windows have equal anchors, so a window
    whose anchor hash occurs once in the corpus is no repeat. About one word in
-   eight is an anchor; only their hashes are shuffled.
+   six is an anchor; only their hashes are shuffled, once per document.
 2. Routing. The remaining windows are hashed whole; the first occurrence of
    each hash names the reference run that a later one must be held against.
 3. Automata. Reference runs are dealt to shards of bounded size. A shard's
@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import INT, LONG, STRING, WORD, fresh, rolling, save, schema, word_hashes, word_spans
+from .common import BOOL, INT, LONG, STRING, WORD, fresh, rolling, save, schema, word_hashes, word_spans
 
 WORDS = re.compile(WORD)
 #: Windows that start in [c * CELL, (c + 1) * CELL) belong to cell c of their document.
@@ -80,18 +80,32 @@ def window_anchors(doc: np.ndarray, h: np.ndarray, size: int, gram: int) -> tupl
     return start, anchor, grams
 
 
+def _once(value: np.ndarray, *where: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of entries (value, where...): the index of the first of each distinct one, and whether there are several."""
+    order = np.lexsort((*where[::-1], value))
+    new = np.ones(len(order), bool)
+    new[1:] = value[order][1:] != value[order][:-1]
+    for w in where:
+        new[1:] |= w[order][1:] != w[order][:-1]
+    head = np.flatnonzero(new)
+    return order[head], np.diff(np.concatenate([head, [len(order)]])) > 1
+
+
 def _anchor_rows(size: int, gram: int):
+    """(anchor, doc_id, several) once per anchor hash of a document; several: at more than one place of it."""
     def run(batches):
         for batch in batches:
             ids = np.array(batch.column(0).to_pylist(), np.int64)
             texts = [t or "" for t in batch.column(1).to_pylist()]
             for lo, hi in _chunks(texts):
-                doc, h, first = _hashed(texts[lo:hi])
-                at = np.unique(window_anchors(doc, h, size, gram)[1])
-                grams = rolling(h, gram)
+                doc, h, _ = _hashed(texts[lo:hi])
+                _, anchor, grams = window_anchors(doc, h, size, gram)
+                at = np.unique(anchor)
+                one, several = _once(grams[at], doc[at])
+                at = at[one]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(grams[at].astype(np.int64)), pa.array(ids[lo:hi][doc[at]]),
-                     pa.array((at - first[doc[at]]).astype(np.int32))], ["anchor", "doc_id", "pos"])
+                    [pa.array(grams[at].astype(np.int64)), pa.array(ids[lo:hi][doc[at]]), pa.array(several)],
+                    ["anchor", "doc_id", "several"])
     return run
 
 
@@ -104,11 +118,13 @@ def _runs(size: int, gram: int):
             marked = batch.column(2).to_pylist()
             for lo, hi in _chunks(texts):
                 doc, h, first = _hashed(texts[lo:hi])
-                start, anchor, _ = window_anchors(doc, h, size, gram)
-                hot = np.zeros(len(h) + 1, bool)
+                start, anchor, grams = window_anchors(doc, h, size, gram)
+                value, edge = grams[anchor].astype(np.int64), np.searchsorted(doc[start], np.arange(hi - lo + 1))
+                hot = np.zeros(len(start), bool)
                 for i, m in enumerate(marked[lo:hi]):
-                    hot[first[i] + np.array(m, np.int64)] = True
-                start = start[hot[anchor]]
+                    part = slice(edge[i], edge[i + 1])
+                    hot[part] = np.isin(value[part], np.array(m, np.int64))
+                start = start[hot]
                 if not len(start):
                     continue
                 local = start - first[doc[start]]
@@ -133,7 +149,7 @@ def _runs(size: int, gram: int):
 
 
 def _window_rows(size: int):
-    """(hash, doc_id, pos) of every window of every run."""
+    """(hash, doc_id, start, several) once per window hash of the run at start; several: at more than one place of it."""
     def run(batches):
         for batch in batches:
             ids, starts = np.array(batch.column(0).to_pylist(), np.int64), np.array(batch.column(1).to_pylist(), np.int64)
@@ -143,10 +159,13 @@ def _window_rows(size: int):
                 if len(h) < size:
                     continue
                 at = np.flatnonzero(doc[:len(h) - size + 1] == doc[size - 1:])
-                d = doc[at]
+                value = rolling(h, size)[at]
+                one, several = _once(value, doc[at])
+                d = doc[at][one]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(rolling(h, size)[at].astype(np.int64)), pa.array(ids[lo:hi][d]),
-                     pa.array((starts[lo:hi][d] + at - first[d]).astype(np.int32))], ["hash", "doc_id", "pos"])
+                    [pa.array(value[one].astype(np.int64)), pa.array(ids[lo:hi][d]),
+                     pa.array(starts[lo:hi][d].astype(np.int32)), pa.array(several)],
+                    ["hash", "doc_id", "start", "several"])
     return run
 
 
@@ -231,23 +250,25 @@ def _match(size: int):
 def candidate_texts(docs: DataFrame, *, size: int, gram: int) -> DataFrame:
     """(doc_id, text, anchors) of the documents that hold an anchor which occurs twice in the corpus."""
     rows = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "text")
-    anchors = rows.mapInArrow(_anchor_rows(size, gram), schema(anchor=LONG, doc_id=LONG, pos=INT))
-    again = (anchors.withColumn("n", F.count("*").over(Window.partitionBy("anchor"))).where("n > 1")
-             .groupBy("doc_id").agg(F.collect_set("pos").alias("anchors")))
+    anchors = rows.mapInArrow(_anchor_rows(size, gram), schema(anchor=LONG, doc_id=LONG, several=BOOL))
+    again = (anchors.withColumn("n", F.count("*").over(Window.partitionBy("anchor"))).where("n > 1 OR several")
+             .groupBy("doc_id").agg(F.collect_set("anchor").alias("anchors")))
     return rows.join(again, "doc_id")
 
 
-def repeated_spans(candidates: DataFrame, *, size: int = 20, gram: int = 6, shard_words: int = 60_000,
+def repeated_spans(candidates: DataFrame, *, size: int = 20, gram: int = 10, shard_words: int = 60_000,
                    task_words: int = 400_000) -> DataFrame:
     """(doc_id, lo, hi): spans of words, possibly touching, that cover exactly the words to remove."""
     runs = save(candidates.select("doc_id", "text", "anchors").mapInArrow(
         _runs(size, gram), schema(doc_id=LONG, cell=INT, start=INT, windows=INT, words=STRING)), "sub-runs")
-    windows = runs.select("doc_id", "start", "words").mapInArrow(_window_rows(size), schema(hash=LONG, doc_id=LONG, pos=INT))
+    windows = runs.select("doc_id", "start", "words").mapInArrow(
+        _window_rows(size), schema(hash=LONG, doc_id=LONG, start=INT, several=BOOL))
     cell = lambda c: F.floor(F.col(c) / CELL).cast("int")
-    first = F.min(F.struct("doc_id", "pos")).over(Window.partitionBy("hash"))
-    routes = (windows.withColumn("f", first).where("f.doc_id <> doc_id OR f.pos <> pos")
-              .select("doc_id", cell("pos").alias("cell"), F.col("f.doc_id").alias("ref_doc"),
-                      cell("f.pos").alias("ref_cell")).distinct())
+    first = F.min(F.struct("doc_id", "start")).over(Window.partitionBy("hash"))
+    # the run of a hash's first occurrence is its reference, also for a second one in the same run
+    routes = (windows.withColumn("f", first).where("several OR f.doc_id <> doc_id OR f.start <> start")
+              .select("doc_id", cell("start").alias("cell"), F.col("f.doc_id").alias("ref_doc"),
+                      cell("f.start").alias("ref_cell")).distinct())
     routes = save(routes, "sub-routes")
     wanted = routes.select(F.col("ref_doc").alias("doc_id"), F.col("ref_cell").alias("cell")).distinct()
     reference = runs.join(wanted, ["doc_id", "cell"], "left_semi")
@@ -304,7 +325,7 @@ def _digest(batches):
 _DIGEST = schema(doc_id=LONG, n_words=LONG, n_removed=LONG, kept_sha256=STRING)
 
 
-def removal_digests(docs: DataFrame, *, size: int = 20, gram: int = 6) -> DataFrame:
+def removal_digests(docs: DataFrame, *, size: int = 20, gram: int = 10) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 (of the kept words joined by one space) of every row.
 
     Texts are shuffled once, to meet their repeated anchors; documents without any are digested where they lie.
@@ -320,7 +341,7 @@ def removal_digests(docs: DataFrame, *, size: int = 20, gram: int = 6) -> DataFr
         F.coalesce("_kept_sha256", "kept_sha256").alias("kept_sha256"))
 
 
-def remove_repeats(docs: DataFrame, *, size: int = 20, gram: int = 6) -> DataFrame:
+def remove_repeats(docs: DataFrame, *, size: int = 20, gram: int = 10) -> DataFrame:
     """The rows of ``docs``, all columns kept, with repeats removed from ``text`` (kept words joined by one space).
 
     Texts without a repeat stay as they are. ``n_chars``, if it is a column, follows the new text.
