@@ -292,3 +292,25 @@ def test_leaf_blocks():
     blocks = htmlcrf.leaf_blocks("<p>a &lt; b<i>c</i> d<p>e<br>f<ul><li>x<li>y</ul>tail &am <!-- no --> &#x41;")
     assert [b.text for b in blocks] == ["a < bc d", "e f", "x", "y", "tail &am A"]
     assert "li" not in blocks[-1].tags
+
+
+def test_pruning_does_not_hang_on_norms(spark):
+    """Neither one vector of 100 times the norm nor a query of a large or small norm may cost recall."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(3000, 24)) + 2 * rng.normal(size=(30, 24))[np.arange(3000) % 30]
+    x /= np.sqrt((x**2).sum(1))[:, None]
+    scales = {7: 100.0, 50: 30.0, 100: 0.01}
+    x[list(scales)] *= np.array(list(scales.values()))[:, None]
+    x = x.astype(np.float32)
+    rows = [(i, v.tolist(), 0, "x", "x", "x") for i, v in enumerate(x)]
+    got = vptree.search(spark.createDataFrame(rows, VECTORS), F.col("vec_id") % 50 == 0, k=20, factor=1.2, leaf=16).collect()
+    found = {(r["query_id"], r["vec_id"]) for r in got}
+    x = x.astype(float)
+    want = set()
+    for i in range(0, 3000, 50):
+        s = x @ x[i]
+        s[i] = -np.inf
+        want |= {(i, int(j)) for j in np.argsort(-s, kind="stable")[:20]}
+    for i in (50, 100):
+        assert len({p for p in found & want if p[0] == i}) >= 17
+    assert len(found & want) > 0.97 * len(want)

@@ -1,14 +1,17 @@
 """Nearest neighbours by vantage-point trees, one per shard, for the largest inner product.
 
 Inner products are turned into distances by one more coordinate: a vector x
-becomes (x, sqrt(M^2 - |x|^2)) with M the largest norm, a query q becomes
-(q, 0), and then |q - x|^2 = |q|^2 + M^2 - 2 <q, x>. The triangle inequality
-holds among the lifted vectors.
-
-Shards are made by a hash of vec_id, each of about ``shard_rows`` vectors. A
-shard's tree splits at the median distance to a vantage point until a leaf has
-``leaf`` vectors; a node keeps the range of distances of either side. A query
-takes the leaves in the order of their lower bounds and stops where
+becomes (x, sqrt(M^2 - |x|^2)) / M with M the largest norm, a query q becomes
+(q / |q|, 0), and then |q - x|^2 = 2 - 2 <q, x> / (|q| M). The triangle
+inequality holds among the lifted vectors.
+
+Shards are made by a hash of vec_id, each of about ``shard_rows`` vectors, and
+a shard is split into bands of norms, each down to half of its own largest
+norm M, with a tree of its own. So distances spread alike whatever the norms
+of other vectors or of the query are. A tree splits at the median distance to
+a vantage point until a leaf has ``leaf`` vectors; a node keeps the range of
+distances of either side. A query takes the bands from the largest norm down,
+the leaves of a band in the order of their lower bounds, and stops where
 ``factor * bound`` reaches the distance of its k-th best: factor 1 is exact
 search, a larger one prunes more.
 
@@ -89,39 +92,60 @@ def inner(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.cumsum(a * b, axis=1)[:, -1]
 
 
+def norms_of(a: np.ndarray) -> np.ndarray:
+    """Euclidean norms of non-zero rows, without overflow or underflow of the squares."""
+    most = np.abs(a).max(axis=1)
+    return most * np.sqrt(((a / most[:, None])**2).sum(1))
+
+
+def norm_bands(norms: np.ndarray) -> list[np.ndarray]:
+    """The rows by falling norm, cut so that a band's norms are above half of its largest."""
+    order = np.argsort(-norms, kind="stable")
+    falling, out, at = -norms[order], [], 0
+    while at < len(order):
+        end = int(np.searchsorted(falling, falling[at] / 2, side="left"))
+        out.append(order[at:end])
+        at = end
+    return out
+
+
 def search_shard(x: np.ndarray, ids: np.ndarray, q: np.ndarray, q_ids: np.ndarray, *, k: int, factor: float,
-                 leaf: int, top_norm: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+                 leaf: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row of q, row of x, inner product) of each query's k best in this shard, its own id left out."""
-    lift = np.sqrt(np.maximum(top_norm**2 - (x**2).sum(1), 0))
-    tree = VantageTree(np.column_stack([x, lift]), leaf)
-    lifted = np.column_stack([q, np.zeros(len(q))])
-    bound = tree.bounds(lifted) * factor
-    turn = np.empty_like(bound, dtype=np.int32)  # a leaf's place in the query's order of bounds
-    np.put_along_axis(turn, np.argsort(bound, axis=1, kind="stable"), np.arange(bound.shape[1], dtype=np.int32)[None, :], 1)
-    base = (q**2).sum(1) + top_norm**2
+    norms, q_norms = norms_of(x), norms_of(q)
+    lifted = np.column_stack([q / q_norms[:, None], np.zeros(len(q))])
     keep = k + 8  # a few more, so that rounding cannot decide a tie
     found = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
     kth = np.full(len(q), -np.inf)
-    lo, hi = 0, 2
-    while lo < len(tree.leaves):
-        # the next leaves in each query's order, those only whose bound is within the distance of its k-th best
-        radius = np.where(np.isinf(kth), np.inf, np.sqrt(np.maximum(base - 2 * kth, 0)) * (1 + 1e-12) + 1e-9)
-        due = (turn >= lo) & (turn < hi) & (bound <= radius[:, None])
-        parts = [found]
-        for leaf_no in np.flatnonzero(due.any(axis=0)):
-            qs, rows = np.flatnonzero(due[:, leaf_no]), tree.leaves[leaf_no]
-            s = q[qs] @ x[rows].T
-            i, j = np.nonzero((s >= kth[qs][:, None] - 1e-9) & (q_ids[qs][:, None] != ids[rows][None, :]))
-            parts.append((qs[i], rows[j], s[i, j]))
-        if len(parts) > 1:
-            qi, xi, score = (np.concatenate(c) for c in zip(*parts))
-            o = np.lexsort((ids[xi], -score, qi))
-            qi, xi, score = qi[o], xi[o], score[o]
-            rank = np.arange(len(qi)) - np.searchsorted(qi, qi)
-            kth[qi[rank == k - 1]] = score[rank == k - 1]
-            o = rank < keep
-            found = (qi[o], xi[o], score[o])
-        lo, hi = hi, hi * 4
+    for band in norm_bands(norms):
+        top = norms[band[0]]
+        lift = np.sqrt(np.maximum(1 - (norms[band] / top)**2, 0))
+        tree = VantageTree(np.column_stack([x[band] / top, lift]), leaf)
+        bound = tree.bounds(lifted) * factor
+        turn = np.empty_like(bound, dtype=np.int32)  # a leaf's place in the query's order of bounds
+        np.put_along_axis(turn, np.argsort(bound, axis=1, kind="stable"), np.arange(bound.shape[1], dtype=np.int32)[None, :], 1)
+        scale = q_norms * top
+        lo, hi = 0, 2
+        while lo < len(tree.leaves):
+            # the next leaves in each query's order, those only whose bound is within the distance of its k-th best
+            radius = np.sqrt(np.maximum(2 - 2 * kth / scale, 0) + 1e-12) + 1e-7
+            due = (turn >= lo) & (turn < hi) & (bound <= radius[:, None])
+            parts = [found]
+            for leaf_no in np.flatnonzero(due.any(axis=0)):
+                qs, rows = np.flatnonzero(due[:, leaf_no]), band[tree.leaves[leaf_no]]
+                s = q[qs] @ x[rows].T
+                least = kth[qs] - 1e-11 * scale[qs]
+                i, j = np.nonzero((s >= least[:, None]) & (q_ids[qs][:, None] != ids[rows][None, :]))
+                parts.append((qs[i], rows[j], s[i, j]))
+            if len(parts) > 1:
+                qi, xi, score = (np.concatenate(c) for c in zip(*parts))
+                o = np.lexsort((ids[xi], -score, qi))
+                qi, xi, score = qi[o], xi[o], score[o]
+                rank = np.arange(len(qi)) - np.searchsorted(qi, qi)
+                kth[qi[rank == k - 1]] = score[rank == k - 1]
+                o = rank < keep
+                found = (qi[o], xi[o], score[o])
+            lo, hi = hi, hi * 4
     qi, xi, _ = found
     score = inner(q[qi], x[xi])
     o = np.lexsort((ids[xi], -score, qi))
@@ -134,9 +158,8 @@ def search(vectors: DataFrame, is_query: Column, *, k: int = 20, factor: float =
            query_rows: int = 4096, leaf: int = 64) -> DataFrame:
     """(query_id, rank from 1, vec_id, score) of the k nearest found for each query row of ``vectors``."""
     rows = usable(vectors)
-    n = rows.agg(F.count("*").alias("n"), F.count(F.when(is_query, 1)).alias("q"),
-                 F.max(F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))).alias("m")).first()
-    shards, blocks, top = max(1, -(-n["n"] // shard_rows)), max(1, -(-n["q"] // query_rows)), n["m"] or 0.0
+    n = rows.agg(F.count("*").alias("n"), F.count(F.when(is_query, 1)).alias("q")).first()
+    shards, blocks = max(1, -(-n["n"] // shard_rows)), max(1, -(-n["q"] // query_rows))
     spread = lambda c, parts, salt: F.pmod(F.xxhash64(c, F.lit(salt)), F.lit(parts)).cast("int")
     index = (rows.withColumn("shard", spread("vec_id", shards, 1))
              .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))))
@@ -149,7 +172,7 @@ def search(vectors: DataFrame, is_query: Column, *, k: int = 20, factor: float =
         x, q = x.sort_values("vec_id"), q.sort_values("vec_id")
         ids, q_ids = x["vec_id"].to_numpy(), q["vec_id"].to_numpy()
         qi, xi, score = search_shard(np.stack(x["v"].to_numpy()), ids, np.stack(q["v"].to_numpy()), q_ids, k=k,
-                                     factor=factor, leaf=leaf, top_norm=top)
+                                     factor=factor, leaf=leaf)
         return pd.DataFrame({"query_id": q_ids[qi], "vec_id": ids[xi], "score": score})
 
     group = ["dim", "shard", "block"]
