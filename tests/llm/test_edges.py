@@ -85,6 +85,38 @@ def test_sketch_estimates_probability_jaccard():
     assert (weight > 1).any()
 
 
+def test_near_duplicates_whose_difference_is_a_much_repeated_line(spark):
+    """Plain similarity is 0.8 or a little more, however often the differing lines are repeated."""
+    import random
+    rng = random.Random(8)
+    line = lambda n: " ".join("".join(rng.choice("abcdefghij") for _ in range(7)) for _ in range(n))
+    rows = []
+    for i in range(12):
+        common = line(104)
+        rows += [(10 * i, common), (10 * i + 1, common + (" " + line(20)) * 1000)]
+        shared = line(304)
+        rows += [(10 * i + j, shared + (" " + line(30)) * 200) for j in (2, 3)]
+        rows.append((10 * i + 4, shared + " " + line(150)))
+    want = brute.near_classes(dict(rows))
+    assert all(want[10 * i + 1] == 10 * i and want[10 * i + 3] == 10 * i + 2 for i in range(12))
+    assert all(want[10 * i + 4] == 10 * i + 4 for i in range(12))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["class_id"] for r in probminhash.near_duplicates(docs).collect()}
+    assert got == want
+
+
+def test_bands_follow_the_weighted_floor():
+    a = " ".join(f"w{i}" for i in range(104)) + (" " + " ".join(f"a{i}" for i in range(20))) * 1000
+    b = " ".join(f"w{i}" for i in range(104))
+    at, element, weight = probminhash.weighted_sets([a, b], 5)
+    assert weight.max() == probminhash.MOST_WEIGHT
+    who = probminhash.probminhash(at, element, weight, 2, 4096)
+    assert (who[0] == who[1]).mean() > probminhash.weighted_floor(0.8) - 0.03
+    assert probminhash.rows_of_band(0.8, 128) == 4
+    with pytest.raises(ValueError):
+        probminhash.rows_of_band(0.05, 128)
+
+
 def test_substring_dedup(edge_docs, no_docs):
     want = brute.without_repeats(texts_of(edge_docs))
     out = substring.removal_digests(edge_docs).collect()

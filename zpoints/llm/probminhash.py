@@ -1,11 +1,20 @@
 """Near-duplicate documents by ProbMinHash sketches of weighted shingles, banding and verification.
 
 A document is a weighted set: its runs of five words, each with weight
-1 + ln(count). Every element is a Poisson process whose rate is its weight; an
-arrival falls into a random register, and a register keeps the element that
-came first. Two documents agree in a register with the probability Jaccard
-similarity of their weighted sets. An element's arrivals stop as soon as the
-next one is later than every register of its document (early termination).
+1 + ln(count), at most MOST_WEIGHT. Every element is a Poisson process whose
+rate is its weight; an arrival falls into a random register, and a register
+keeps the element that came first. Two documents agree in a register with the
+probability Jaccard similarity of their weighted sets. An element's arrivals
+stop as soon as the next one is later than every register of its document
+(early termination).
+
+Weights only rank candidates; duplicates are decided by plain Jaccard
+similarity. As all weights lie in [1, MOST_WEIGHT], a common element holds a
+register with a probability of at least 1 / (MOST_WEIGHT * size of the union),
+whatever is repeated how often on either side, so plain similarity >= t means
+weighted similarity >= t / MOST_WEIGHT. Bands and the agreement asked for in
+step 3 are derived from this floor: a pair at the floor shares no band with a
+probability of at most MISS.
 
 Registers are banded. Links are found without listing the pairs of a bucket:
 
@@ -44,6 +53,25 @@ from .common import BINARY, DOUBLE, LONG, components, fresh, mix64, rolling, sav
 _STEP = np.uint64(0xD1342543DE82EF95)
 _STRIDE = 0xD1342543DE82EF95
 
+#: The weight of a shingle however often it is repeated; a shingle that occurs once weighs 1.
+MOST_WEIGHT = 1.1
+#: The chance that a pair at the weighted floor shares no band.
+MISS = 1e-4
+
+
+def weighted_floor(threshold: float) -> float:
+    """The least weighted similarity of two documents whose plain similarity reaches ``threshold``."""
+    return threshold / MOST_WEIGHT
+
+
+def rows_of_band(threshold: float, registers: int) -> int:
+    """The most registers a band may have so that pairs at the weighted floor are missed with probability <= MISS."""
+    floor = weighted_floor(threshold)
+    fits = [r for r in (8, 4, 2, 1) if registers % r == 0 and (1 - floor**r) ** (registers // r) <= MISS]
+    if not fits:
+        raise ValueError(f"{registers} registers are too few for a threshold of {threshold}")
+    return fits[0]
+
 
 def shingles(texts: list[str], k: int = 5) -> tuple[np.ndarray, np.ndarray]:
     """(index of the text, hash) of every run of k words of every text; a text of fewer words has one run."""
@@ -66,7 +94,7 @@ def shingles(texts: list[str], k: int = 5) -> tuple[np.ndarray, np.ndarray]:
 
 
 def weighted_sets(texts: list[str], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text, element, weight) with weight 1 + ln(count), sorted by text and element."""
+    """(text, element, weight) with weight 1 + ln(count) up to MOST_WEIGHT, sorted by text and element."""
     at, value = shingles(texts, k)
     order = np.lexsort((value, at))
     at, value = at[order], value[order]
@@ -74,7 +102,7 @@ def weighted_sets(texts: list[str], k: int) -> tuple[np.ndarray, np.ndarray, np.
         return at, value, np.zeros(0)
     first = np.flatnonzero(np.concatenate([[True], (at[1:] != at[:-1]) | (value[1:] != value[:-1])]))
     count = np.diff(np.concatenate([first, [len(at)]]))
-    return at[first], value[first], 1 + np.log(count)
+    return at[first], value[first], np.minimum(1 + np.log(count), MOST_WEIGHT)
 
 
 def probminhash(at: np.ndarray, element: np.ndarray, weight: np.ndarray, n: int, registers: int) -> np.ndarray:
@@ -215,13 +243,15 @@ def _cross_links(k: int, threshold: float, least: float):
     return run
 
 
-def near_duplicates(docs: DataFrame, *, threshold: float = 0.8, k: int = 5, registers: int = 128, band_rows: int = 4,
-                    block: int = 512, slack: float = 0.2) -> DataFrame:
+def near_duplicates(docs: DataFrame, *, threshold: float = 0.8, k: int = 5, registers: int = 128,
+                    band_rows: int | None = None, block: int = 512, slack: float = 0.2) -> DataFrame:
     """(doc_id, class_id, kept) of every row of ``docs``; kept marks the rows with the least doc_id of their class.
 
-    ``slack``: in step 3, pairs are verified if their sketches agree in at least ``threshold - slack`` of the
-    registers; with 128 registers that is more than five standard deviations below the threshold.
+    ``band_rows``: registers of a band, by default as :func:`rows_of_band` derives them (4 at a threshold of 0.8).
+    ``slack``: in step 3, pairs are verified if their sketches agree in at least ``weighted_floor(threshold) - slack``
+    of the registers; with 128 registers that is more than five standard deviations below the floor.
     """
+    band_rows = band_rows or rows_of_band(threshold, registers)
     sk = save(sketch(docs, k=k, registers=registers, band_rows=band_rows), "pmh-sketch")
     texts_of = sk.where("bands IS NOT NULL").groupBy("text_key").agg(
         F.min("doc_id").alias("rep"))
@@ -249,7 +279,7 @@ def near_duplicates(docs: DataFrame, *, threshold: float = 0.8, k: int = 5, regi
     sized = sized.join(reps, "doc_id").join(texts, "doc_id").select(
         "band", "doc_id", "component", "registers", "bands", "text", "chunk", F.least("chunk", "other").alias("ci"),
         F.greatest("chunk", "other").alias("cj"))
-    late = save(sized.groupBy("band", "ci", "cj").applyInPandas(_cross_links(k, threshold, threshold - slack),
+    late = save(sized.groupBy("band", "ci", "cj").applyInPandas(_cross_links(k, threshold, weighted_floor(threshold) - slack),
                                                                 schema(a=LONG, b=LONG)).distinct(), "pmh-late")
     name = lambda c: first.select(F.col("node").alias(c), F.col("component").alias(f"c{c}"))
     bridges = (late.join(name("a"), "a", "left").join(name("b"), "b", "left")
