@@ -190,6 +190,34 @@ def test_mixing(edge_docs, no_docs):
     assert all(again.get(i, 0) in (sum(c), len(c) * max(c), len(c) * min(c)) for i, c in once.items())
 
 
+def test_training_order_keeps_each_row_its_own_plan(spark):
+    """A third of the rows has no id, and ids are repeated in other sources with other texts."""
+    import random
+    rng = random.Random(9)
+    rows = [(None if i % 3 == 0 else i // 2, " ".join(rng.choice("abcdef") for _ in range(i % 7)) + f" {i % 50}",
+             ("p", "q", "r", None)[i % 4]) for i in range(1200)]
+    rows += [(None, "same text again", "p")] * 200 + [(5, "", "q")] * 3 + [(None, None, "r")] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(6)
+    mixed = mixing.mix_sources(docs).collect()
+    ordered = mixing.training_order(docs, mixing.mix_sources(docs))
+    assert ordered.schema == docs.schema
+    got, plan, given, taken, most = {}, {}, {}, {}, {}
+    for r in ordered.collect():
+        key = (r["doc_id"], r["source"], len(brute.words(r["text"])))
+        got[key] = got.get(key, 0) + 1
+        given.setdefault((r["doc_id"], r["source"], r["text"]), []).append(1)
+        taken[r["source"]] = taken.get(r["source"], 0) + key[2]
+    for r in mixed:
+        key = (r["doc_id"], r["source"], r["size"])
+        plan[key] = plan.get(key, 0) + r["copies"]
+        most[r["source"]] = max(most.get(r["source"], 0), r["size"])
+    assert got == {k: n for k, n in plan.items() if n}
+    for source, want in brute.mix([(i, s, len(brute.words(t))) for i, t, s in rows])[0].items():
+        assert abs(taken[source] - want) <= most[source] / 2 + 1e-6
+    # no row is taken more often than the cap allows, whatever rows share its id
+    assert all(len(n) <= 2 * rows.count((i, t, s)) for (i, s, t), n in given.items())
+
+
 def test_position_inverts_demand(spark):
     t = spark.range(0, 101).select((F.col("id") / 100).alias("t")).crossJoin(
         spark.createDataFrame([(0.6,), (0.0,), (-0.6,), (1.0,), (-1.0,)], "a double"))
