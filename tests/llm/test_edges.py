@@ -374,3 +374,17 @@ def test_pruning_does_not_hang_on_norms(spark):
     for i in (50, 100):
         assert len({p for p in found & want if p[0] == i}) >= 17
     assert len(found & want) > 0.97 * len(want)
+
+
+def test_ties_of_many_copies_go_to_the_smaller_ids():
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(4000, 64))
+    x /= np.sqrt((x**2).sum(1))[:, None]
+    copies = rng.permutation(4000)[:2000]
+    x[copies] = x[copies[0]]
+    ids = rng.permutation(4000)
+    q = x[copies[0]] + 0.05 * rng.normal(size=(60, 64)) * np.linspace(0, 3, 60)[:, None]
+    qi, xi, _ = vptree.search_shard(x, ids, q, -np.arange(1, 61), k=20, factor=1.0, leaf=64)
+    for i in range(60):
+        exact = np.cumsum(q[i] * x, axis=1)[:, -1]
+        assert ids[xi[qi == i]].tolist() == ids[np.lexsort((ids, -exact))[:20]].tolist()

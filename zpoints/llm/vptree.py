@@ -92,6 +92,12 @@ def inner(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.cumsum(a * b, axis=1)[:, -1]
 
 
+def exact_scores(q: np.ndarray, qi: np.ndarray, x: np.ndarray, xi: np.ndarray) -> np.ndarray:
+    """Inner products of the pairs (qi, xi) by :func:`inner`, some rows at a time."""
+    step = max(1, 2_000_000 // q.shape[1])
+    return np.concatenate([np.zeros(0), *(inner(q[qi[i:i + step]], x[xi[i:i + step]]) for i in range(0, len(qi), step))])
+
+
 def norms_of(a: np.ndarray) -> np.ndarray:
     """Euclidean norms of non-zero rows, without overflow or underflow of the squares."""
     most = np.abs(a).max(axis=1)
@@ -114,7 +120,6 @@ def search_shard(x: np.ndarray, ids: np.ndarray, q: np.ndarray, q_ids: np.ndarra
     """(row of q, row of x, inner product) of each query's k best in this shard, its own id left out."""
     norms, q_norms = norms_of(x), norms_of(q)
     lifted = np.column_stack([q / q_norms[:, None], np.zeros(len(q))])
-    keep = k + 8  # a few more, so that rounding cannot decide a tie
     found = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
     kth = np.full(len(q), -np.inf)
     for band in norm_bands(norms):
@@ -134,24 +139,19 @@ def search_shard(x: np.ndarray, ids: np.ndarray, q: np.ndarray, q_ids: np.ndarra
             for leaf_no in np.flatnonzero(due.any(axis=0)):
                 qs, rows = np.flatnonzero(due[:, leaf_no]), band[tree.leaves[leaf_no]]
                 s = q[qs] @ x[rows].T
-                least = kth[qs] - 1e-11 * scale[qs]
+                least = kth[qs] - 1e-11 * scale[qs]  # matrix products only preselect: their rounding hangs on the leaf
                 i, j = np.nonzero((s >= least[:, None]) & (q_ids[qs][:, None] != ids[rows][None, :]))
-                parts.append((qs[i], rows[j], s[i, j]))
+                parts.append((qs[i], rows[j], exact_scores(q, qs[i], x, rows[j])))
             if len(parts) > 1:
                 qi, xi, score = (np.concatenate(c) for c in zip(*parts))
                 o = np.lexsort((ids[xi], -score, qi))
                 qi, xi, score = qi[o], xi[o], score[o]
                 rank = np.arange(len(qi)) - np.searchsorted(qi, qi)
                 kth[qi[rank == k - 1]] = score[rank == k - 1]
-                o = rank < keep
+                o = rank < k
                 found = (qi[o], xi[o], score[o])
             lo, hi = hi, hi * 4
-    qi, xi, _ = found
-    score = inner(q[qi], x[xi])
-    o = np.lexsort((ids[xi], -score, qi))
-    qi, xi, score = qi[o], xi[o], score[o]
-    rank = np.arange(len(qi)) - np.searchsorted(qi, qi)
-    return qi[rank < k], xi[rank < k], score[rank < k]
+    return found
 
 
 def search(vectors: DataFrame, is_query: Column, *, k: int = 20, factor: float = 1.2, shard_rows: int = 8192,
