@@ -47,3 +47,15 @@ def test_streaming_ingest_over_several_batches(spark):
     want = EX.encode_points(pts, ext)
     assert back.count() == pts.count()
     assert back.exceptAll(want.select(*back.columns)).count() == 0
+
+
+def test_points_without_scale_factors_raise(spark):
+    catalog = spark.createDataFrame([(1, 0.5, 0.5, 0.5)], "id int, scaleX double, scaleY double, scaleZ double")
+    known = spark.createDataFrame([(1.0, 2.0, 3.0, 1, 0, 0, 0, 0)] * 2, SCHEMA)
+    assert [(r.X, r.Y, r.Z) for r in EX.scale_points_by_catalog(known, catalog, "intensity").collect()] == [(2, 4, 6)] * 2
+    for cloud in (None, 7):
+        lost = spark.createDataFrame([(1.0, 2.0, 3.0, 1, 0, 0, 0, 0), (1.0, 2.0, 3.0, cloud, 0, 0, 0, 0)], SCHEMA)
+        scaled = EX.scale_points_by_catalog(lost, catalog, "intensity")
+        assert scaled.count() == 2
+        with pytest.raises(Exception, match="no scale factors"):
+            scaled.collect()

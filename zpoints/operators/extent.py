@@ -190,9 +190,12 @@ def scaled_codes(scaled: DataFrame, resolution: int = RESOLUTION) -> DataFrame:
 def scale_points_by_catalog(points: DataFrame, catalog: DataFrame, cloud_id: str, classification: int = 1) -> DataFrame:
     """Fixed-point scaling with each cloud's own factors: ``catalog`` has
     (id, scaleX, scaleY, scaleZ), and ``points[cloud_id]`` names the cloud.
-    The catalog has one row per cloud; AQE broadcasts it when it is small."""
+    The catalog has one row per cloud; AQE broadcasts it when it is small.
+    A point whose cloud is null or not in the catalog fails the job."""
     scales = catalog.select(F.col("id").alias("__id"), "scaleX", "scaleY", "scaleZ")
-    j = points.join(scales, F.col(cloud_id) == F.col("__id"))
+    j = points.join(scales, F.col(cloud_id) == F.col("__id"), "left")
+    unknown = F.raise_error(F.concat(F.lit("no scale factors for cloud "), F.coalesce(F.col(cloud_id).cast("string"), F.lit("null"))))
+    factor = lambda a: F.when(F.col("__id").isNull(), unknown).otherwise(F.col(f"scale{a.upper()}"))
     others = [c for c in points.columns if c not in AXES and c != "classification"]
-    return j.select(*[(F.col(a) * (1 / F.col(f"scale{a.upper()}"))).cast("int").alias(a.upper()) for a in AXES],
+    return j.select(*[(F.col(a) * (1 / factor(a))).cast("int").alias(a.upper()) for a in AXES],
                     F.lit(classification).cast("byte").alias("classification"), *others)
