@@ -1,5 +1,7 @@
 import re
+import time
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -59,6 +61,29 @@ def test_inverted_box_raises():
         CL.box_to_cells((0, 0, 0), (5, 5, 5), (4, 6, 6))
 
 
+TOP = (1 << 21) - 1
+
+
+@pytest.mark.parametrize("short", [(e,) * n + (0,) * (3 - n) for e in (1, 100, 1000, 1 << 14) for n in (1, 2, 3)])
+def test_ranges_of_boxes_short_of_an_aligned_size(short):
+    for cells in (((0, 0, 0), tuple(TOP - e for e in short)), (short, (TOP,) * 3), ((0, 0, 0), tuple(4095 - min(e, 4000) for e in short))):
+        start = time.perf_counter()
+        ranges = CL.frontier_ranges(cells)
+        assert time.perf_counter() - start < 0.2  # about 6 ms where nothing else runs
+        assert len(ranges) <= CL.MAX_OR_TERMS
+        volume = np.prod([float(h - l + 1) for l, h in zip(*cells)])
+        assert volume <= sum(h - l + 1 for l, h in ranges) <= 2 * volume
+
+
+def test_ranges_hold_few_codes_outside_the_box():
+    for box, most in ((R.B1, 1.95), (R.B_LARGE, 1.94)):
+        lo, hi = CL.block_cells(box)
+        volume = np.prod([float(h - l + 1) for l, h in zip(lo, hi)])
+        assert sum(b - a + 1 for a, b in CL.frontier_ranges((lo, hi))) <= most * volume
+    assert CL.frontier_ranges(((0, 0, 0), (7, 7, 7))) == [(0, 511)]
+    assert CL.frontier_ranges(((1, 2, 3), (1, 2, 3))) == [(53, 53)]
+
+
 def test_compat_truncation_golden():
     cells = CL.box_to_cells((4.025, -15.3, -1.75), (7.0, -13.0, -1.5), (8.5, -12.0, -0.5), compat=True)
     assert cells == ((2974, 2300, 250), (4475, 3300, 1250))

@@ -7,7 +7,7 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
-from zpoints import registry as R
+from zpoints import queries as Q
 
 TABLES = ["nation", "lineitem", "events", "embeddings"]
 
@@ -34,8 +34,8 @@ def con():
 
 
 def test_entry_registers_the_whole_registry():
-    assert R.QUERIES.keys() == R.ORACLES.keys()
-    assert R.QUERIES.items() <= E.queries().items() and R.ORACLES.items() <= E.oracle_sql().items()
+    assert Q.QUERIES.keys() == Q.ORACLES.keys()
+    assert Q.QUERIES.items() <= E.queries().items() and Q.ORACLES.items() <= E.oracle_sql().items()
 
 
 def test_entry_runs(spark):
@@ -43,7 +43,7 @@ def test_entry_runs(spark):
     assert df.count() == 28
 
 
-@pytest.mark.parametrize("name", sorted(R.QUERIES))
+@pytest.mark.parametrize("name", sorted(Q.QUERIES))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF_SMALL)
     srows = [tuple(r) for r in df.collect()]

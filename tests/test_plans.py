@@ -5,6 +5,7 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from zpoints import queries as Q
 from zpoints import registry as R
 from zpoints.operators import blocks as BL
 from zpoints.operators import clip as CL
@@ -16,7 +17,7 @@ def _executed(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(R.QUERIES))
+@pytest.mark.parametrize("name", sorted(Q.QUERIES))
 def test_no_nested_loop_or_cartesian(spark, name):
     plan = _executed(E.queries()[name](spark, SF_SMALL))
     assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan

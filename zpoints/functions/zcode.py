@@ -52,7 +52,7 @@ def _spread_mask(group: int) -> int:
     return sum(1 << ((j % group) + MAX_DIM * group * (j // group)) for j in range(MAX_BITS))
 
 
-_AXIS0_MASK = _spread_mask(1)  # bits 0, 3, 6, ..., 60
+AXIS0_BITS = _spread_mask(1)  # bits 0, 3, 6, ..., 60
 
 
 # ---------------------------------------------------------------------------
@@ -211,7 +211,7 @@ def bigmin_litmax(xd, rmin, rmax) -> Column:
         bits = F.floor(i / 3).cast("int") + 1
         dim = i - (bits - 1) * 3
         # the low ``bits`` cells of axis ``dim``, in interleaved positions
-        m = _shl(_shru(_lit(_AXIS0_MASK), F.lit(TOTAL_BITS) - bits * 3), dim)
+        m = _shl(_shru(_lit(AXIS0_BITS), F.lit(TOTAL_BITS) - bits * 3), dim)
         top = _shl(_lit(1), i)
         keep = F.bitwise_not(m)
         load_over_min = zmin.bitwiseAND(keep).bitwiseOR(top)

@@ -17,7 +17,7 @@ from typing import Iterable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zpoints.functions.zcode import _shr, decode_axis, with_decoded
+from zpoints.functions.zcode import AXIS0_BITS, _shr, decode_axis, with_decoded
 from zpoints.operators.blocks import unnest_blocks
 from zpoints.plans.cover import zranges
 from zpoints.schema import MAX_MASK, PRECISION, RESOLUTION, precision_factor
@@ -86,47 +86,57 @@ def merged(ranges: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def frontier_ranges(cells, max_terms: int = MAX_OR_TERMS) -> list[tuple[int, int]]:
+MAX_SPLITS = 512      # divisions of a box on the driver
+DEAD_SHARE = 0.01     # codes outside the box, as a share of its cells, that are not worth another division
+
+
+def frontier_ranges(cells, max_terms: int = MAX_OR_TERMS, max_splits: int = MAX_SPLITS) -> list[tuple[int, int]]:
     """At most ``max_terms`` code ranges that hold every code of a box, however large the box is.
 
-    The octree is refined from the octant of the common prefix, largest
-    partly covered octant first, until one more split would need too many
-    ranges. Six numbers and a few dozen octants on the driver; no job.
+    A box is one code interval from the code of its low corner to that of its
+    high corner, with dead space: codes of cells outside the box. Divided at
+    the highest bit in which the two codes differ, it becomes the boxes
+    [low, litmax] and [bigmin, high], and the codes between litmax and bigmin
+    drop out. The box with the most dead space is divided next, until
+    ``max_splits`` divisions are done or the dead space left is below
+    ``DEAD_SHARE`` of the box. Of the gaps found, the widest
+    ``max_terms - 1`` stay open. The work is bounded by ``max_splits``
+    whatever the box: integer steps on the driver, no job.
     """
     import heapq
-    (lo, hi) = cells
-    bits = max((l ^ h).bit_length() for l, h in zip(lo, hi))
-
-    def code_range(corner, level):
-        base = _enc(*corner)
-        return base, base + (1 << (3 * level)) - 1
-
-    def inside(corner, level):
-        return all(l <= c and c + (1 << level) - 1 <= h for c, l, h in zip(corner, lo, hi))
-
-    def meets(corner, level):
-        return all(c <= h and l <= c + (1 << level) - 1 for c, l, h in zip(corner, lo, hi))
-
-    root = tuple((c >> bits) << bits for c in lo)
-    if inside(root, bits):
-        return [code_range(root, bits)]
-    whole: list[tuple[int, int]] = []
-    heap = [(-bits, root)]  # partly covered octants, largest first
-    while heap:
-        level, corner = -heap[0][0] - 1, heap[0][1]
-        half = 1 << level
-        children = [tuple(c + half * ((k >> d) & 1) for d, c in enumerate(corner)) for k in range(8)]
-        children = [c for c in children if meets(c, level)]
-        full = [c for c in children if inside(c, level)]
-        part = [c for c in children if not inside(c, level)]
-        ranges = [*whole, *(code_range(c, level) for c in children), *(code_range(c, -k) for k, c in heap[1:])]
-        if len(merged(ranges)) > max_terms:
+    lo, hi = ([int(c) for c in side] for side in cells)
+
+    def dead(zlo, zhi, lo, hi):
+        return zhi - zlo + 1 - (hi[0] - lo[0] + 1) * (hi[1] - lo[1] + 1) * (hi[2] - lo[2] + 1)
+
+    zlo, zhi = _enc(*lo), _enc(*hi)
+    left = dead(zlo, zhi, lo, hi)
+    enough = DEAD_SHARE * (zhi - zlo + 1 - left)
+    heap = [(-left, zlo, zhi, lo, hi)]
+    gaps: list[tuple[int, int]] = []  # (last code before, first code after)
+    for _ in range(max_splits):
+        if left <= enough:
             break
-        heapq.heappop(heap)
-        whole += [code_range(c, level) for c in full]
-        for c in part:
-            heapq.heappush(heap, (-level, c))
-    return merged([*whole, *(code_range(c, -k) for k, c in heap)])
+        waste, zlo, zhi, lo, hi = heapq.heappop(heap)
+        bit = (zlo ^ zhi).bit_length() - 1
+        level, axis = divmod(bit, 3)
+        top = 1 << bit
+        below = AXIS0_BITS << axis & (top - 1)  # the lower bits of the same axis
+        litmax = zhi & ~(below | top) | below
+        bigmin = zlo & ~(below | top) | top
+        cut = hi[axis] >> level << level  # the first cell of the upper half
+        lower_hi, upper_lo = list(hi), list(lo)
+        lower_hi[axis], upper_lo[axis] = cut - 1, cut
+        left += waste
+        for half in ((zlo, litmax, lo, lower_hi), (bigmin, zhi, upper_lo, hi)):
+            d = dead(*half)
+            left += d
+            heapq.heappush(heap, (-d, *half))
+        if bigmin > litmax + 1:
+            gaps.append((litmax, bigmin))
+    open_gaps = sorted(heapq.nlargest(max_terms - 1, gaps, key=lambda g: (g[1] - g[0], -g[0])))
+    zlo, zhi = _enc(*cells[0]), _enc(*cells[1])
+    return list(zip([zlo, *(g[1] for g in open_gaps)], [*(g[0] for g in open_gaps), zhi]))
 
 
 def coarsen(ranges, max_terms: int = MAX_OR_TERMS):
