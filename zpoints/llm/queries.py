@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, egojoin, htmlcrf, mixing, probminhash, quality, sharding, substring, toxicity, vptree
+from . import (bpe, egojoin, htmlcrf, mixing, patricia, probminhash, quality, sharding, substring, tokenalign, toxicity,
+               vptree, whitening)
 from .common import table
 
 
@@ -67,6 +68,24 @@ def op10_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return probminhash.near_duplicates(table(spark, sf_dir, "documents"), threshold=0.8, k=5)
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's overlap links between the tokens of two public tokenizers, as counts and a digest of its groups."""
+    import public_tokenizers
+
+    return tokenalign.alignment_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                                        public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op12_cholesky_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's coordinates on the 32 leading principal components, scaled to unit variance."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), n_components=32)
+
+
+def op13_patricia_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the least doc_id of those whose text equals its own up to runs of white space."""
+    return patricia.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_vptree_neighbours": op1_vptree_neighbours,
     "op2_gam_quality": op2_gam_quality,
@@ -78,6 +97,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_crf_extract": op8_crf_extract,
     "op9_bpe_replay": op9_bpe_replay,
     "op10_probminhash": op10_probminhash,
+    "op11_token_alignment": op11_token_alignment,
+    "op12_cholesky_whitening": op12_cholesky_whitening,
+    "op13_patricia_dedup": op13_patricia_dedup,
 }
 
 OP4_SQL = r"""
@@ -115,4 +137,11 @@ SELECT doc_id, size, source_size, target, (copies * size)::BIGINT AS taken, copi
 FROM c
 """
 
-ORACLES: dict[str, str] = {"op4_curriculum_mix": OP4_SQL}
+OP13_SQL = r"""
+WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
+SELECT doc_id, min(doc_id) OVER g AS keep_id, (count(*) OVER g)::BIGINT AS group_size,
+       row_number() OVER (PARTITION BY t ORDER BY doc_id NULLS LAST) = 1 AS kept, sha256(t) AS text_sha256
+FROM n WINDOW g AS (PARTITION BY t)
+"""
+
+ORACLES: dict[str, str] = {"op4_curriculum_mix": OP4_SQL, "op13_patricia_dedup": OP13_SQL}
