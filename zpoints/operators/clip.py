@@ -191,9 +191,10 @@ def ranges_sql(code_col: str, ranges: Iterable[tuple[int, int]]) -> str:
 
 
 def range_join(left: DataFrame, ranges: DataFrame, code_col: str,
-               fine_bits: int = FINE_BIN_BITS, bins_per_range: int = BINS_PER_RANGE) -> DataFrame:
+               fine_bits: int = FINE_BIN_BITS, bins_per_range: int = BINS_PER_RANGE,
+               keys: Sequence[str] = ()) -> DataFrame:
     """Rows of ``left`` joined to every range (lo, hi, + any columns) that
-    contains ``left[code_col]``.
+    contains ``left[code_col]`` and, with ``keys``, has equal values in these columns of both sides.
 
     Ranges are sorted into tiers by length; tier t uses bins of
     ``2**(fine_bits + step * t)`` codes, so every range spans at most about
@@ -225,7 +226,7 @@ def range_join(left: DataFrame, ranges: DataFrame, code_col: str,
         t.alias("__tier"), F.call_function("shiftright", F.col(code_col), F.lit(fine_bits) + F.lit(step) * t).alias("__bin"))),
         lambda p: p["__bin"].isNotNull())
     keyed = left.select("*", F.inline(pairs))
-    return (keyed.join(binned, on=["__tier", "__bin"]).filter(F.col(code_col).between(F.col("lo"), F.col("hi")))
+    return (keyed.join(binned, on=[*keys, "__tier", "__bin"]).filter(F.col(code_col).between(F.col("lo"), F.col("hi")))
                  .drop("__tier", "__bin"))
 
 
