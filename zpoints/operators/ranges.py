@@ -48,6 +48,17 @@ def _local_islands(groups: list):
     return run
 
 
+def _without_copies():
+    """Equal rows of an Arrow batch become one, so a range that a large share of all rows repeats costs the
+    shuffle a row per batch."""
+    def run(batches):
+        import pyarrow as pa
+        for batch in batches:
+            one = pa.Table.from_batches([batch]).group_by(batch.schema.names).aggregate([])
+            yield from one.select(batch.schema.names).to_batches()
+    return run
+
+
 def coalesce_ranges(ranges: DataFrame, groups=("box_id",), lo: str = "lo", hi: str = "hi",
                     num_partitions: int | None = None) -> DataFrame:
     """Merge overlapping or adjacent inclusive ranges per group, with no
@@ -55,7 +66,7 @@ def coalesce_ranges(ranges: DataFrame, groups=("box_id",), lo: str = "lo", hi: s
 
     Ranges are range-partitioned over (group, lo), so a hot group is split
     across tasks, and merged into islands inside each sorted partition (one
-    shuffle). Only an island that reaches past its partition's end can touch a
+    shuffle of the ranges, whose copies are dropped before it). Only an island that reaches past its partition's end can touch a
     later one. The last island of every partition - one row per partition -
     is fetched; walking over them in order gives the island open at the start
     of each partition, and the islands that it reaches are joined to it.
@@ -71,7 +82,7 @@ def coalesce_ranges(ranges: DataFrame, groups=("box_id",), lo: str = "lo", hi: s
     bad = F.col(lo).isNull() | F.col(hi).isNull() | (F.col(lo) > F.col(hi))
     checked = ranges.select(*groups, F.when(bad, F.raise_error(F.lit("range ends must not be null, nor min exceed max")))
                             .otherwise(F.col(lo).cast("long")).alias("lo"), F.col(hi).cast("long").alias("hi"))
-    checked = checked.distinct()  # map-side: copies of one range cost one row
+    checked = checked.mapInArrow(_without_copies(), checked.schema)
     ordered = checked.repartitionByRange(n, *groups, "lo", "hi").sortWithinPartitions(*groups, "lo", "hi")
     gschema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in ordered.schema.fields if f.name in groups)
     islands = ordered.mapInPandas(_local_islands(groups),
@@ -136,6 +147,108 @@ def cut_ranges(ranges: DataFrame, pivot: str = "pivot", lo: str = "lo", hi: str
         *ranges.columns, "piece", F.col("__r.cut_lo").alias("cut_lo"), F.col("__r.cut_hi").alias("cut_hi"))
 
 
+def _last_event(groups: list):
+    """Per partition of sorted events: its last event, and the end of the last range of the same group, if there is one."""
+    def run(it):
+        import pandas as pd
+        from pyspark import TaskContext
+        last, reach = None, None
+        for pdf in it:
+            if not len(pdf):
+                continue
+            end = pdf.iloc[-1]
+            same = pdf[groups].apply(lambda c: c.eq(end[c.name]) | (c.isna() & pd.isna(end[c.name]))).all(axis=1) if groups else pd.Series(
+                True, pdf.index)
+            if last is not None and not all((last[g] == end[g]) or (pd.isna(last[g]) and pd.isna(end[g])) for g in groups):
+                reach = None
+            opened = pdf["hi"][same & pdf["hi"].notna()]
+            reach = int(opened.iloc[-1]) if len(opened) else reach
+            last = end
+        if last is not None:
+            yield pd.DataFrame([[*(last[g] for g in groups), int(last["cursor"]), reach, TaskContext.get().partitionId()]],
+                               columns=[*groups, "cursor", "hi", "pid"]).astype({"cursor": "Int64", "hi": "Int64"})
+    return run
+
+
+def _pieces_between(groups: list, carried: dict, last_pid: int):
+    """Per partition of sorted events: what is left of the open range after each event, up to the next one.
+    ``carried``: pid -> (group values, cursor, end) of the event before the partition."""
+    def run(it):
+        import numpy as np
+        import pandas as pd
+        from pyspark import TaskContext
+        pid = TaskContext.get().partitionId()
+        columns = [*groups, "cursor", "hi", "pivot"]
+        before = carried.get(pid)
+        rest = None if before is None else pd.DataFrame([[*before, False]], columns=columns)
+
+        def sweep(pdf, close):
+            seg = np.ones(len(pdf), bool)
+            if len(pdf) > 1:
+                g = pdf[groups]
+                same = (g.eq(g.shift()) | (g.isna() & g.shift().isna())).all(axis=1).to_numpy() if groups else np.ones(len(pdf), bool)
+                seg[1:] = ~same[1:]
+            reach = pdf["hi"].astype("Int64").groupby(np.cumsum(seg)).ffill()
+            cursor = pdf["cursor"].to_numpy(np.int64)
+            end = reach.fillna(-1).to_numpy(np.int64)  # no open range: nothing is left
+            cut = np.zeros(len(pdf), bool)  # the next event is a pivot inside the open range
+            cut[:-1] = ~seg[1:] & pdf["pivot"].to_numpy(bool)[1:] & (cursor[1:] - 1 <= end[:-1])
+            stop = end.copy()
+            stop[:-1][cut[:-1]] = cursor[1:][cut[:-1]] - 2
+            found = pdf[groups].assign(lo=cursor, hi=stop)[reach.notna().to_numpy() & (cursor <= stop)]
+            keep = pdf.iloc[-1:].assign(hi=reach.iloc[-1:], pivot=False)
+            return (found if close else found[found.index < len(pdf) - 1]), keep
+
+        for pdf in it:
+            if len(pdf):
+                pdf = pdf[columns]
+                out, rest = sweep(pdf.reset_index(drop=True) if rest is None else pd.concat([rest, pdf], ignore_index=True), False)
+                yield out
+        if rest is not None and pid == last_pid:
+            yield sweep(rest.reset_index(drop=True), True)[0]
+    return run
+
+
+def subtract_pivots(ranges: DataFrame, pivots: DataFrame, groups=("box_id",), pivot: str = "pivot", lo: str = "lo",
+                    hi: str = "hi", num_partitions: int | None = None) -> DataFrame:
+    """Ranges of each group without the pivot codes of the same group: (groups, lo, hi), sorted out in one ordered sweep.
+
+    The opposite of ``coalesce_ranges``, which is applied to the ranges first.
+    Range starts and pivots are range-partitioned by (group, code) together,
+    so a range with any number of pivots inside it is spread over tasks and is never
+    one row's array. Within a sorted partition, what is left between an event
+    and the next follows from the two; across partitions only the last event
+    matters, and one row per partition is fetched for it. Pivots outside all ranges, repeated ones
+    and null ones change nothing. Codes are non-negative.
+    """
+    from zpoints.session import checkpoint_dir
+    groups = list(groups)
+    spark = ranges.sparkSession
+    checkpoint_dir(spark)
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    none = F.lit(None).cast("long")
+    starts = coalesce_ranges(ranges, groups, lo, hi, n).select(*groups, F.col(lo).alias("cursor"), F.col(hi).alias("hi"),
+                                                               F.lit(False).alias("pivot"), F.col(lo).alias("at"))
+    cuts = pivots.where(F.col(pivot).isNotNull()).select(*groups, (F.col(pivot).cast("long") + 1).alias("cursor"), none.alias("hi"),
+                                                         F.lit(True).alias("pivot"), F.col(pivot).cast("long").alias("at"))
+    order = [*groups, "at", "pivot"]  # at equal codes the range opens before the pivot cuts it
+    events = (starts.unionByName(cuts).repartitionByRange(n, *order).sortWithinPartitions(*order)
+              .select(*groups, "cursor", "hi", "pivot"))
+    kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in events.schema.fields if f.name in groups)
+    # a checkpoint keeps the partitions as they are: the second pass reads the same ones
+    events = events.checkpoint(eager=True)
+    carried, last, last_pid = {}, None, -1
+    ends = events.mapInPandas(_last_event(groups), f"{kinds}cursor long, hi long, pid int").collect()  # a row per partition
+    for r in sorted(ends, key=lambda r: r["pid"]):
+        group = tuple(r[g] for g in groups)
+        if last is not None:
+            carried[r["pid"]] = last
+        reach = r["hi"] if r["hi"] is not None else (last[-1] if last is not None and last[:-2] == group else None)
+        last, last_pid = (*group, r["cursor"], reach), r["pid"]
+    return events.mapInPandas(_pieces_between(groups, carried, last_pid), f"{kinds}lo long, hi long").withColumnsRenamed(
+        {"lo": lo, "hi": hi})
+
+
 def chunk_prune(chunks: DataFrame, boxes: DataFrame, lo: str = "lo", hi: str = "hi") -> DataFrame:
     """Pairs (chunk, box) where the chunk (a lo..hi code interval, e.g. a file
     or row group) may hold a code of the box (zmin, zmax codes spanning the
