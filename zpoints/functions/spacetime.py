@@ -101,6 +101,51 @@ def st_box_filter(events: DataFrame, lon_range, lat_range, t_range, lon="lon", l
                          & F.col(t).between(*t_range))
 
 
+def _wrapped(lo: float, hi: float, first: float, period: float) -> list[tuple[float, float]]:
+    """The inclusive interval lo..hi of a circle as one or two intervals of [first, first + period).
+
+    ``lo > hi`` means that the interval runs across the seam; ends outside the
+    base period are taken modulo the period. An interval as long as the period is all of it.
+    """
+    if lo > hi:
+        hi += period * -(-(lo - hi) // period)
+    if hi - lo >= period:
+        return [(first, first + period)]
+    turns = (lo - first) // period
+    lo, hi = lo - turns * period, hi - turns * period
+    end = first + period
+    if hi >= end:
+        return [(lo, end), (first, hi - period)]
+    return [(lo, hi), (end, end)] if lo == first else [(lo, hi)]  # the seam is one place at both ends of the domain
+
+
+def st_periodic_boxes(lon_range, lat_range, t_range) -> list[tuple]:
+    """A box on the circle of longitudes and the circle of the week -> one to four boxes (lon, lat, t) of the plain domain.
+
+    Longitude 180 is longitude -180 and the end of the week its start; the
+    boxes of one answer meet only there. Latitude is no circle: an inverted range raises.
+    """
+    if lat_range[0] > lat_range[1]:
+        raise ValueError(f"inverted latitudes: {lat_range}")
+    return [(lon, tuple(lat_range), t) for lon in _wrapped(*lon_range, -180.0, 360.0) for t in _wrapped(*t_range, 0, int(T_MAX))]
+
+
+def st_periodic_filter(events: DataFrame, lon_range, lat_range, t_range, lon="lon", lat="lat", t="t",
+                       code_col: str = "stCode") -> DataFrame:
+    """Events inside a space-time box that may run across the antimeridian and the end of the week.
+
+    The up to four boxes are alternatives of one filter, so no event comes
+    twice. On a stored table their code ranges, taken together and reduced to
+    32, are pushed to the scan.
+    """
+    from zpoints.operators.clip import any_of, coarsen, frontier_ranges, merged
+    boxes = st_periodic_boxes(lon_range, lat_range, t_range)
+    if code_col in events.columns:
+        ranges = coarsen(merged(r for b in boxes for r in frontier_ranges(st_box_cells(*b))))
+        events = events.filter(any_of(F.col(code_col).between(lo, hi) for lo, hi in ranges))
+    return events.filter(any_of(F.col(lon).between(*x) & F.col(lat).between(*y) & F.col(t).between(*z) for x, y, z in boxes))
+
+
 def write_events(events: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Events with their code, range-partitioned and sorted by it, so that box filters skip files and row groups."""
     st_index(events).repartitionByRange("stCode").sortWithinPartitions("stCode").write.mode(mode).parquet(path)
