@@ -68,12 +68,12 @@ def _spread_byte(b: int) -> int:
 _BYTE_SPREAD = [_spread_byte(b) for b in range(256)]
 # the same table as one SQL array literal: a single parse instead of 256
 # separate literal constructions per use
-_BYTE_SPREAD_SQL = "array(" + ", ".join(f"{t}L" for t in _BYTE_SPREAD) + ")"
+BYTE_SPREAD_SQL = "array(" + ", ".join(f"{t}L" for t in _BYTE_SPREAD) + ")"
 
 
 def spread_bits(v) -> Column:
     """A 21-bit value with two zero bits inserted between its bits."""
-    table = F.expr(_BYTE_SPREAD_SQL)
+    table = F.expr(BYTE_SPREAD_SQL)
     v = _col(v).cast("long").bitwiseAND(_lit(MAX_MASK))
     parts = [table[_shr(v, 8 * k).bitwiseAND(_lit(255)).cast("int")] for k in range(3)]
     return parts[0].bitwiseOR(_shl(parts[1], 24)).bitwiseOR(_shl(parts[2], 48))
