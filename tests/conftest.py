@@ -11,7 +11,7 @@ SF_SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     from zpoints.session import get_spark
-    s = get_spark("*", shuffle_partitions=8, app="zpoints-tests")
+    s = get_spark(os.environ.get("ZPOINTS_TEST_CORES", "*"), shuffle_partitions=8, app="zpoints-tests")
     yield s
     s.stop()
 
