@@ -184,7 +184,9 @@ def shifted_cholesky_qr(rows: DataFrame, centre: Centring) -> np.ndarray:
         if np.abs(g - np.eye(dim))[np.ix_(live, live)].max(initial=0.0) < ORTHONORMAL:
             break
         shift = 0.0
-    return r
+    # what the last pass left: rows^T rows = (g^1/2 r)^T (g^1/2 r), also where a shift stands for a direction without spread
+    values, axes = np.linalg.eigh(g)
+    return (axes * np.sqrt(np.maximum(values, 0.0))) @ axes.T @ r
 
 
 def components(rows: DataFrame, centre: Centring, most: int) -> tuple[np.ndarray, np.ndarray, float]:
