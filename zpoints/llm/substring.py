@@ -25,7 +25,8 @@ Hashes only choose what is compared; a span is removed on equal words alone.
 Defined cases: a null text has no words; texts shorter than a window keep all
 words; rows with a null doc_id take no part and keep all words; rows that
 repeat a doc_id with the same text are one document (equal positions are not earlier
-ones); an empty table gives an empty result. Columns other than doc_id and text are ignored.
+ones), with different texts they are documents of their own, in the order of a hash of their texts; an
+empty table gives an empty result. Columns other than doc_id and text are ignored.
 """
 
 from __future__ import annotations
@@ -110,12 +111,12 @@ def _anchor_rows(size: int, gram: int):
 
 
 def _runs(size: int, gram: int):
-    """(doc_id, cell, start, n_windows, text of the words) of every run of windows with a repeated anchor."""
+    """(doc_id, tkey, cell, start, n_windows, text of the words) of every run of windows with a repeated anchor."""
     def run(batches):
         for batch in batches:
             ids = batch.column(0).to_pylist()
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            marked = batch.column(2).to_pylist()
+            marked, tkeys = batch.column(2).to_pylist(), batch.column(3).to_pylist()
             for lo, hi in _chunks(texts):
                 doc, h, first = _hashed(texts[lo:hi])
                 start, anchor, grams = window_anchors(doc, h, size, gram)
@@ -139,21 +140,21 @@ def _runs(size: int, gram: int):
                     if d != of:
                         words, of = WORDS.findall(texts[lo + d]), d
                     s = int(local[k])
-                    out.append((ids[lo + d], s // CELL, s, int(n), " ".join(words[s:s + int(n) + size - 1])))
+                    out.append((ids[lo + d], tkeys[lo + d], s // CELL, s, int(n), " ".join(words[s:s + int(n) + size - 1])))
                 cols = list(zip(*out))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.int32()),
-                     pa.array(cols[3], pa.int32()), pa.array(cols[4], pa.string())],
-                    ["doc_id", "cell", "start", "windows", "words"])
+                    [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int32()),
+                     pa.array(cols[3], pa.int32()), pa.array(cols[4], pa.int32()), pa.array(cols[5], pa.string())],
+                    ["doc_id", "tkey", "cell", "start", "windows", "words"])
     return run
 
 
 def _window_rows(size: int):
-    """(hash, doc_id, start, several) once per window hash of the run at start; several: at more than one place of it."""
+    """(hash, doc_id, tkey, start, several) once per window hash of the run at start; several: at more than one place of it."""
     def run(batches):
         for batch in batches:
             ids, starts = np.array(batch.column(0).to_pylist(), np.int64), np.array(batch.column(1).to_pylist(), np.int64)
-            texts = batch.column(2).to_pylist()
+            texts, tkeys = batch.column(2).to_pylist(), np.array(batch.column(3).to_pylist(), np.int64)
             for lo, hi in _chunks(texts):
                 doc, h, first = _hashed(texts[lo:hi])
                 if len(h) < size:
@@ -163,14 +164,17 @@ def _window_rows(size: int):
                 one, several = _once(value, doc[at])
                 d = doc[at][one]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(value[one].astype(np.int64)), pa.array(ids[lo:hi][d]),
+                    [pa.array(value[one].astype(np.int64)), pa.array(ids[lo:hi][d]), pa.array(tkeys[lo:hi][d]),
                      pa.array(starts[lo:hi][d].astype(np.int32)), pa.array(several)],
-                    ["hash", "doc_id", "start", "several"])
+                    ["hash", "doc_id", "tkey", "start", "several"])
     return run
 
 
 class SuffixAutomaton:
-    """Of several word sequences, given in order; each state knows where its strings first end."""
+    """Of several word sequences, given in order; each state knows where its strings first end.
+
+    A document is any value that compares in the order of the sequences.
+    """
 
     def __init__(self):
         self.next: list[dict[str, int]] = [{}]
@@ -192,14 +196,14 @@ class SuffixAutomaton:
         self.link[q] = copy
         return copy
 
-    def add(self, words: list[str], doc_id: int, start: int) -> None:
+    def add(self, words: list[str], doc, start: int) -> None:
         last = 0
         for i, word in enumerate(words):
             p, q = last, self.next[last].get(word)
             if q is not None:  # this prefix is known from an earlier sequence
                 last = q if self.length[q] == self.length[p] + 1 else self._split(p, word, q)
                 continue
-            last = self._state({}, 0, self.length[p] + 1, (doc_id, start + i))
+            last = self._state({}, 0, self.length[p] + 1, (doc, start + i))
             while p >= 0 and word not in self.next[p]:
                 self.next[p][word] = last
                 p = self.link[p]
@@ -207,7 +211,7 @@ class SuffixAutomaton:
                 q = self.next[p][word]
                 self.link[last] = q if self.length[q] == self.length[p] + 1 else self._split(p, word, q)
 
-    def repeats(self, words: list[str], doc_id: int, start: int, size: int) -> list[tuple[int, int]]:
+    def repeats(self, words: list[str], doc, start: int, size: int) -> list[tuple[int, int]]:
         """Maximal spans [from, to) of words under windows that end earlier in a known sequence."""
         step, link, length, first = self.next, self.link, self.length, self.first
         spans: list[list[int]] = []
@@ -224,7 +228,7 @@ class SuffixAutomaton:
                 v = link[v]
             matched = min(matched, length[v])
             end = start + i
-            if first[v] < (doc_id, end):
+            if first[v] < (doc, end):
                 lo = end - size + 1
                 if spans and lo <= spans[-1][1]:
                     spans[-1][1] = end + 1
@@ -238,17 +242,22 @@ def _match(size: int):
         out = []
         if len(reference) and len(stream):
             automaton = SuffixAutomaton()
-            reference = reference.drop_duplicates(["doc_id", "start"]).sort_values(["doc_id", "start"])
-            for i, s, w in zip(reference["doc_id"], reference["start"], reference["words"]):
-                automaton.add(w.split(" "), int(i), int(s))
-            for i, s, w in zip(stream["doc_id"], stream["start"], stream["words"]):
-                out += [(int(i), lo, hi) for lo, hi in automaton.repeats(w.split(" "), int(i), int(s), size)]
-        return pd.DataFrame(out, columns=["doc_id", "lo", "hi"]).astype({"doc_id": "int64", "lo": "int32", "hi": "int32"})
+            place = ["doc_id", "tkey", "start"]
+            reference = reference.drop_duplicates(place).sort_values(place)
+            for i, t, s, w in zip(*[reference[c].tolist() for c in [*place, "words"]]):
+                automaton.add(w.split(" "), (i, t), s)
+            for i, t, s, w in zip(*[stream[c].tolist() for c in [*place, "words"]]):
+                out += [(i, t, lo, hi) for lo, hi in automaton.repeats(w.split(" "), (i, t), s, size)]
+        return pd.DataFrame(out, columns=["doc_id", "tkey", "lo", "hi"]).astype(
+            {"doc_id": "int64", "tkey": "int64", "lo": "int32", "hi": "int32"})
     return run
 
 
 def candidate_texts(docs: DataFrame, *, size: int, gram: int) -> DataFrame:
-    """(doc_id, text, anchors) of the documents that hold an anchor which occurs twice in the corpus."""
+    """(doc_id, text, anchors) of the documents that hold an anchor which occurs twice in the corpus.
+
+    ``anchors`` are those of all texts under the doc_id, so none of its own is missing.
+    """
     rows = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "text")
     anchors = rows.mapInArrow(_anchor_rows(size, gram), schema(anchor=LONG, doc_id=LONG, several=BOOL))
     again = (anchors.withColumn("n", F.count("*").over(Window.partitionBy("anchor"))).where("n > 1 OR several")
@@ -258,37 +267,41 @@ def candidate_texts(docs: DataFrame, *, size: int, gram: int) -> DataFrame:
 
 def repeated_spans(candidates: DataFrame, *, size: int = 20, gram: int = 10, shard_words: int = 60_000,
                    task_words: int = 400_000) -> DataFrame:
-    """(doc_id, lo, hi): spans of words, possibly touching, that cover exactly the words to remove."""
-    runs = save(candidates.select("doc_id", "text", "anchors").mapInArrow(
-        _runs(size, gram), schema(doc_id=LONG, cell=INT, start=INT, windows=INT, words=STRING)), "sub-runs")
-    windows = runs.select("doc_id", "start", "words").mapInArrow(
-        _window_rows(size), schema(hash=LONG, doc_id=LONG, start=INT, several=BOOL))
+    """(doc_id, tkey, lo, hi): spans of words, possibly touching, that cover exactly the words to remove.
+
+    ``tkey``, a hash of the text, tells apart texts that share a doc_id.
+    """
+    runs = save(candidates.select("doc_id", "text", "anchors", F.xxhash64("text").alias("tkey")).mapInArrow(
+        _runs(size, gram), schema(doc_id=LONG, tkey=LONG, cell=INT, start=INT, windows=INT, words=STRING)), "sub-runs")
+    windows = runs.select("doc_id", "start", "words", "tkey").mapInArrow(
+        _window_rows(size), schema(hash=LONG, doc_id=LONG, tkey=LONG, start=INT, several=BOOL))
     cell = lambda c: F.floor(F.col(c) / CELL).cast("int")
-    first = F.min(F.struct("doc_id", "start")).over(Window.partitionBy("hash"))
+    first = F.min(F.struct("doc_id", "tkey", "start")).over(Window.partitionBy("hash"))
+    here, there = F.struct("doc_id", "tkey", "start"), F.struct("f.doc_id", "f.tkey", "f.start")
     # the run of a hash's first occurrence is its reference, also for a second one in the same run
-    routes = (windows.withColumn("f", first).where("several OR f.doc_id <> doc_id OR f.start <> start")
-              .select("doc_id", cell("start").alias("cell"), F.col("f.doc_id").alias("ref_doc"),
-                      cell("f.start").alias("ref_cell")).distinct())
+    routes = (windows.withColumn("f", first).where(F.col("several") | (here != there))
+              .select("doc_id", "tkey", cell("start").alias("cell"), F.col("f.doc_id").alias("ref_doc"),
+                      F.col("f.tkey").alias("ref_key"), cell("f.start").alias("ref_cell")).distinct())
     routes = save(routes, "sub-routes")
-    wanted = routes.select(F.col("ref_doc").alias("doc_id"), F.col("ref_cell").alias("cell")).distinct()
-    reference = runs.join(wanted, ["doc_id", "cell"], "left_semi")
+    of = ["doc_id", "tkey", "cell"]
+    wanted = routes.select(*[F.col(r).alias(c) for r, c in zip(("ref_doc", "ref_key", "ref_cell"), of)]).distinct()
+    reference = runs.join(wanted, of, "left_semi")
     words = reference.agg(F.sum(F.col("windows") + size - 1).alias("n")).first()["n"] or 0
     shards = max(1, -(-words // shard_words))
-    shard = lambda d, c: F.pmod(F.xxhash64(d, c), F.lit(shards))
-    streams = (routes.select("doc_id", "cell", shard("ref_doc", "ref_cell").alias("shard")).distinct()
-               .join(runs, ["doc_id", "cell"]))
-    load = (routes.select("doc_id", "cell", shard("ref_doc", "ref_cell").alias("shard")).distinct()
-            .join(runs.groupBy("doc_id", "cell").agg(F.sum(F.col("windows") + size - 1).alias("n")), ["doc_id", "cell"])
+    shard = lambda *c: F.pmod(F.xxhash64(*c), F.lit(shards)).alias("shard")
+    routed = routes.select(*of, shard("ref_doc", "ref_key", "ref_cell")).distinct()
+    streams = routed.join(runs, of)
+    load = (routed.join(runs.groupBy(*of).agg(F.sum(F.col("windows") + size - 1).alias("n")), of)
             .groupBy("shard").agg(F.ceil(F.sum("n") / task_words).alias("salts")))
     load = save(load, "sub-load")
     streams = streams.join(load, "shard").withColumn(
-        "salt", F.pmod(F.xxhash64("doc_id", "start", "cell"), "salts"))
-    sent = (reference.withColumn("shard", shard("doc_id", "cell")).join(load, "shard")
+        "salt", F.pmod(F.xxhash64("doc_id", "tkey", "start", "cell"), "salts"))
+    sent = (reference.withColumn("shard", shard(*of)).join(load, "shard")
             .withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("salts") - 1))))
-    keep = ["shard", "salt", "doc_id", "start", "words"]
+    keep = ["shard", "salt", "doc_id", "tkey", "start", "words"]
     sent = sent.select(*[F.col(c).alias(c) for c in keep])  # columns of its own: both sides come from the same runs
     return (sent.groupBy("shard", "salt").cogroup(streams.select(*keep).groupBy("shard", "salt"))
-            .applyInPandas(_match(size), schema(doc_id=LONG, lo=INT, hi=INT)))
+            .applyInPandas(_match(size), schema(doc_id=LONG, tkey=LONG, lo=INT, hi=INT)))
 
 
 def _kept(text: str, spans) -> tuple[list[str], int]:
@@ -305,7 +318,7 @@ _SPANS = T.ArrayType(T.StructType([T.StructField("lo", INT), T.StructField("hi",
 
 
 def _spans_by_document(spans: DataFrame) -> DataFrame:
-    return spans.distinct().groupBy("doc_id").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
+    return spans.distinct().groupBy("doc_id", "tkey").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
 
 
 def _digest(batches):
@@ -318,11 +331,11 @@ def _digest(batches):
             removed.append(gone)
             sha.append(hashlib.sha256(" ".join(words).encode("utf-8")).hexdigest())
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(sha, pa.string())],
-            ["doc_id", "n_words", "n_removed", "kept_sha256"])
+            [batch.column(0), batch.column(3), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(sha, pa.string())],
+            ["doc_id", "tkey", "n_words", "n_removed", "kept_sha256"])
 
 
-_DIGEST = schema(doc_id=LONG, n_words=LONG, n_removed=LONG, kept_sha256=STRING)
+_DIGEST = schema(doc_id=LONG, tkey=LONG, n_words=LONG, n_removed=LONG, kept_sha256=STRING)
 
 
 def removal_digests(docs: DataFrame, *, size: int = 20, gram: int = 10) -> DataFrame:
@@ -332,11 +345,13 @@ def removal_digests(docs: DataFrame, *, size: int = 20, gram: int = 10) -> DataF
     """
     candidates = save(candidate_texts(docs, size=size, gram=gram), "sub-candidates")
     spans = _spans_by_document(repeated_spans(candidates, size=size, gram=gram))
-    changed = (candidates.select("doc_id", "text").distinct().join(spans, "doc_id")
-               .select("doc_id", "text", "spans").mapInArrow(_digest, _DIGEST))
-    changed = changed.select(F.col("doc_id").alias("_id"), *[F.col(c).alias(f"_{c}") for c in _DIGEST.names[1:]])
-    whole = docs.select("doc_id", "text", F.lit(None).cast(_SPANS).alias("spans")).mapInArrow(_digest, _DIGEST)
-    return whole.join(changed, F.col("doc_id") == F.col("_id"), "left").select(
+    tkey = F.xxhash64("text").alias("tkey")
+    changed = (candidates.select("doc_id", "text", tkey).distinct().join(spans, ["doc_id", "tkey"])
+               .select("doc_id", "text", "spans", "tkey").mapInArrow(_digest, _DIGEST))
+    changed = changed.select(*[F.col(c).alias(f"_{c}") for c in _DIGEST.names])
+    whole = docs.select("doc_id", "text", F.lit(None).cast(_SPANS).alias("spans"), tkey).mapInArrow(_digest, _DIGEST)
+    same = (F.col("doc_id") == F.col("_doc_id")) & (F.col("tkey") == F.col("_tkey"))
+    return whole.join(changed, same, "left").select(
         "doc_id", "n_words", F.coalesce("_n_removed", "n_removed").alias("n_removed"),
         F.coalesce("_kept_sha256", "kept_sha256").alias("kept_sha256"))
 
@@ -347,16 +362,16 @@ def remove_repeats(docs: DataFrame, *, size: int = 20, gram: int = 10) -> DataFr
     Texts without a repeat stay as they are. ``n_chars``, if it is a column, follows the new text.
     """
     candidates = save(candidate_texts(docs, size=size, gram=gram), "sub-candidates")
-    key, found = fresh(docs, "id"), fresh(docs, "spans")
+    key, tkey, found = fresh(docs, "id"), fresh(docs, "tkey"), fresh(docs, "spans")
     spans = (_spans_by_document(repeated_spans(candidates, size=size, gram=gram))
-             .select(F.col("doc_id").alias(key), F.col("spans").alias(found)))
+             .select(F.col("doc_id").alias(key), F.col("tkey").alias(tkey), F.col("spans").alias(found)))
 
     @F.pandas_udf(STRING)
     def kept(texts: pd.Series, spans: pd.Series) -> pd.Series:
         return pd.Series([t if s is None or t is None else " ".join(_kept(t, s)[0]) for t, s in zip(texts, spans)], dtype=object)
 
-    # at most one row of spans per document: matching rows are neither lost nor repeated
-    out = docs.join(spans, F.col("doc_id") == F.col(key), "left")
+    # at most one row of spans per document and text: matching rows are neither lost nor repeated
+    out = docs.join(spans, (F.col("doc_id") == F.col(key)) & (F.xxhash64("text") == F.col(tkey)), "left")
     out = out.withColumn("text", F.when(F.col(found).isNull(), F.col("text")).otherwise(kept(F.col("text"), F.col(found))))
     if "n_chars" in docs.columns:
         kind = dict(docs.dtypes)["n_chars"]
