@@ -7,12 +7,12 @@ expression costs, takes named arguments, and no Python runs on executors:
 * ``z_encode(x, y, z)``, ``z_axis(code, dim)``, ``z_block(code, resolution)``;
 * ``z_near(x1, y1, z1, x2, y2, z2, radius)``: within a radius;
 * ``z_in_box(code, x0, y0, z0, x1, y1, z1)``: whether a code's cell lies in a box;
-* ``z_ranges(x0, y0, z0, x1, y1, z1)``: a table function, at most eight code
+* ``z_ranges(x0, y0, z0, x1, y1, z1)``: a table function, at most four code
   ranges (lo, hi) that hold the box.
 
 ``z_in_box`` is the OR of those ranges and an exact test per axis. With literal
 corners the ranges are constants, which Spark pushes to the parquet scan. They
-come from dividing the box three times at the highest bit in which the codes of its corners
+come from dividing the box twice at the highest bit in which the codes of its corners
 differ, as closed expressions of the two codes.
 """
 
@@ -23,7 +23,7 @@ from pyspark.sql import SparkSession
 from zpoints.functions.zcode import AXIS0_BITS, BYTE_SPREAD_SQL
 from zpoints.schema import MAX_BITS, MAX_DIM
 
-DIVISIONS = 3
+DIVISIONS = 2
 
 
 def _spread(v: str) -> str:
@@ -38,27 +38,18 @@ def _axis(code: str, dim: str) -> str:
 
 CORNERS = "x0 BIGINT, y0 BIGINT, z0 BIGINT, x1 BIGINT, y1 BIGINT, z1 BIGINT"
 
-# the lower bits of the axis in which two codes first differ, that bit itself, and the parts of a divided interval
+
+# the lower bits of the axis in which two codes first differ, and that bit itself
 _TOP = "shiftleft(1L, greatest(length(bin(a ^ b)) - 1, 0))"
 _BELOW = f"(shiftleft({AXIS0_BITS}L, greatest(length(bin(a ^ b)) - 1, 0) % {MAX_DIM}) & ({_TOP} - 1))"
 
 
-def _parts(a: str, b: str, depth: int) -> list[tuple[str, str]]:
-    if depth == 0:
-        return [(a, b)]
-    low, high = f"z_litmax({a}, {b})", f"z_bigmin({a}, {b})"
-    return [*_parts(a, low, depth - 1), *_parts(high, b, depth - 1)]
-
-
 def statements() -> list[str]:
     """The CREATE statements, in the order of their use of one another."""
     corners = "z_encode(x0, y0, z0), z_encode(x1, y1, z1)"
-    parts = _parts("a", "b", DIVISIONS)
-    either = " OR ".join(f"(code >= {a} AND code <= {b})" for a, b in parts)
     exact = " AND ".join(f"z_axis(code, {d}) BETWEEN {v}0 AND {v}1" for d, v in enumerate("xyz"))
-    rows = ", ".join(f"struct({a} AS lo, {b} AS hi)" for a, b in parts)
     create = "CREATE OR REPLACE TEMPORARY FUNCTION "
-    return [
+    out = [
         create + f"z_spread(v BIGINT) RETURNS BIGINT RETURN {_spread('v')}",
         create + "z_encode(x BIGINT, y BIGINT, z BIGINT) RETURNS BIGINT "
                  "RETURN z_spread(x) | shiftleft(z_spread(y), 1) | shiftleft(z_spread(z), 2)",
@@ -68,11 +59,20 @@ def statements() -> list[str]:
                  "RETURN (x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1) + (z2 - z1) * (z2 - z1) <= radius * radius",
         create + f"z_litmax(a BIGINT, b BIGINT) RETURNS BIGINT RETURN IF(a = b, b, (b & ~({_BELOW} | {_TOP})) | {_BELOW})",
         create + f"z_bigmin(a BIGINT, b BIGINT) RETURNS BIGINT RETURN IF(a = b, a, (a & ~({_BELOW} | {_TOP})) | {_TOP})",
-        create + f"z_in_parts(code BIGINT, a BIGINT, b BIGINT) RETURNS BOOLEAN RETURN {either}",
-        create + f"z_in_box(code BIGINT, {CORNERS}) RETURNS BOOLEAN RETURN z_in_parts(code, {corners}) AND {exact}",
-        create + f"z_parts(a BIGINT, b BIGINT) RETURNS ARRAY<STRUCT<lo: BIGINT, hi: BIGINT>> RETURN array({rows})",
-        create + f"z_ranges({CORNERS}) RETURNS TABLE(lo BIGINT, hi BIGINT) "
-                 f"RETURN SELECT DISTINCT r.lo, r.hi FROM (SELECT explode(p) AS r FROM (SELECT z_parts({corners}) AS p))",
+        create + "z_in_0(code BIGINT, a BIGINT, b BIGINT) RETURNS BOOLEAN RETURN code >= a AND code <= b",
+        create + "z_parts_0(a BIGINT, b BIGINT) RETURNS ARRAY<STRUCT<lo: BIGINT, hi: BIGINT>> RETURN array(struct(a AS lo, b AS hi))",
+    ]
+    for n in range(1, DIVISIONS + 1):  # each division binds its interval once
+        out += [
+            create + f"z_in_{n}(code BIGINT, a BIGINT, b BIGINT) RETURNS BOOLEAN "
+                     f"RETURN z_in_{n - 1}(code, a, z_litmax(a, b)) OR z_in_{n - 1}(code, z_bigmin(a, b), b)",
+            create + f"z_parts_{n}(a BIGINT, b BIGINT) RETURNS ARRAY<STRUCT<lo: BIGINT, hi: BIGINT>> "
+                     f"RETURN concat(z_parts_{n - 1}(a, z_litmax(a, b)), z_parts_{n - 1}(z_bigmin(a, b), b))",
+        ]
+    return out + [
+        create + f"z_in_box(code BIGINT, {CORNERS}) RETURNS BOOLEAN RETURN z_in_{DIVISIONS}(code, {corners}) AND {exact}",
+        create + f"z_ranges({CORNERS}) RETURNS TABLE(lo BIGINT, hi BIGINT) RETURN SELECT DISTINCT r.lo, r.hi "
+                 f"FROM (SELECT explode(p) AS r FROM (SELECT z_parts_{DIVISIONS}({corners}) AS p))",
     ]
 
 
