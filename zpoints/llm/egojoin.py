@@ -3,12 +3,21 @@
 Cosine >= c between two vectors is distance <= eps = sqrt(2 - 2c) between
 their directions. Directions are projected on their leading principal
 dimensions (a projection never lengthens a distance), put in the order of their grid
-cells of side eps, and cut into blocks, each with the box of its projections.
+cells of side eps, and cut into blocks, each with the box of its projections. The length of what
+the projection leaves out is one more coordinate of the box, as two directions
+are at least as far apart as these lengths differ.
 The sequence is joined with itself by recursion: a pair of intervals whose
 boxes are farther apart than eps is skipped with all that is in it, any other
 is split. Spark carries the recursion as a table of interval pairs, level by
-level, down to intervals of ``interval`` vectors; a pair of those is one
-group, and its blocks are compared in the same way inside it.
+level, down to intervals of ``interval_bytes`` of vectors; a pair of those is one
+group, and its blocks are compared in the same way inside it. A vector is sent
+to as many groups as its interval has pairs left: where the directions spread
+evenly over many dimensions, as in the given tables, projections are near one another and
+that is nearly all, n^2 / interval vectors, and the work is saved inside the
+groups: by Cauchy's inequality the cosine is at most the product of the
+projections on ``screen`` axes plus the product of the lengths left out, and only rows and
+columns of a block pair where this reaches the bound are multiplied whole.
+:func:`pair_shares` reports the share of pairs kept on every level.
 
 Equal vectors are one class with a count, so copies never meet as pairs. A
 group returns link counts per class and a spanning forest of its links, never
@@ -49,20 +58,28 @@ def _stack(column: pd.Series, dim: int) -> np.ndarray:
 
 
 def principal_axes(classes: DataFrame, dim: int, axes: int) -> np.ndarray:
-    """The ``axes`` leading principal axes (dim x axes) of the directions, from their summed outer products."""
+    """The ``axes`` leading principal axes (dim x axes) of the directions, from the sums of their outer products and their mean."""
     def run(batches):
-        total = np.zeros((dim, dim))
+        total = np.zeros((dim + 1, dim + 1))
         for pdf in batches:
             u = _unit(_stack(pdf["v"], dim))
+            u = np.hstack([u, np.ones((len(u), 1))])
             total += u.T @ u
-        i, j = np.triu_indices(dim)
+        i, j = np.triu_indices(dim + 1)
         yield pd.DataFrame({"i": i, "j": j, "x": total[i, j]}).astype({"i": "int32", "j": "int32"})
 
     got = classes.select("v").mapInPandas(run, schema(i=INT, j=INT, x=DOUBLE)).groupBy("i", "j").agg(F.sum("x").alias("x"))
-    m = np.zeros((dim, dim))
-    for r in got.collect():  # dim * (dim + 1) / 2 numbers
+    m = np.zeros((dim + 1, dim + 1))
+    for r in got.collect():  # (dim + 1) * (dim + 2) / 2 numbers
         m[r["i"], r["j"]] = m[r["j"], r["i"]] = r["x"]
-    return np.linalg.eigh(m)[1][:, ::-1][:, :axes]
+    mean = m[:dim, dim] / max(m[dim, dim], 1.0)
+    return np.linalg.eigh(m[:dim, :dim] / max(m[dim, dim], 1.0) - np.outer(mean, mean))[1][:, ::-1][:, :axes]
+
+
+def projected(u: np.ndarray, axes: np.ndarray) -> np.ndarray:
+    """Coordinates of directions on the axes, and the length of the rest as the last column."""
+    p = u @ axes
+    return np.column_stack([p, np.sqrt(np.maximum(1 - (p * p).sum(1), 0.0))])
 
 
 def ego_blocks(classes: DataFrame, dim: int, axes: np.ndarray, eps: float, block: int, partitions: int) -> DataFrame:
@@ -88,7 +105,7 @@ def ego_blocks(classes: DataFrame, dim: int, axes: np.ndarray, eps: float, block
 
     def pack(pdf, part, nth):
         v = _stack(pdf["v"], dim)
-        p = _unit(v) @ axes
+        p = projected(_unit(v), axes)
         return pd.DataFrame({
             "part": [part], "nth": [nth], "ids": [pdf["rep"].to_numpy(np.int64).tobytes()],
             "counts": [pdf["n"].to_numpy(np.int64).tobytes()], "dims": [pdf["dim"].to_numpy(np.int32).tobytes()],
@@ -112,8 +129,20 @@ def _apart(lo_a, hi_a, lo_b, hi_b):
 def interval_pairs(boxes: DataFrame, n: int, fan: int, eps: float, axes: int) -> DataFrame:
     """(a, b) with a <= b: the pairs of intervals within eps, by recursion from the whole sequence.
 
-    ``boxes``: (id from 0 to n - 1, lo, hi). On every level an interval is ``fan`` of the level below.
+    ``boxes``: (id from 0 to n - 1, lo, hi of ``axes`` coordinates). On every level an interval is ``fan`` of the level below.
     """
+    return _levels_of_pairs(boxes, n, fan, eps, axes)[-1]
+
+
+def pair_shares(boxes: DataFrame, n: int, fan: int, eps: float, axes: int) -> list[float]:
+    """Kept pairs as a share of all pairs of intervals, for every level from the whole sequence down to ``boxes``."""
+    sizes = [n]
+    while sizes[-1] > 1:
+        sizes.append(-(-sizes[-1] // fan))
+    return [pairs.count() / (k * (k + 1) / 2) for pairs, k in zip(_levels_of_pairs(boxes, n, fan, eps, axes), reversed(sizes))]
+
+
+def _levels_of_pairs(boxes: DataFrame, n: int, fan: int, eps: float, axes: int) -> list[DataFrame]:
     levels, size = [boxes], n
     while size > 1:
         up = levels[-1].groupBy(F.floor(F.col("id") / fan).alias("id")).agg(
@@ -122,6 +151,7 @@ def interval_pairs(boxes: DataFrame, n: int, fan: int, eps: float, axes: int) ->
         levels.append(up)
         size = -(-size // fan)
     pairs = boxes.sparkSession.range(1).select(F.lit(0).cast("long").alias("a"), F.lit(0).cast("long").alias("b"))
+    found = [pairs]
     for level in reversed(levels[:-1]):
         child = F.sequence(F.lit(0), F.lit(fan - 1))
         pairs = (pairs.withColumn("i", F.explode(child)).withColumn("j", F.explode(child))
@@ -131,16 +161,18 @@ def interval_pairs(boxes: DataFrame, n: int, fan: int, eps: float, axes: int) ->
         two = level.select(F.col("id").alias("b"), F.col("lo").alias("lb"), F.col("hi").alias("hb"))
         pairs = (pairs.join(one, "a").join(two, "b")
                  .where(_apart(F.col("la"), F.col("ha"), F.col("lb"), F.col("hb")) <= eps * eps).select("a", "b"))
-    return pairs
+        found.append(pairs)
+    return found
 
 
-def _join_group(dim: int, eps: float, least: float):
+def _join_group(dim: int, eps: float, least: float, screen: np.ndarray):
     """One pair of intervals: (node, links, root) per class that has links here."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         a, b = int(pdf["a"].iloc[0]), int(pdf["b"].iloc[0])
         pdf = pdf.sort_values("at")
         raw = [np.frombuffer(x, np.float64).reshape(-1, dim) for x in pdf["vectors"]]
         unit = [_unit(x) for x in raw]
+        head = [projected(u, screen) for u in unit]
         ids = [np.frombuffer(x, np.int64) for x in pdf["ids"]]
         counts = [np.frombuffer(x, np.int64) for x in pdf["counts"]]
         dims = [np.frombuffer(x, np.int32) for x in pdf["dims"]]
@@ -162,7 +194,12 @@ def _join_group(dim: int, eps: float, least: float):
             for y in np.flatnonzero(near & (side == b)):
                 if a == b and y < x:
                     continue
-                cos = unit[x] @ unit[y].T
+                most = head[x] @ head[y].T >= least - 1e-9  # what the cosine can be at most
+                rows, cols = np.flatnonzero(most.any(1)), np.flatnonzero(most.any(0))
+                if not len(rows):
+                    continue
+                cos = np.full((len(raw[x]), len(raw[y])), -2.0)
+                cos[np.ix_(rows, cols)] = unit[x][rows] @ unit[y][cols].T
                 linked = cos >= least
                 close = np.argwhere(np.abs(cos - least) < 1e-9)
                 for i, j in close:  # decided by the plain formula
@@ -200,8 +237,8 @@ def _join_group(dim: int, eps: float, least: float):
     return run
 
 
-def cosine_links(vectors: DataFrame, *, least: float = 0.9, axes: int = 8, block: int = 256, interval: int = 4096,
-                 fan: int = 8) -> DataFrame:
+def cosine_links(vectors: DataFrame, *, least: float = 0.9, axes: int = 8, screen: int = 24, block: int = 256,
+                 interval_bytes: int = 8 << 20, fan: int = 8) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row of ``vectors``."""
     eps = float(np.sqrt(2 - 2 * least)) + 1e-6
     rows = usable(vectors)
@@ -210,8 +247,10 @@ def cosine_links(vectors: DataFrame, *, least: float = 0.9, axes: int = 8, block
     size = classes.agg(F.count("*").alias("n"), F.max("dim").alias("d")).first()
     dim, n = size["d"] or 1, size["n"]
     axes = min(axes, dim)
-    directions = principal_axes(classes, dim, axes)
-    blocks = save(ego_blocks(classes, dim, directions, eps, block, max(1, -(-n // interval))), "ego-blocks")
+    leading = principal_axes(classes, dim, min(max(axes, screen), dim))
+    interval = max(block, interval_bytes // (8 * dim))
+    blocks = save(ego_blocks(classes, dim, leading[:, :axes], eps, block, max(1, -(-n // 4096))), "ego-blocks")
+    sides = axes + 1  # coordinates of a box
 
     # blocks are numbered along the sequence: blocks of earlier partitions, then the place in the partition
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -221,14 +260,14 @@ def cosine_links(vectors: DataFrame, *, least: float = 0.9, axes: int = 8, block
     numbered = blocks.join(starts, "part").withColumn("at", F.col("start") + F.col("nth"))
     numbered = numbered.withColumn("interval", F.floor(F.col("at") / per))
     boxes = numbered.groupBy(F.col("interval").alias("id")).agg(
-        F.array(*[F.min(F.col("lo")[i]) for i in range(axes)]).alias("lo"),
-        F.array(*[F.max(F.col("hi")[i]) for i in range(axes)]).alias("hi"))
+        F.array(*[F.min(F.col("lo")[i]) for i in range(sides)]).alias("lo"),
+        F.array(*[F.max(F.col("hi")[i]) for i in range(sides)]).alias("hi"))
     boxes = save(boxes, "ego-boxes")
     count = boxes.agg(F.coalesce(F.max("id") + 1, F.lit(1)).alias("n")).first()["n"]
-    pairs = interval_pairs(boxes, int(count), fan, eps, axes)
-    sides = pairs.select("a", "b", F.explode(F.array_distinct(F.array("a", "b"))).alias("interval"))
-    groups = sides.join(numbered.drop("part", "nth", "start"), "interval")
-    found = save(groups.groupBy("a", "b").applyInPandas(_join_group(dim, eps, least),
+    pairs = interval_pairs(boxes, int(count), fan, eps, sides)
+    placed = pairs.select("a", "b", F.explode(F.array_distinct(F.array("a", "b"))).alias("interval"))
+    groups = placed.join(numbered.drop("part", "nth", "start"), "interval")
+    found = save(groups.groupBy("a", "b").applyInPandas(_join_group(dim, eps, least, leading),
                                                         schema(node=LONG, links=LONG, root=LONG)), "ego-links")
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     comp = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")), "ego")
