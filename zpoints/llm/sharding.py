@@ -6,14 +6,16 @@ at the distributed weighted quantile that leaves floor(k/2)/k of its bytes on
 the low side, until every leaf is one shard of ``total / n_shards`` bytes.
 
 A quantile takes two histogram passes: 4096 cells over the node's range, then
-4096 sub-cells of the cell that holds it. Rows of one cell are ordered by a
-hash of their id and text, so a value that a third of all rows share is split
-like any other. The driver holds one row per tree node (fewer than the number
+4096 sub-cells of the cell that holds it. Rows of one cell are ordered by a tie hash.
+Equal texts are a group: where its bytes fit a shard, all its rows take the metadata
+of its row with the least id and a hash of the text, so they lie on one side of every split. The
+rows of a larger group keep their own metadata and a hash of id and text, so a
+text that a third of all rows share is split like any other value. The driver holds one row per tree node (fewer than the number
 of shards), never rows or values.
 
 Defined cases: a null text has no bytes; null metadata is a value of its own;
-an empty table gives an empty result; rows equal in id and text share a hash
-and so a side of every split. Columns other than doc_id, text, source and lang
+an empty table gives an empty result; rows equal in id and text lie on one side
+of every split. Columns other than doc_id, text, source and lang
 are ignored; lang is optional.
 """
 
@@ -34,12 +36,12 @@ def _unit(c: Column) -> Column:
 
 
 def shard_metadata(docs: DataFrame, overhead: int) -> DataFrame:
-    """doc_id, size, text_crc32, the four dimensions and the tie hash; the only pass over the texts."""
+    """doc_id, size, text_crc32, text_key, the four dimensions and the tie hash; the only pass over the texts."""
     text = F.coalesce(F.col("text"), F.lit(""))
     lang = F.col("lang") if "lang" in docs.columns else F.lit(None).cast("string")
     return docs.select(
         "doc_id", (F.octet_length(text) + overhead).cast("long").alias("size"),
-        F.crc32(text.cast("binary")).alias("text_crc32"),
+        F.crc32(text.cast("binary")).alias("text_crc32"), F.xxhash64(text).alias("text_key"),
         _unit(F.col("source")).alias("d_source"), _unit(lang).alias("d_lang"),
         F.log2(F.octet_length(text) + F.lit(1.0)).alias("d_size"),
         F.coalesce(F.col("doc_id").cast("double"), F.lit(-1.0)).alias("d_id"),
@@ -47,6 +49,18 @@ def shard_metadata(docs: DataFrame, overhead: int) -> DataFrame:
                                             "size").cast("binary")) / F.lit(4294967296.0))
 
 
+def _groups_together(meta: DataFrame, most: float) -> DataFrame:
+    """``meta`` with the rows of equal texts at one place, where a group of them has no more than ``most`` bytes."""
+    text = ["text_key", "text_crc32", "size"]
+    first = F.min(F.struct("d_id", "d_source", "d_lang")).alias("first")
+    groups = (meta.groupBy(*text).agg(F.count("*").alias("copies"), first)
+              .where((F.col("copies") > 1) & (F.col("copies") * F.col("size") <= most)).drop("copies"))
+    joined = meta.join(groups, text, "left")
+    own = [F.coalesce(F.col(f"first.{d}"), F.col(d)).alias(d) for d in ("d_source", "d_lang", "d_id")]
+    tie = F.when(F.col("first").isNull(), F.col("tie")).otherwise(F.pmod(F.col("text_key"), F.lit(1 << 32)) / F.lit(4294967296.0))
+    return joined.select("doc_id", "size", "text_crc32", "d_size", *own, tie.alias("tie"))
+
+
 def _assign(node: dict) -> Column:
     """The tree as one expression: nested comparisons down to the node's number."""
     if "dim" not in node:
@@ -83,11 +97,12 @@ def kd_shards(docs: DataFrame, n_shards: int = 40, overhead: int = 16, buckets:
     bucket and inside a bucket, so no task sorts a whole shard.
     """
     meta = save(shard_metadata(docs, overhead), "shard-meta")
-    lows = meta.agg(*[F.min(d).alias(f"lo_{d}") for d in DIMS], *[F.max(d).alias(f"hi_{d}") for d in DIMS]).first()
+    lows = meta.agg(F.sum("size").alias("bytes"), *[F.min(d).alias(f"lo_{d}") for d in DIMS], *[F.max(d).alias(f"hi_{d}") for d in DIMS]).first()
     scale = lambda d: (F.floor((F.col(d) - lows[f"lo_{d}"]) / max(lows[f"hi_{d}"] - lows[f"lo_{d}"], 1e-9)
                                * (CELLS - 1)) + F.col("tie")).alias(d)
     if lows[f"lo_{DIMS[0]}"] is not None:
-        meta = meta.select("doc_id", "size", "text_crc32", *[scale(d) for d in DIMS])
+        meta = save(_groups_together(meta, lows["bytes"] / n_shards).select("doc_id", "size", "text_crc32", *[scale(d) for d in DIMS]),
+                    "shard-placed")
     root = {"id": 0, "first": 0, "leaves": n_shards}
     fresh = 1
     open_nodes = [root] if lows[f"lo_{DIMS[0]}"] is not None else []
