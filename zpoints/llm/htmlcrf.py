@@ -13,7 +13,10 @@ boilerplate element. Each is also trained on with plain wrappers in place of tho
 so that class words, text and neighbours carry weight where markup is missing, and with
 blocks set under boilerplate elements inside the article (comments, asides, adverts,
 forms), so that such ancestors outweigh it. The number of pages to fit on is
-bounded by ``max_pages``; every page is decoded.
+bounded by ``max_pages``, picked among the pages that have such markup; every page is decoded.
+
+Formulas, embedded objects and fallback text (math, object, noscript, canvas, audio, video) are
+text like any other, to be labelled by the field.
 
 Defined cases: a null or empty html, or one without text, gives the empty
 text; unclosed and misnested tags close with their ancestor; unterminated
@@ -41,8 +44,9 @@ from .common import INT, LONG, STRING, schema
 BLOCK_TAGS = set("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset "
                  "figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav "
                  "ol option p pre search section select summary table tbody td tfoot th thead title tr ul".split())
+MARKUP = r"(?i)<(article|main)[\s/>]|articleBody"
 VOID_TAGS = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW_TAGS = set("script style template svg noscript iframe textarea object math canvas audio video".split())
+RAW_TAGS = set("script style template svg iframe textarea".split())
 ENDS_P = BLOCK_TAGS - set("html head body caption li dd dt td th tr tbody thead tfoot option legend title summary".split())
 CLOSES = {"li": {"li"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
           "th": {"td", "th"}, "option": {"option"}}
@@ -347,15 +351,20 @@ def training_sequences(blocks: list[Block], labels: list[int], rng: random.Rando
 
 
 def learn(pages: DataFrame, *, max_pages: int = 400, max_blocks: int = 100) -> Model:
-    """Fit on at most ``max_pages`` pages with semantic markup, the first by a hash of page_id, ``max_blocks`` blocks of each."""
-    picked = (pages.where("page_id IS NOT NULL AND html IS NOT NULL").select("page_id").distinct()
+    """Fit on at most ``max_pages`` pages with semantic markup, the first by a hash of page_id.
+
+    Of a page with more than ``max_blocks`` blocks, half of them are taken from its start and half from its end.
+    """
+    picked = (pages.where(F.col("page_id").isNotNull() & F.col("html").rlike(MARKUP)).select("page_id").distinct()
               .orderBy(F.xxhash64("page_id"), "page_id").limit(max_pages))
 
     def rows(batches):
         for pdf in batches:
             out = []
             for i, page in zip(pdf["page_id"], pdf["html"]):
-                blocks = leaf_blocks(page)[:max_blocks]
+                blocks = leaf_blocks(page or "")
+                if len(blocks) > max_blocks:
+                    blocks = blocks[:max_blocks // 2] + blocks[len(blocks) - max_blocks // 2:]
                 labels = markup_labels(blocks) if blocks else None
                 if labels:
                     out += training_sequences(blocks, labels, random.Random(int(i)))
