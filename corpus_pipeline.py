@@ -50,7 +50,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("bpe", tokenize_stage),
 ]
 
-#: Learned scores, sketches and merges cannot be said in SQL; tests/llm/test_pipeline.py holds the brute force.
+#: Learned scores, sketches and merges cannot be said in SQL; tests/llm/test_queries.py holds it against plain versions of its stages.
 ORACLE_SQL = None
 
 
