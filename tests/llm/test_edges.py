@@ -295,7 +295,7 @@ def test_cosine_links(vectors, spark):
                 degree[a] += 1
                 degree[b] += 1
     comp = brute.components(ids, links)
-    out = egojoin.cosine_links(vectors, block=16, interval=64).collect()
+    out = egojoin.cosine_links(vectors, block=16, interval_bytes=64 * 8 * 16, screen=10).collect()
     assert len(out) == vectors.count()
     for r in out:
         i = r["vec_id"]

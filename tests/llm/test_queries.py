@@ -31,13 +31,16 @@ def test_toxicity_on_held_out_rows(spark):
     assert predicted[y == 0].mean() < 0.02 and predicted[y == 1].mean() > 0.6
 
 
-def test_mix_matches_its_sql(spark):
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_query_matches_its_sql(spark, name):
     duckdb = pytest.importorskip("duckdb")
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF_SMALL}/documents.parquet')")
-    want = con.execute(queries.OP4_SQL).fetch_df()
-    got = queries.op4_curriculum_mix(spark, SF_SMALL).toPandas()[list(want.columns)]
-    key = ["doc_id"]
+    for t in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
+    want = con.execute(queries.ORACLES[name]).fetch_df()
+    got = queries.QUERIES[name](spark, SF_SMALL).toPandas()
+    assert sorted(got.columns) == sorted(want.columns) and len(got) == len(want)
+    got, key = got[list(want.columns)], [c for c in ("doc_id", "vec_id") if c in want.columns]
     want, got = (d.sort_values(key).reset_index(drop=True).fillna(-1.0) for d in (want, got))
     for c in want.columns:
         assert (want[c] == got[c]).all(), c
@@ -49,9 +52,13 @@ def test_every_query_has_its_columns(spark):
              "op4": ["doc_id", "size", "source_size", "target", "taken"], "op5": ["doc_id", "held_out", "score", "predicted"],
              "op6": ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"],
              "op7": ["doc_id", "n_words", "n_removed", "kept_sha256"], "op8": ["page_id", "url", "text", "n_chars"],
-             "op9": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"], "op10": ["doc_id", "class_id", "kept"]}
+             "op9": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"], "op10": ["doc_id", "class_id", "kept"],
+             "op11": ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"],
+             "op12": ["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"],
+             "op13": ["doc_id", "keep_id", "group_size", "kept", "text_sha256"]}
     assert sorted(q.split("_")[0] for q in queries.QUERIES) == sorted(first)
-    for name in ("op1_vptree_neighbours", "op4_curriculum_mix", "op6_kd_shards", "op8_crf_extract", "op9_bpe_replay"):
+    for name in ("op1_vptree_neighbours", "op4_curriculum_mix", "op6_kd_shards", "op8_crf_extract", "op9_bpe_replay",
+                 "op12_cholesky_whitening"):
         columns = queries.QUERIES[name](spark, SF_SMALL).columns
         assert columns[:len(first[name.split("_")[0]])] == first[name.split("_")[0]]
 

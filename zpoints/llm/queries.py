@@ -144,4 +144,42 @@ SELECT doc_id, min(doc_id) OVER g AS keep_id, (count(*) OVER g)::BIGINT AS group
 FROM n WINDOW g AS (PARTITION BY t)
 """
 
-ORACLES: dict[str, str] = {"op4_curriculum_mix": OP4_SQL, "op13_patricia_dedup": OP13_SQL}
+# brute force: every pair of vectors, and what is reachable by links
+OP3_SQL = """
+WITH RECURSIVE e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings),
+u AS (SELECT vec_id, v, sqrt(list_inner_product(v, v)) AS norm FROM e),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.vec_id <> b.vec_id
+          WHERE list_inner_product(a.v, b.v) / (a.norm * b.norm) >= 0.9::DOUBLE),
+reach AS (SELECT vec_id AS node, vec_id AS r FROM e UNION SELECT node, b FROM reach JOIN links ON r = a),
+component AS (SELECT node, min(r) AS component_id FROM reach GROUP BY node),
+degree AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM e JOIN component ON node = vec_id LEFT JOIN degree ON a = vec_id
+"""
+
+# every window of 20 words as a string; all but its first occurrence remove their words
+OP7_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT doc_id, s, array_to_string(w[s:s + 19], ' ') AS k FROM d, unnest(range(1, len(w) - 18)) t(s)),
+again AS (SELECT doc_id, s FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY doc_id, s) AS nth FROM win) WHERE nth > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + 20)) AS p FROM again),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS t, count(*) AS n FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+# every pair of documents that share a run of five words, by the Jaccard similarity of their sets of runs
+OP10_SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+runs AS (SELECT DISTINCT doc_id, array_to_string(w[s:s + 4], ' ') AS k FROM d, unnest(range(1, greatest(len(w) - 3, 2))) t(s) WHERE len(w) > 0),
+size AS (SELECT doc_id, count(*) AS n FROM runs GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM runs a JOIN runs b USING (k) WHERE a.doc_id < b.doc_id GROUP BY 1, 2),
+near AS (SELECT a, b FROM shared JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b WHERE c::DOUBLE / (x.n + y.n - c) >= 0.8::DOUBLE),
+links AS (SELECT a, b FROM near UNION ALL SELECT b, a FROM near),
+reach AS (SELECT doc_id AS node, doc_id AS r FROM d UNION SELECT node, b FROM reach JOIN links ON r = a)
+SELECT node AS doc_id, min(r) AS class_id, node = min(r) AS kept FROM reach GROUP BY node
+"""
+
+ORACLES: dict[str, str] = {"op3_ego_join": OP3_SQL, "op4_curriculum_mix": OP4_SQL, "op7_automata_dedup": OP7_SQL,
+                           "op10_probminhash": OP10_SQL, "op13_patricia_dedup": OP13_SQL}
