@@ -18,13 +18,17 @@ probability of at most MISS.
 
 Registers are banded. Links are found without listing the pairs of a bucket:
 
-1. Equal texts are one class, represented by the least doc_id.
+1. Equal texts are one class, represented by its row with the least doc_id. A
+   document is a (doc_id, text); nodes are numbers of rows, so rows that share a doc_id never share a node.
 2. Every member of a bucket is verified against the bucket's least member, and
    verified pairs give components.
-3. Only buckets that still hold several components are looked at again, in
-   blocks of bounded size; pairs across components whose sketches agree well
-   enough are verified inside the block, and only links that join two
-   components leave it.
+3. Only buckets that still hold several components are looked at again. The
+   members of a bucket's largest component, usually nearly all, are sent once,
+   in chunks of bounded size; the few others are copied to each chunk, and
+   meet one another in chunks of their own. These rows carry sketches, no
+   texts. Documents that agree well enough with one of another component then
+   fetch their texts to the same chunks, pairs are verified there, and only
+   links that join two components leave them.
 
 Verification takes the whole texts: Jaccard similarity of the two sets of
 shingles, at or above the threshold. Components are the classes of near
@@ -32,9 +36,10 @@ duplicates; their least doc_id is the class id.
 
 Defined cases: a text of one to four words is one shingle; a null text or one
 without words links with nothing and is a class of its own; rows with a null
-doc_id take no part and return a null class; rows that repeat a doc_id are one
-document with all their links; an empty table gives an empty result. Columns
-other than doc_id and text are ignored.
+doc_id take no part and return a null class; rows that repeat a doc_id with the same text are one
+document; with different texts they are documents of their own, which may be in different classes, and of
+a class whose least doc_id they share the one with the least digest of its text is kept; an
+empty table gives an empty result. Columns other than doc_id and text are ignored.
 """
 
 from __future__ import annotations
@@ -55,6 +60,8 @@ _STRIDE = 0xD1342543DE82EF95
 
 #: The weight of a shingle however often it is repeated; a shingle that occurs once weighs 1.
 MOST_WEIGHT = 1.1
+#: Numbers of rows inside one task.
+TASK_BITS = 36
 #: The chance that a pair at the weighted floor shares no band.
 MISS = 1e-4
 
@@ -134,10 +141,16 @@ def _pieces(texts: list[str], chars: int):
 
 
 def sketch(docs: DataFrame, *, k: int = 5, registers: int = 128, band_rows: int = 4) -> DataFrame:
-    """(doc_id, text_key, words: has any, bands, registers as 16-bit remainders) of every row with an id."""
+    """(doc_id, text_key, rid, bands, registers as 16-bit remainders) of every row with an id.
+
+    ``rid`` numbers the rows, ``bands`` is null for a text without words.
+    """
     def run(batches):
+        at_row = 0
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
+            base = (batch.column(2)[0].as_py() << TASK_BITS) + at_row if len(texts) else 0
+            at_row += len(texts)
             for lo, hi in _pieces(texts, 2_000_000):
                 part = texts[lo:hi]
                 at, element, weight = weighted_sets(part, k)
@@ -152,17 +165,25 @@ def sketch(docs: DataFrame, *, k: int = 5, registers: int = 128, band_rows: int
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(lo, hi - lo),
                      pa.array([hashlib.md5(t.encode("utf-8")).digest() for t in part], pa.binary()),
-                     pa.array(bands, pa.list_(pa.int64())), pa.array([s.tobytes() for s in small], pa.binary())],
-                    ["doc_id", "text_key", "bands", "registers"])
+                     pa.array(np.arange(base + lo, base + hi)), pa.array(bands, pa.list_(pa.int64())),
+                     pa.array([s.tobytes() for s in small], pa.binary())],
+                    ["doc_id", "text_key", "rid", "bands", "registers"])
+
+    out = schema(doc_id=LONG, text_key=BINARY, rid=LONG, bands=T.ArrayType(LONG), registers=BINARY)
+    return (docs.where("doc_id IS NOT NULL")
+            .select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.spark_partition_id().cast("long").alias("part"))
+            .mapInArrow(run, out))
 
-    out = schema(doc_id=LONG, text_key=BINARY, bands=T.ArrayType(LONG), registers=BINARY)
-    return docs.where("doc_id IS NOT NULL").select("doc_id", "text").mapInArrow(run, out)
+
+def text_key(text: str = "text"):
+    """The digest of a text that sketches carry; a null text counts as empty."""
+    return F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")))
 
 
 def verify(pairs: DataFrame, texts: DataFrame, *, threshold: float, k: int) -> DataFrame:
-    """The pairs (a, b) whose whole texts have Jaccard similarity of shingles >= threshold. ``texts``: doc_id, text."""
-    one = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
-    other = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
+    """The pairs (a, b) whose whole texts have Jaccard similarity of shingles >= threshold. ``texts``: node, text."""
+    one = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
+    other = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
 
     def run(batches):
         kept: dict[int, tuple[str, np.ndarray]] = {}
@@ -190,31 +211,53 @@ def verify(pairs: DataFrame, texts: DataFrame, *, threshold: float, k: int) -> D
             .where(F.col("similarity") >= threshold))
 
 
+def _agreeing(pdf: pd.DataFrame, least: float) -> list[tuple[float, int, int]]:
+    """(agreement, i, j): rows of a group that are of different components and agree in ``least`` of the registers.
+
+    Rows of side 0 are held against those of side 1, and those of side 1
+    against one another where the group says so. A pair is left to the first band that it shares.
+    """
+    regs = np.stack([np.frombuffer(r, "<u2") for r in pdf["registers"]])
+    bands = np.stack(pdf["bands"].to_numpy())
+    nth = int(np.argmax(bands[0] == pdf["band"].iloc[0]))
+    comp, side = pdf["component"].to_numpy(), pdf["side"].to_numpy()
+    left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    cols = np.concatenate([left, right]) if pdf["within"].iloc[0] else left
+    place = np.arange(len(cols)) - len(left)  # of the columns that are rows of side 1
+    found = []
+    for at in range(0, len(right), 64):  # bounded blocks of pairs
+        rows = right[at:at + 64]
+        ok = (comp[rows][:, None] != comp[cols][None, :]) & (
+            (place[None, :] < 0) | (place[None, :] > np.arange(at, at + len(rows))[:, None]))
+        i, j = (x[k] for x, k in zip((rows, cols), np.nonzero(ok)))
+        for b in range(nth):
+            if not len(i):
+                break
+            later = bands[i, b] != bands[j, b]
+            i, j = i[later], j[later]
+        if len(i):
+            agree = (regs[i] == regs[j]).mean(axis=1)
+            near = agree >= least
+            found += zip(agree[near].tolist(), i[near].tolist(), j[near].tolist())
+    return found
+
+
+def _wanted(least: float):
+    """Of a group of sketches: the nodes that agree with one of another component."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        rows = sorted({m for _, i, j in _agreeing(pdf, least) for m in (i, j)})
+        return pdf.iloc[rows]
+    return run
+
+
 def _cross_links(k: int, threshold: float, least: float):
-    """Within a pair of chunks of a bucket: verified links between different components, a forest of them at most.
+    """Of a group of documents: verified links between different components, a forest of them at most.
 
-    Pairs whose sketches agree in ``least`` of the registers are verified on
-    the whole texts, best agreement first; a pair that is connected by then
-    is not needed. A pair is left to the first band that it shares.
+    Best agreement is verified first, on the whole texts; a pair that is connected by then is not needed.
     """
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["chunk", "doc_id"]).reset_index(drop=True)
-        regs = np.stack([np.frombuffer(r, "<u2") for r in pdf["registers"]])
-        bands = np.stack(pdf["bands"].to_numpy())
-        nth = int(np.argmax(bands[0] == pdf["band"].iloc[0]))
-        ids, comp, chunk = pdf["doc_id"].to_numpy(), pdf["component"].to_numpy(), pdf["chunk"].to_numpy()
-        lo, hi = int(pdf["ci"].iloc[0]), int(pdf["cj"].iloc[0])
-        left, right = np.flatnonzero(chunk == lo), np.flatnonzero(chunk == hi)
-        found = []
-        for i in left:
-            js = right[right > i] if lo == hi else right
-            js = js[comp[js] != comp[i]]
-            if nth:
-                js = js[~(bands[js, :nth] == bands[i, :nth]).any(axis=1)]
-            if len(js):
-                agree = (regs[js] == regs[i]).mean(axis=1)
-                found += [(x, i, j) for x, j in zip(agree[agree >= least], js[agree >= least])]
-        found.sort(key=lambda x: -x[0])
+        pdf = pdf.sort_values("node").reset_index(drop=True)
+        ids, comp = pdf["node"].to_numpy(), pdf["component"].to_numpy()
         parent = {c: c for c in comp.tolist()}
 
         def root(c):
@@ -225,7 +268,7 @@ def _cross_links(k: int, threshold: float, least: float):
 
         sets: dict[int, np.ndarray] = {}
         out = []
-        for _, i, j in found:
+        for _, i, j in sorted(_agreeing(pdf, least), key=lambda x: -x[0]):
             a, b = root(int(comp[i])), root(int(comp[j]))
             if a == b:
                 continue
@@ -243,44 +286,64 @@ def _cross_links(k: int, threshold: float, least: float):
     return run
 
 
-def near_duplicates(docs: DataFrame, *, threshold: float = 0.8, k: int = 5, registers: int = 128,
-                    band_rows: int | None = None, block: int = 512, slack: float = 0.2) -> DataFrame:
-    """(doc_id, class_id, kept) of every row of ``docs``; kept marks the rows with the least doc_id of their class.
+def _dealt(placed: DataFrame, block: int) -> DataFrame:
+    """Members of the buckets that hold several components -> (band, component, node, side, gi, gj, within).
 
-    ``band_rows``: registers of a band, by default as :func:`rows_of_band` derives them (4 at a threshold of 0.8).
-    ``slack``: in step 3, pairs are verified if their sketches agree in at least ``weighted_floor(threshold) - slack``
-    of the registers; with 128 registers that is more than five standard deviations below the floor.
+    Groups (gi, gj) pair chunk gi of the largest component with chunk gj of
+    the others; with gi = 0 the others of the chunk are also held against one
+    another, and groups with gi < 0 pair two different chunks of the others.
     """
+    per = placed.groupBy("band", "component").agg(F.count("*").alias("n"))
+    info = (per.groupBy("band").agg(F.count("*").alias("kinds"), F.max(F.struct("n", "component")).alias("big"), F.sum("n").alias("all"))
+            .where("kinds > 1").select("band", F.col("big.component").alias("most"),
+                                       F.ceil(F.col("big.n") / block).cast("int").alias("cb"),
+                                       F.ceil((F.col("all") - F.col("big.n")) / block).cast("int").alias("co")))
+    rows = placed.join(info, "band").withColumn("big", F.col("component") == F.col("most"))
+    spread = F.pmod(F.xxhash64("node"), F.when(F.col("big"), F.col("cb")).otherwise(F.col("co")).cast("long")).cast("int")
+    rows = rows.withColumn("c", spread)
+    return rows.selectExpr("band", "component", "node", """inline(CASE WHEN big
+        THEN transform(sequence(0, co - 1), j -> struct(0 AS side, c AS gi, j AS gj, c = 0 AS within))
+        ELSE concat(transform(sequence(0, cb - 1), i -> struct(1 AS side, i AS gi, c AS gj, i = 0 AS within)),
+                    transform(filter(sequence(0, co - 1), j -> j <> c),
+                              j -> struct(IF(j < c, 1, 0) AS side, -1 - least(c, j) AS gi, greatest(c, j) AS gj, false AS within)))
+        END)""")
+
+
+def _classes(docs: DataFrame, threshold: float, k: int, registers: int, band_rows: int | None, block: int,
+             slack: float) -> DataFrame:
+    """(doc_id, text_key, class_id, kept) of every row with an id."""
     band_rows = band_rows or rows_of_band(threshold, registers)
+    least = weighted_floor(threshold) - slack
     sk = save(sketch(docs, k=k, registers=registers, band_rows=band_rows), "pmh-sketch")
-    texts_of = sk.where("bands IS NOT NULL").groupBy("text_key").agg(
-        F.min("doc_id").alias("rep"))
-    reps = (sk.join(texts_of.select("text_key", "rep"), "text_key").where("doc_id = rep")
-            .select("doc_id", "bands", "registers"))
-    members = reps.select("doc_id", F.explode("bands").alias("band")).distinct()
+    texts_of = save(sk.where("bands IS NOT NULL").groupBy("text_key").agg(F.min(F.struct("doc_id", "rid")).alias("rep"))
+                    .select("text_key", F.col("rep.rid").alias("node"), F.col("rep.doc_id").alias("rep_id")), "pmh-texts-of")
+    reps = texts_of.join(sk.select("rid", "bands", "registers"), F.col("node") == F.col("rid"))
+    members = reps.select("node", "rep_id", F.explode("bands").alias("band")).distinct()
     by_band = Window.partitionBy("band")
-    buckets = save(members.withColumns({"leader": F.min("doc_id").over(by_band), "n": F.count("*").over(by_band)})
-                   .where("n > 1"), "pmh-buckets")
-    needed = buckets.select("doc_id").distinct()
-    texts = save(docs.select("doc_id", "text").join(needed, "doc_id", "left_semi"), "pmh-texts")
-    stars = buckets.where("doc_id <> leader").select(F.col("doc_id").alias("a"), F.col("leader").alias("b")).distinct()
+    # the leader has the least doc_id: originals tend to come before their copies, which are more like them than like one another
+    buckets = save(members.withColumns({"leader": F.min(F.struct("rep_id", "node")).over(by_band)["node"], "n": F.count("*").over(by_band)})
+                   .where("n > 1").drop("rep_id"), "pmh-buckets")
+    needed = buckets.select("node").distinct().join(texts_of, "node")
+    own = docs.select(F.col("doc_id").cast("long").alias("rep_id"), text_key().alias("text_key"), F.col("text").alias("text"))
+    # rows equal in doc_id and text lie together after the join: one of them is enough
+    texts = save(own.join(needed, ["rep_id", "text_key"]).groupBy("rep_id", "text_key")
+                 .agg(F.first("node").alias("node"), F.first("text").alias("text")).select("node", "text"), "pmh-texts")
+    stars = buckets.where("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
     links = save(verify(stars, texts, threshold=threshold, k=k).select("a", "b"), "pmh-links")
     first = save(components(links, "pmh"), "pmh-first")
 
-    placed = (buckets.where("n > 2").join(first, buckets["doc_id"] == first["node"], "left")
-              .select("band", "doc_id", "leader", F.coalesce("component", "doc_id").alias("component")))
-    mixed = (placed.withColumns({"lo": F.min("component").over(by_band), "hi": F.max("component").over(by_band)})
-             .where("lo <> hi").select("band", "doc_id", "component"))
-    sized = mixed.withColumn("n", F.count("*").over(by_band))
-    # members of a bucket by hash into chunks of about ``block``; each pair of chunks is one group
-    sized = sized.withColumn("chunks", F.ceil(F.col("n") / block).cast("int"))
-    sized = sized.withColumn("chunk", F.pmod(F.xxhash64("doc_id"), F.col("chunks").cast("long")).cast("int"))
-    sized = sized.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    sized = sized.join(reps, "doc_id").join(texts, "doc_id").select(
-        "band", "doc_id", "component", "registers", "bands", "text", "chunk", F.least("chunk", "other").alias("ci"),
-        F.greatest("chunk", "other").alias("cj"))
-    late = save(sized.groupBy("band", "ci", "cj").applyInPandas(_cross_links(k, threshold, weighted_floor(threshold) - slack),
-                                                                schema(a=LONG, b=LONG)).distinct(), "pmh-late")
+    placed = (buckets.where("n > 2").join(first.withColumnRenamed("node", "named"), F.col("node") == F.col("named"), "left")
+              .select("band", "node", F.coalesce("component", "node").alias("component")))
+    sketches = reps.select("node", "bands", "registers")
+    dealt = _dealt(placed, block).join(sketches, "node")
+    group = ["band", "gi", "gj"]
+    out = T.StructType([T.StructField("node", LONG), T.StructField("band", LONG), T.StructField("component", LONG),
+                        T.StructField("side", T.IntegerType()), T.StructField("gi", T.IntegerType()),
+                        T.StructField("gj", T.IntegerType()), T.StructField("within", T.BooleanType()),
+                        T.StructField("bands", T.ArrayType(LONG)), T.StructField("registers", BINARY)])
+    wanted = save(dealt.select(out.names).groupBy(*group).applyInPandas(_wanted(least), out), "pmh-wanted")
+    late = save(wanted.join(texts, "node").groupBy(*group).applyInPandas(_cross_links(k, threshold, least), schema(a=LONG, b=LONG))
+                .distinct(), "pmh-late")
     name = lambda c: first.select(F.col("node").alias(c), F.col("component").alias(f"c{c}"))
     bridges = (late.join(name("a"), "a", "left").join(name("b"), "b", "left")
                .select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")))
@@ -290,15 +353,35 @@ def near_duplicates(docs: DataFrame, *, threshold: float = 0.8, k: int = 5, regi
         first = first.unionByName(second.select(F.col("component").alias("node"), "component")
                                   .join(first.select("node"), "node", "left_anti"))
         first = first.join(second, "component", "left").select("node", F.coalesce("final", "component").alias("component"))
-    ids = sk.join(texts_of, "text_key", "left").select("doc_id", F.coalesce("rep", "doc_id").alias("rep"))
-    found = ids.join(first, ids["rep"] == first["node"], "left").select(
-        "doc_id", F.coalesce("component", "rep").alias("class_id"))
+    # only linked texts have a component; a class is named after its least doc_id
+    linked = first.join(texts_of, "node").select("component", "text_key", "rep_id")
+    named = linked.groupBy("component").agg(F.min(F.struct("rep_id", "text_key")).alias("least"))
+    found = linked.join(named, "component").select("text_key", "least")
+    # without links the texts equal to one's own are the class; a text without words is one by itself
+    heads = texts_of.join(found, "text_key", "left").select("text_key", F.coalesce("least", F.struct("rep_id", "text_key")).alias("head"))
+    rows = sk.select("doc_id", "text_key").join(heads, "text_key", "left")
+    head = F.coalesce("head", F.struct(F.col("doc_id").alias("rep_id"), "text_key"))
+    return rows.select("doc_id", "text_key", head["rep_id"].alias("class_id"),
+                       ((F.col("doc_id") == head["rep_id"]) & (F.col("text_key") == head["text_key"])).alias("kept"))
+
+
+def near_duplicates(docs: DataFrame, *, threshold: float = 0.8, k: int = 5, registers: int = 128,
+                    band_rows: int | None = None, block: int = 512, slack: float = 0.2) -> DataFrame:
+    """(doc_id, class_id, kept) of every row of ``docs``; kept marks the document with the least doc_id of its class.
+
+    ``band_rows``: registers of a band, by default as :func:`rows_of_band` derives them (4 at a threshold of 0.8).
+    ``slack``: in step 3, pairs are verified if their sketches agree in at least ``weighted_floor(threshold) - slack``
+    of the registers; with 128 registers that is more than five standard deviations below the floor.
+    """
+    found = _classes(docs, threshold, k, registers, band_rows, block, slack).select("doc_id", "class_id", "kept")
     nameless = docs.where("doc_id IS NULL").select(F.col("doc_id").cast("long"), F.lit(None).cast("long").alias("class_id"))
-    return found.unionByName(nameless).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)))
+    return found.unionByName(nameless.withColumn("kept", F.lit(True)))
 
 
-def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, *, threshold: float = 0.8, k: int = 5, registers: int = 128,
+                         band_rows: int | None = None, block: int = 512, slack: float = 0.2) -> DataFrame:
     """The rows of ``docs`` that stay: one document of each class (rows without an id all stay), all columns kept."""
-    name = fresh(docs, "gone")
-    gone = near_duplicates(docs, **options).where("NOT kept").select(F.col("doc_id").alias(name)).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col(name), "left_anti")
+    name, key = fresh(docs, "gone"), fresh(docs, "gone_key")
+    gone = (_classes(docs, threshold, k, registers, band_rows, block, slack).where("NOT kept")
+            .select(F.col("doc_id").alias(name), F.col("text_key").alias(key)).distinct())
+    return docs.join(gone, (F.col("doc_id") == F.col(name)) & (text_key() == F.col(key)), "left_anti")
