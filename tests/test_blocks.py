@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
+from zpoints import registry as R
 from zpoints.operators import blocks as BL
 from zpoints.operators import extent as EX
 from zpoints.operators.bounded import collect_bounded
@@ -66,3 +67,25 @@ def test_points_outside_a_given_extent(spark):
     assert EX.normalize_coords(pts, ext, outside="wrap").count() == 3
     with pytest.raises(ValueError):
         EX.scaled_codes(spark.createDataFrame([(0, 0, 0), (3_000_000, 0, 0)], "X int, Y int, Z int"))
+
+
+def _far_cloud(spark, tmp_path):
+    """lineitem rows whose codes are near the top: a block's sum of them passes a bigint several times."""
+    rows = [(i, 7, 9, 1 + i % 7, 2097.0, 2_097_000.0 - i, 20.97) for i in range(130)] + [(500, 7, 9, 1, 0.0, 0.0, 0.0)]
+    spark.createDataFrame(rows, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+                                "l_extendedprice double, l_discount double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    codes = [r.mortonCode for r in R._coded(spark, str(tmp_path)).select("mortonCode").collect()]
+    wanted = {}
+    for c in codes:
+        b = c >> 3 * R.COARSE_RES
+        wanted[b] = (wanted.get(b, (0, 0))[0] + 1, wanted.get(b, (0, 0))[1] + c)
+    assert max(total for _, total in wanted.values()) > 1 << 64
+    return {b: (n, (total + (1 << 63)) % (1 << 64) - (1 << 63)) for b, (n, total) in wanted.items()}
+
+
+def test_point_sums_of_a_block_may_pass_a_bigint(spark, tmp_path):
+    wanted = _far_cloud(spark, tmp_path)
+    got = R.q_blocks_hot_parts(spark, str(tmp_path)).collect()
+    assert {r.blockMortonCode: (r.n_points, r.code_sum) for r in got} == wanted
+    assert all(r.within_cap and r.parts_differ and r.none_empty for r in got)
+    assert sum(r.n_points for r in R.q_blocks_collect(spark, str(tmp_path)).collect()) == 131

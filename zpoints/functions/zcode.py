@@ -55,6 +55,32 @@ def _spread_mask(group: int) -> int:
 AXIS0_BITS = _spread_mask(1)  # bits 0, 3, 6, ..., 60
 
 
+# ---------------------------------------------------------------------------
+# Sums of codes
+# ---------------------------------------------------------------------------
+
+_LOW = (1 << 32) - 1
+
+
+def _joined_halves(high, low) -> Column:
+    """Sums of the upper and of the lower 32 bits -> the low 64 bits of the whole; no step can overflow."""
+    return _shl(high + _shru(low, 32), 32).bitwiseOR(low.bitwiseAND(_lit(_LOW)))
+
+
+def code_sum(codes: Column) -> Column:
+    """Sum of an array of codes as a bigint. Codes take up to 63 bits, so a few
+    of them may pass a bigint: the sum is taken modulo 2**64 (two's
+    complement), which is the plain sum wherever that fits."""
+    zero = _lit(0)
+    return _joined_halves(F.aggregate(codes, zero, lambda a, e: a + _shru(e, 32)),
+                          F.aggregate(codes, zero, lambda a, e: a + e.bitwiseAND(_lit(_LOW))))
+
+
+def sum_of_codes(code) -> Column:
+    """The same as an aggregate over rows; sums of codes may be summed again."""
+    return _joined_halves(F.sum(_shru(_col(code), 32)), F.sum(_col(code).bitwiseAND(_lit(_LOW))))
+
+
 # ---------------------------------------------------------------------------
 # Whole-table forms
 # ---------------------------------------------------------------------------
