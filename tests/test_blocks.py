@@ -89,3 +89,10 @@ def test_point_sums_of_a_block_may_pass_a_bigint(spark, tmp_path):
     assert {r.blockMortonCode: (r.n_points, r.code_sum) for r in got} == wanted
     assert all(r.within_cap and r.parts_differ and r.none_empty for r in got)
     assert sum(r.n_points for r in R.q_blocks_collect(spark, str(tmp_path)).collect()) == 131
+
+
+def test_code_sums_of_a_block_may_pass_a_bigint(spark, tmp_path):
+    wanted = _far_cloud(spark, tmp_path)
+    got = R.q_codes_hot_parts(spark, str(tmp_path)).collect()
+    assert {r.blockMortonCode: (r.n_points, r.code_sum) for r in got} == wanted
+    assert sum(r.n_codes for r in R.q_codes_per_block(spark, str(tmp_path)).collect()) == 131

@@ -151,7 +151,7 @@ def q_codes_per_block(spark, sf):
     b = BL.codes_per_block(_coded(spark, sf))
     m = F.col("mortonCodes")
     return b.select("blockMortonCode", "part", F.size(m).alias("n_codes"),
-                    F.aggregate(m, F.lit(0).cast("long"), lambda a, e: a + e).alias("code_sum"),
+                    Z.code_sum(m).alias("code_sum"),
                     m.getItem(0).alias("first_code"), F.element_at(m, -1).alias("last_code"))
 
 
@@ -256,7 +256,7 @@ def q_blocks_hot_parts(spark, sf):
 def q_codes_hot_parts(spark, sf):
     m = F.col("mortonCodes")
     codes = BL.codes_per_block(_coded(spark, sf, resolution=COARSE_RES), max_per_row=HOT_CAP)
-    return _hot_summary(codes, F.size(m), F.aggregate(m, F.lit(0).cast("long"), lambda a, e: a + e))
+    return _hot_summary(codes, F.size(m), Z.code_sum(m))
 
 
 def q_pts_parse_byte(spark, sf):
