@@ -3,7 +3,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL, enc
+from conftest import SF_SMALL, dec, enc
 from zpoints import registry as R
 from zpoints.operators import neighbours as NB
 from zpoints.operators import ranges as RG
@@ -41,6 +41,29 @@ def test_cut_golden(spark):
     assert got == [(1, 1, 4), (1, 6, 9)]
 
 
+def test_cut_divides_a_range_once(spark):
+    """Short ranges at the top of the code space; the fold is in the plan once, and not bound to all 63 bits."""
+    top = enc(1 << 20, 4, 1 << 20)
+    ends = [(a, b) for a in (0, 1, 9) for b in (10, 27, 63) if all(x <= y for x, y in zip(dec(a), dec(b)))]
+    rows = [(top + a, top + b, top + p) for a, b in ends for p in range(a, b + 1)]
+    df = spark.createDataFrame([*rows, (None, 9, 5)], "lo long, hi long, pivot long")
+    out = RG.cut_ranges(df)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("aggregate(sequence(") == 1 and "sequence(62" not in plan
+    inside = lambda c, lo, hi: all(x <= y <= z for x, y, z in zip(dec(lo), dec(c), dec(hi)))
+    want = [(None, 9, 5, 0, None, 0), (None, 9, 5, 1, 0, 9)]
+    for lo, hi, p in rows:
+        if p in (lo, hi) and inside(p, lo, hi):
+            want.append((lo, hi, p, 0, *([hi] * 2 if p == lo else [lo] * 2)))
+        elif inside(p, lo, hi):
+            want += [(lo, hi, p, 0, lo, p - 1), (lo, hi, p, 1, p + 1, hi)]
+        else:
+            cells = [c for c in range(lo, hi + 1) if inside(c, lo, hi)]
+            want += [(lo, hi, p, 0, lo, max([c for c in cells if c < p], default=0)),
+                     (lo, hi, p, 1, min([c for c in cells if c > p], default=0), hi)]
+    assert sorted(map(repr, map(tuple, out.collect()))) == sorted(map(repr, want))
+
+
 def test_chunk_prune_exact(spark):
     chunks = spark.createDataFrame([(0, 0, 63), (1, 64, 127), (2, enc(3, 3, 3), enc(3, 3, 3) + 5)],
                                    "chunk_id int, lo long, hi long")

@@ -172,10 +172,11 @@ def depth_limit(common_bits) -> Column:
 
 
 def code_in_box(code, box_min, box_max) -> Column:
-    """Per-axis inclusive test of a code against the box spanned by two codes."""
+    """Per-axis inclusive test of a code against the box spanned by two codes.
+    The bits of an axis keep its order where they stand: nothing is decoded."""
+    axis = lambda c, d: _col(c).bitwiseAND(_lit(AXIS0_BITS << d))
     return reduce(lambda a, b: a & b, [
-        decode_axis(code, d).between(decode_axis(box_min, d), decode_axis(box_max, d))
-        for d in range(MAX_DIM)
+        axis(code, d).between(axis(box_min, d), axis(box_max, d)) for d in range(MAX_DIM)
     ])
 
 
@@ -224,8 +225,12 @@ def range_overlaps_in_user_space(lo, hi, other_lo, other_hi) -> Column:
 def bigmin_litmax(xd, rmin, rmax) -> Column:
     """struct(litmax, bigmin) for a code ``xd`` outside the box [rmin, rmax]:
     the largest in-box code below xd and the smallest in-box code above it,
-    0 when there is none. One native fold over bits 62..0 (the
-    Tropf-Herzog division), with no Python in the loop.
+    0 when there is none. One native fold over the bits (the
+    Tropf-Herzog division), with no Python in the loop, from the highest bit
+    in which the three codes differ: above it no step changes anything.
+
+    Callers that read both fields should bind the result to a column first:
+    each use of an unbound expression runs the fold again.
     """
     xd, rmin, rmax = _col(xd), _col(rmin), _col(rmax)
 
@@ -260,5 +265,7 @@ def bigmin_litmax(xd, rmin, rmax) -> Column:
         rmin.cast("long").alias("zmin"), rmax.cast("long").alias("zmax"),
         _lit(0).alias("bigmin"), _lit(0).alias("litmax"), F.lit(False).alias("done"),
     )
-    folded = F.aggregate(F.sequence(F.lit(TOTAL_BITS - 1), F.lit(0), F.lit(-1)), start, step)
-    return F.struct(folded["litmax"].alias("litmax"), folded["bigmin"].alias("bigmin"))
+    differ = xd.bitwiseXOR(rmin).bitwiseOR(xd.bitwiseXOR(rmax)).bitwiseAND(_lit(LONG_MAX))
+    first = F.coalesce(F.length(F.bin(differ)), F.lit(TOTAL_BITS)) - 1
+    return F.aggregate(F.sequence(first, F.lit(0), F.lit(-1)), start, step,
+                       lambda acc: F.struct(acc["litmax"].alias("litmax"), acc["bigmin"].alias("bigmin")))

@@ -131,8 +131,10 @@ def cut_ranges(ranges: DataFrame, pivot: str = "pivot", lo: str = "lo", hi: str
     ``piece`` (0, 1) and ``cut_lo``, ``cut_hi``.
     """
     l, h, p = F.col(lo), F.col(hi), F.col(pivot)
-    inside = F.col(in_range) if in_range else code_in_box(p, l, h)
-    div = bigmin_litmax(p, l, h)
+    # bound to columns: the division is run once a range, and only where the pivot is outside
+    bound = ranges.withColumn("__in", F.col(in_range) if in_range else code_in_box(p, l, h))
+    inside, div = F.col("__in"), F.col("__div")
+    bound = bound.withColumn("__div", F.when((l == h) | inside, F.lit(None)).otherwise(bigmin_litmax(p, l, h)))
 
     def rng(a, b):
         return F.struct(a.alias("cut_lo"), b.alias("cut_hi"))
@@ -143,7 +145,7 @@ def cut_ranges(ranges: DataFrame, pivot: str = "pivot", lo: str = "lo", hi: str
                .when(inside & (p == h), F.array(at_hi))
                .when(inside, F.array(rng(l, p - 1), rng(p + 1, h)))
                .otherwise(F.array(rng(l, div["litmax"]), rng(div["bigmin"], h))))
-    return ranges.select("*", F.posexplode(pieces).alias("piece", "__r")).select(
+    return bound.select("*", F.posexplode(pieces).alias("piece", "__r")).select(
         *ranges.columns, "piece", F.col("__r.cut_lo").alias("cut_lo"), F.col("__r.cut_hi").alias("cut_hi"))
 
 
