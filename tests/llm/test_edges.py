@@ -226,6 +226,20 @@ def test_position_inverts_demand(spark):
     assert got < 1e-6
 
 
+def test_curriculum_times_every_copy(spark):
+    """In each tenth of the training the copies due then hold about the words that the schedule wants of each source."""
+    rows = [(i, "w " * (1 + i % 9), "abc"[i % 3]) for i in range(3000)]
+    mixed = mixing.mix_sources(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert all(len(r.positions) == r.copies and r.positions == sorted(r.positions) for r in mixed)
+    assert max(r.copies for r in mixed) > 1
+    for source, slope in zip("abc", mixing.SLOPES):
+        mine = [r for r in mixed if r.source == source]
+        demand = lambda t: mine[0].target * ((1 - slope) * t + slope * t * t)  # noqa: E731, B023
+        for k in range(10):
+            due = sum(r.size for r in mine for t in r.positions if k / 10 <= t < (k + 1) / 10)
+            assert abs(due - (demand((k + 1) / 10) - demand(k / 10))) <= 18
+
+
 def test_sharding(edge_docs, no_docs, spark):
     out = sharding.kd_shards(edge_docs, n_shards=7).collect()
     assert len(out) == edge_docs.count()
