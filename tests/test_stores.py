@@ -211,6 +211,18 @@ def test_octree_files_are_near_equal_and_follow_octants(spark):
     assert sorted(map(tuple, back.collect())) == sorted((r[3], r[0]) for r in rows)
 
 
+def test_octree_store_writes_many_files_a_task(spark, coded):
+    path = R.scratch_path(spark, "test-octree-tasks")
+    files = OT.write_octree_store(coded, path, 20, 4)
+    names = IO.read_blocks(spark, path).inputFiles()
+    assert len(names) == files.count() > 100
+    tasks = {re.search(r"part-(\d+)-", n).group(1) for n in names}
+    assert len(tasks) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert IO.read_blocks(spark, path).columns == ["blockMortonCode", "part", "points"]
+    assert _points_of(IO.read_blocks(spark, path)) == sorted(map(tuple, coded.select("mortonCode", "x", "red").collect()))
+    assert OT.stored_files(spark, path).count() == len(names)
+
+
 # ---------------------------------------------------------------------------
 # Generations
 # ---------------------------------------------------------------------------

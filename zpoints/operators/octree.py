@@ -15,7 +15,9 @@ ever fewer rows, with no second reading.
 
 ``write_octree_store`` packs consecutive leaves into files of about ``target``
 points: file borders are octant borders, files cover disjoint code intervals,
-and sizes are near equal however skewed the cloud is.
+and sizes are near equal however skewed the cloud is. A task writes a run of
+consecutive files, each into a folder of its own (``file=N``), so the tasks, and
+what each sends to the driver, follow the points and not the files.
 """
 
 from __future__ import annotations
@@ -32,6 +34,7 @@ from zpoints.schema import MAX_BITS, MAX_DIM, RESOLUTION
 from zpoints.session import checkpoint_dir
 
 OPEN, SPLIT, LEAF = 0, 1, 2
+TASK_POINTS = 1 << 19  # points that a writing task holds, whole files at least
 
 
 def octree_leaves(coded: DataFrame, cap: int, floor: int = RESOLUTION, code_col: str = "mortonCode") -> DataFrame:
@@ -97,21 +100,24 @@ def write_octree_store(coded: DataFrame, path: str, target: int, cap: int | None
 
     Every file holds between ``target - cap`` and ``target + cap`` points,
     unless a floor octant alone holds more or it is the last (``cap``: an eighth of the target by default). Points
-    find their file by a join with the file intervals, and are dealt to that very partition.
+    find their file by a join with the file intervals, and are dealt to the task that writes it; they are shuffled once.
     """
-    checkpoint_dir(coded.sparkSession)
+    spark = coded.sparkSession
+    checkpoint_dir(spark)
     files = octree_files(octree_leaves(coded, cap or max(1, target // 8), floor), target).checkpoint(eager=True)
-    count = files.count()
-    if not count:
+    found = files.agg(F.count("*").alias("files"), F.sum("n_points").alias("points")).first()
+    if not found["files"]:
         raise ValueError("no points to store")
+    tasks = min(found["files"], max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-found["points"] // TASK_POINTS)))
     placed = range_join(coded, files.select("file", "lo", "hi"), "mortonCode").drop("lo", "hi")
     keys = ["file", "blockMortonCode"]
-    parted = with_parts(placed, keys, max_points_per_row)
+    task = F.expr(f"CAST(CAST(file AS BIGINT) * {tasks} DIV {found['files']} AS INT)").alias("__task")
+    parted = with_parts(placed, keys, max_points_per_row).select("*", task)
     # a block may cross a file border where leaves are smaller than blocks: its points are grouped per file
-    blocks = (parted.repartitionById(count, "file").groupBy(*keys, "part")
+    blocks = (parted.repartitionById(tasks, "__task").groupBy("__task", *keys, "part")
               .agg(F.array_sort(F.collect_list(point_struct())).alias("points")))
-    (blocks.repartitionById(count, "file").sortWithinPartitions("blockMortonCode", "part")
-           .select("blockMortonCode", "part", "points").write.mode(mode).parquet(path))
+    (blocks.sortWithinPartitions(*keys, "part").select("file", "blockMortonCode", "part", "points")
+           .write.mode(mode).partitionBy("file").parquet(path))
     return files
 
 

@@ -104,7 +104,7 @@ def gather_in_place(coded: DataFrame, max_points_per_row: int = DEFAULT_MAX_PER_
 
 
 def read_blocks(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(BLOCKS).parquet(path)
+    return spark.read.schema(BLOCKS).parquet(path).select(*BLOCKS.names)  # not the folders' column, where files have one
 
 
 def write_blocks_json(blocks: DataFrame, path: str, mode: str = "errorifexists") -> None:
