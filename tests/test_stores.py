@@ -299,6 +299,41 @@ def test_sweep_copies_few_points(spark):
     assert plan.count("Exchange") == 1 and "Join" not in plan
 
 
+@pytest.mark.parametrize("pairs_of_row", [1, 100, 50_000])
+def test_sweep_unfolds_pairs_of_crowded_places(pairs_of_row):
+    """Rows at one place are swept once, so few ids leave the sweep for many pairs, and a row unfolds to a bounded number."""
+    import pyarrow as pa
+    from collections import Counter
+    rng = random.Random(4)
+    rows = [(i, 0.04 * (i % 30), float(i % 3), 0.0) for i in range(1800)]  # 30 places of 60 rows on lines
+    rows += [(2000 + i, *[rng.uniform(0, 0.4) for _ in range(3)]) for i in range(200)]
+    rng.shuffle(rows)
+    home = [r[0] % 7 > 0 if r[0] >= 2000 else r[0] % 30 != 5 for r in rows]
+    batch = pa.RecordBatch.from_arrays([pa.array([3] * len(rows), pa.int32()), pa.array(home), *map(pa.array, zip(*rows))],
+                                       ["part", "home", "id", "x", "y", "z"])
+    out = [r for b in NB._sweep(0.1 * (1 + NB.CELL_MARGIN), 0.05 * 0.05, 10_000, pairs_of_row)([batch]) for r in b.to_pylist()]
+    got = Counter((a, b) for r in out for a in r["currents"] for b in r["nearPoints"])
+    want = Counter((a[0], b[0]) for a, h in zip(rows, home) if h for b in rows
+                   if (b[1] - a[1]) * (b[1] - a[1]) + (b[2] - a[2]) * (b[2] - a[2]) + (b[3] - a[3]) * (b[3] - a[3]) <= 0.05 * 0.05)
+    assert got == want
+    assert all(len(r["currents"]) * len(r["nearPoints"]) <= pairs_of_row or len(r["currents"]) == 1 for r in out)
+    if pairs_of_row == 50_000:
+        assert sum(len(r["currents"]) + len(r["nearPoints"]) for r in out) * 10 < sum(want.values())
+
+
+@pytest.mark.parametrize("kind", ["string", "struct<a:long,b:string>", "decimal(20,2)"])
+def test_radius_join_ids_of_any_type(spark, kind):
+    df = spark.range(60).select(F.when(F.col("id") != 7, F.col("id")).alias("n"), (F.col("id") % 20 / 10).alias("x"),
+                                F.lit(0.0).alias("y"), F.lit(0.0).alias("z"))
+    made = F.struct(F.col("n").alias("a"), F.col("n").cast("string").alias("b")) if kind.startswith("struct") else F.col("n")
+    df = df.select(made.cast(kind).alias("id"), "x", "y", "z")
+    got = NB.radius_join(df, 0.15, part_rows=10)
+    assert [f.dataType for f in got.schema] == [df.schema["id"].dataType] * 2
+    rows = df.collect()
+    want = sorted(repr((a.id, b.id)) for a in rows for b in rows if (b.x - a.x) * (b.x - a.x) <= 0.15 * 0.15)
+    assert sorted(repr(tuple(r)) for r in got.collect()) == want
+
+
 # ---------------------------------------------------------------------------
 # Range set as streaming state
 # ---------------------------------------------------------------------------
