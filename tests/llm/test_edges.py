@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 import brute
 from llm_fixtures import edge_docs, edge_labels, no_docs, no_labels  # noqa: F401
-from zpoints.llm import bpe, egojoin, htmlcrf, mixing, probminhash, quality, sharding, substring, toxicity, vptree
+from zpoints.llm import bpe, egojoin, htmlcrf, mixing, probminhash, quality, queries, sharding, substring, toxicity, vptree
 
 tokenizers = pytest.importorskip("public_tokenizers")
 RANKS = tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -240,6 +240,27 @@ def test_curriculum_times_every_copy(spark):
             assert abs(due - (demand((k + 1) / 10) - demand(k / 10))) <= 18
 
 
+def test_digests_count_the_mix_that_was_run(spark, monkeypatch):
+    """op4's words, copies and times come from the mix: its table of contents holds every copy, in training order."""
+    rows = [(None if i % 5 == 0 else i // 2, None if i % 11 == 0 else "w " * (i % 9) + f"t{i}", ("a", "b", "c", None)[i % 4])
+            for i in range(900)]
+    rows += [(None, None, "a")] * 3 + [(7, "same text", "b")] * 4
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    tables = {}
+    kept = mixing.save
+    monkeypatch.setattr(mixing, "save", lambda df, label: tables.setdefault(label, kept(df, label)))
+    monkeypatch.setattr(queries, "table", lambda spark, sf, name: docs)
+    got = queries.op4_curriculum_mix(spark, "").collect()
+    nth = "regexp_extract(_metadata.file_name, 'part-([0-9]+)', 1) * 10000000 + _metadata.row_index AS n"
+    mix = [r for r in sorted(tables["mix-contents"].selectExpr("*", nth).collect(), key=lambda r: int(r["n"])) if r["at"] is not None]
+    assert [r["at"] for r in mix] == sorted(r["at"] for r in mix) and len(mix) == sum(r["copies"] for r in got) > 900
+    assert all(r["words"] == r["size"] for r in mix) and len(got) == len(rows)
+    assert sum(r["words"] for r in mix) == sum(r["taken"] for r in got)
+    monkeypatch.undo()
+    plan = mixing.mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken", "copies", "position").collect()
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, map(tuple, plan)))
+
+
 def test_sharding(edge_docs, no_docs, spark):
     out = sharding.kd_shards(edge_docs, n_shards=7).collect()
     assert len(out) == edge_docs.count()
