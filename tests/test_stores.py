@@ -223,6 +223,29 @@ def test_octree_store_writes_many_files_a_task(spark, coded):
     assert OT.stored_files(spark, path).count() == len(names)
 
 
+def test_octree_points_are_shuffled_once(spark, coded, monkeypatch):
+    """However many files there are: what is written has one exchange and no join that shuffles the points."""
+    plans, kept = {}, type(coded).sortWithinPartitions
+    monkeypatch.setattr(type(coded), "sortWithinPartitions", lambda df, *cols: plans.update({cols[0]: _plan(df)}) or kept(df, *cols))
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, -1)  # as if the files were many
+    try:
+        OT.write_octree_store(coded, R.scratch_path(spark, "test-octree-once"), 20, 4)
+    finally:
+        spark.conf.set(name, before)
+    plan = plans["file"].split("Initial Plan")[0]
+    assert len(re.findall(r"(?<!Broadcast)Exchange ", plan)) == 1 and "SortMergeJoin" not in plan
+
+
+def test_octree_store_splits_hot_blocks(spark, coded):
+    path = R.scratch_path(spark, "test-octree-hot")
+    files = OT.write_octree_store(coded.union(coded).union(coded), path, 300, 40, max_points_per_row=7)
+    rows = IO.read_blocks(spark, path)
+    assert rows.where("size(points) > 7").isEmpty() and not rows.where("part > 0").isEmpty() and files.count() > 1
+    assert _points_of(rows) == sorted(3 * [tuple(r) for r in coded.select("mortonCode", "x", "red").collect()])
+
+
 # ---------------------------------------------------------------------------
 # Generations
 # ---------------------------------------------------------------------------

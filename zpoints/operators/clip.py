@@ -192,7 +192,7 @@ def ranges_sql(code_col: str, ranges: Iterable[tuple[int, int]]) -> str:
 
 def range_join(left: DataFrame, ranges: DataFrame, code_col: str,
                fine_bits: int = FINE_BIN_BITS, bins_per_range: int = BINS_PER_RANGE,
-               keys: Sequence[str] = ()) -> DataFrame:
+               keys: Sequence[str] = (), broadcast: bool = False) -> DataFrame:
     """Rows of ``left`` joined to every range (lo, hi, + any columns) that
     contains ``left[code_col]`` and, with ``keys``, has equal values in these columns of both sides.
 
@@ -203,6 +203,8 @@ def range_join(left: DataFrame, ranges: DataFrame, code_col: str,
     pair (broadcast when AQE measures the exploded ranges small, otherwise a
     sort-merge join whose skewed bins AQE splits) is followed by the exact
     BETWEEN. The distinct tiers are a handful of integers.
+    ``broadcast`` is for ranges known to be few: ``left`` is then not shuffled
+    (AQE shuffles both sides before it measures them).
     """
     from zpoints.session import checkpoint_dir
     step = max(1, (bins_per_range - 1).bit_length())
@@ -220,6 +222,8 @@ def range_join(left: DataFrame, ranges: DataFrame, code_col: str,
     shift = f"{fine_bits} + {step} * __tier"
     binned = tiered.withColumn("__bin", F.explode(F.sequence(F.expr(f"shiftright(lo, {shift})"),
                                                              F.expr(f"shiftright(hi, {shift})"))))
+    if broadcast:
+        binned = F.broadcast(binned)
     # the pairs come out of a Generate, so the join key is no expression of
     # the code that the optimizer could copy; a null code has no pair
     pairs = F.filter(F.transform(F.array(*[F.lit(t) for t in tiers]), lambda t: F.struct(

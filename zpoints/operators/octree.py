@@ -17,7 +17,10 @@ ever fewer rows, with no second reading.
 points: file borders are octant borders, files cover disjoint code intervals,
 and sizes are near equal however skewed the cloud is. A task writes a run of
 consecutive files, each into a folder of its own (``file=N``), so the tasks, and
-what each sends to the driver, follow the points and not the files.
+what each sends to the driver, follow the points and not the files. A point
+finds its task by the broadcast code intervals of the tasks (a task has
+half a million points, so there are few), is shuffled there, once, and finds
+its file among the files' first codes, which are sorted in with the points.
 """
 
 from __future__ import annotations
@@ -26,8 +29,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from zpoints.functions.zcode import _shl, block_code
-from zpoints.operators.blocks import point_struct
-from zpoints.operators.bounded import DEFAULT_MAX_PER_ROW, with_parts
+from zpoints.operators.blocks import POINT_FIELDS, point_struct
+from zpoints.operators.bounded import DEFAULT_MAX_PER_ROW
 from zpoints.operators.clip import range_join
 from zpoints.plans.cover import _ones
 from zpoints.schema import MAX_BITS, MAX_DIM, RESOLUTION
@@ -94,28 +97,45 @@ def octree_files(leaves: DataFrame, target: int) -> DataFrame:
     return files.withColumn("file", F.row_number().over(Window.orderBy("lo")) - 1)
 
 
+def dealt_points(coded: DataFrame, files: DataFrame, tasks: int, n_files: int) -> DataFrame:
+    """Points with the ``file`` that holds them, partitioned by ``__task``: equal runs of files to a task. One shuffle of
+    the points, none before it; points with a null code are in no file."""
+    own = ["mortonCode", "blockMortonCode", "x", "y", "z", *POINT_FIELDS]
+    run = files.select(F.expr(f"CAST(CAST(file AS BIGINT) * {tasks} DIV {n_files} AS INT)").alias("__task"), "file", "lo", "hi")
+    spans = run.groupBy("__task").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    points = range_join(coded.select(*own), spans, "mortonCode", broadcast=True).select("__task", *own)
+    starts = run.select("__task", F.col("lo").alias("mortonCode"), F.col("file").alias("__start"))
+    dealt = points.unionByName(starts, allowMissingColumns=True).repartitionById(tasks, "__task")
+    so_far = (Window.partitionBy("__task").orderBy("mortonCode", F.col("__start").isNull())
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return (dealt.withColumn("file", F.last("__start", ignorenulls=True).over(so_far))
+            .where(F.col("__start").isNull()).drop("__start"))
+
+
 def write_octree_store(coded: DataFrame, path: str, target: int, cap: int | None = None, floor: int = RESOLUTION,
                        max_points_per_row: int = DEFAULT_MAX_PER_ROW, mode: str = "errorifexists") -> DataFrame:
     """Coded points -> blocks in files along octree leaves; returns the file table (file, lo, hi, n_points).
 
     Every file holds between ``target - cap`` and ``target + cap`` points,
     unless a floor octant alone holds more or it is the last (``cap``: an eighth of the target by default). Points
-    find their file by a join with the file intervals, and are dealt to the task that writes it; they are shuffled once.
+    are dealt to the task that writes their file; they are shuffled once. A block of more than ``max_points_per_row``
+    points in a file is several rows (parts).
     """
     spark = coded.sparkSession
     checkpoint_dir(spark)
     files = octree_files(octree_leaves(coded, cap or max(1, target // 8), floor), target).checkpoint(eager=True)
-    found = files.agg(F.count("*").alias("files"), F.sum("n_points").alias("points")).first()
+    found = files.agg(F.count("*").alias("files"), F.sum("n_points").alias("points"), F.max("n_points").alias("most")).first()
     if not found["files"]:
         raise ValueError("no points to store")
     tasks = min(found["files"], max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-found["points"] // TASK_POINTS)))
-    placed = range_join(coded, files.select("file", "lo", "hi"), "mortonCode").drop("lo", "hi")
     keys = ["file", "blockMortonCode"]
-    task = F.expr(f"CAST(CAST(file AS BIGINT) * {tasks} DIV {found['files']} AS INT)").alias("__task")
-    parted = with_parts(placed, keys, max_points_per_row).select("*", task)
+    part = F.lit(0)
+    if found["most"] > max_points_per_row:  # rows are numbered where they are: a file is one task's
+        nth = F.row_number().over(Window.partitionBy("__task", *keys).orderBy(point_struct())) - 1
+        part = F.floor(nth / max_points_per_row).cast("int")
     # a block may cross a file border where leaves are smaller than blocks: its points are grouped per file
-    blocks = (parted.repartitionById(tasks, "__task").groupBy("__task", *keys, "part")
-              .agg(F.array_sort(F.collect_list(point_struct())).alias("points")))
+    blocks = (dealt_points(coded, files, tasks, found["files"]).withColumn("part", part)
+              .groupBy("__task", *keys, "part").agg(F.array_sort(F.collect_list(point_struct())).alias("points")))
     (blocks.sortWithinPartitions(*keys, "part").select("file", "blockMortonCode", "part", "points")
            .write.mode(mode).partitionBy("file").parquet(path))
     return files
